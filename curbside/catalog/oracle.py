@@ -1,0 +1,640 @@
+"""The same results in plain SQL, for a check engine with the given tables as views."""
+
+from __future__ import annotations
+
+from curbside.catalog.tables import STATIONS_SQL, TRIPS_SQL, ZONES_SQL
+
+_NAMES = {n: n for n in ("lineitem", "orders", "nation", "region", "supplier")}
+
+_SECONDS = "CAST(floor(epoch({0})) AS BIGINT)"
+_PICKUP_S = _SECONDS.format("tpep_pickup_datetime")
+_DROPOFF_S = _SECONDS.format("tpep_dropoff_datetime")
+_MINUTES = f"(({_DROPOFF_S} - {_PICKUP_S}) / CAST(60 AS DOUBLE))"
+_SPEED = f"CASE WHEN {_MINUTES} > 0 THEN trip_distance / ({_MINUTES} / CAST(60 AS DOUBLE)) END"
+_FARE_PER_MILE = "CASE WHEN trip_distance > 0 THEN fare_amount / trip_distance END"
+_HOUR = "CAST(hour(tpep_pickup_datetime) AS INT)"
+_DOW = "CAST(dayofweek(tpep_pickup_datetime) + 1 AS INT)"
+_MONTH = "CAST(month(tpep_pickup_datetime) AS INT)"
+_WEEKEND = f"CAST(CASE WHEN {_DOW} IN (1, 7) THEN 1 ELSE 0 END AS INT)"
+
+
+def _rush(hour: str) -> str:
+    return f"CAST(CASE WHEN {hour} BETWEEN 7 AND 9 OR {hour} BETWEEN 16 AND 19 THEN 1 ELSE 0 END AS INT)"
+
+
+_DAY_PART = f"""CASE WHEN {_HOUR} BETWEEN 0 AND 5 THEN 'late_night'
+    WHEN {_HOUR} BETWEEN 6 AND 9 THEN 'morning_rush' WHEN {_HOUR} BETWEEN 10 AND 15 THEN 'midday'
+    WHEN {_HOUR} BETWEEN 16 AND 19 THEN 'evening_rush' ELSE 'evening' END"""
+
+
+def _present(*names: str) -> str:
+    floating = {"trip_distance", "fare_amount", "passenger_count"}
+    checks = [f"{n} IS NOT NULL" for n in names]
+    return " AND ".join(checks + [f"NOT isnan({n})" for n in names if n in floating])
+
+
+_RULES = {
+    "required": _present(
+        "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance",
+        "PULocationID", "DOLocationID", "fare_amount", "passenger_count",
+    ),
+    "distance": "trip_distance BETWEEN 0.1 AND 100",
+    "fare": "fare_amount BETWEEN 2.5 AND 500",
+    "passengers": "passenger_count BETWEEN 1 AND 8",
+    "time_order": "tpep_dropoff_datetime > tpep_pickup_datetime",
+    "pickup_zone": "PULocationID BETWEEN 1 AND 265",
+    "dropoff_zone": "DOLocationID BETWEEN 1 AND 265",
+    "total": "total_amount > 0",
+    "duration": f"{_MINUTES} BETWEEN 1 AND 300",
+    "speed": f"{_SPEED} BETWEEN 0.5 AND 80",
+}
+_BASIC = list(_RULES)[:8]
+_COMPACT = _present("trip_distance", "fare_amount", "passenger_count", "PULocationID") + "".join(
+    f" AND {_RULES[n]}" for n in ("distance", "fare", "passengers")
+)
+
+
+def _where(names: list[str]) -> str:
+    return " AND ".join(f"({_RULES[n]})" for n in names)
+
+
+def _haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    a = (
+        f"(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
+        f" + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))"
+    )
+    return f"(12742 * atan2(sqrt({a}), sqrt(1 - {a})))"
+
+
+_CLUSTER_FEATURES = (
+    "total_trips", "avg_distance", "avg_fare", "avg_speed_mph", "rush_hour_fraction",
+    "weekend_fraction", "avg_duration_min",
+)
+_DEMAND_FEATURES = (
+    "PULocationID", "pickup_hour", "pickup_dow", "is_weekend", "is_rush_hour", "avg_distance", "avg_fare",
+)
+_BUCKET = "CAST('0x' || substring(md5({0}), 1, 8) AS BIGINT) % 100"
+_DEMAND_BUCKET = _BUCKET.format("concat_ws('|', PULocationID, pickup_hour, pickup_dow)")
+
+
+def _ranked(min_trips: int) -> str:
+    """Scored zones above the threshold and not covered, ranked, with name and savings."""
+    return f"""
+SELECT s.PULocationID, s.borough, lat, lon, total_trips, rush_hour_fraction, avg_distance, avg_fare,
+       demand_score, nearest_station_km, chargers_within_1km, nearest_station_km_clipped, gap_score,
+       priority_score, coalesce(zone_name, 'Zone ' || s.PULocationID) AS zone_name,
+       annual_trips_est, annual_co2_saved_kg,
+       round_even(annual_co2_saved_kg / CAST(1000 AS DOUBLE) * 10, 0) / 10 AS annual_co2_saved_tonnes,
+       CAST(row_number() OVER (ORDER BY priority_score DESC, s.PULocationID) AS INT) AS rank
+FROM (SELECT *, CAST(round_even(annual_trips_est * CAST(0.3 AS DOUBLE) * (324 * avg_distance) / 1000, 0)
+                     AS BIGINT) AS annual_co2_saved_kg
+      FROM (SELECT *, CAST(total_trips * 12 AS BIGINT) AS annual_trips_est FROM scored)) s
+LEFT JOIN zones ON zone_id = s.PULocationID
+WHERE total_trips >= {min_trips} AND chargers_within_1km < 2
+ORDER BY priority_score DESC, s.PULocationID LIMIT 10"""
+
+
+# Common table expressions by name: (names it reads, text).
+_CTES: dict[str, tuple[tuple[str, ...], str]] = {
+    "trips": ((), TRIPS_SQL.format(**_NAMES)),
+    "zones": ((), ZONES_SQL.format(**_NAMES)),
+    "stations": ((), STATIONS_SQL.format(**_NAMES)),
+    "clean": (("trips",), f"SELECT * FROM trips WHERE {_where(_BASIC)}"),
+    "features": (
+        ("clean",),
+        f"""SELECT *, {_HOUR} AS pickup_hour, {_DOW} AS pickup_dow, {_MONTH} AS pickup_month,
+       {_WEEKEND} AS is_weekend, {_rush(_HOUR)} AS is_rush_hour, {_DAY_PART} AS time_of_day,
+       {_MINUTES} AS trip_duration_min, {_SPEED} AS speed_mph, {_FARE_PER_MILE} AS fare_per_mile
+FROM clean WHERE {_where(["duration", "speed"])}""",
+    ),
+    "zone_sums": (
+        ("features",),
+        """SELECT PULocationID, count(*) AS total_trips, avg(trip_distance) AS avg_distance,
+       avg(fare_amount) AS avg_fare, avg(passenger_count) AS avg_passengers,
+       avg(trip_duration_min) AS avg_duration_min, avg(speed_mph) AS avg_speed_mph,
+       CAST(sum(is_rush_hour) AS DOUBLE) AS rush_hour_trips,
+       avg(CAST(is_weekend AS DOUBLE)) AS weekend_fraction
+FROM features GROUP BY PULocationID""",
+    ),
+    "zone_agg": (
+        ("zone_sums", "zones"),
+        """SELECT a.*, zone_lat AS lat, zone_lon AS lon, borough,
+       rush_hour_trips / total_trips AS rush_hour_fraction
+FROM zone_sums a LEFT JOIN zones ON zone_id = PULocationID""",
+    ),
+    "located": (("zone_agg",), "SELECT * FROM zone_agg WHERE lat IS NOT NULL AND lon IS NOT NULL"),
+    "hourly": (
+        ("features", "zones"),
+        """SELECT h.*, borough FROM (
+  SELECT PULocationID, pickup_hour, pickup_dow, count(*) AS trip_count,
+         avg(trip_distance) AS avg_distance, avg(fare_amount) AS avg_fare,
+         max(is_weekend) AS is_weekend, max(is_rush_hour) AS is_rush_hour
+  FROM features GROUP BY PULocationID, pickup_hour, pickup_dow) h
+LEFT JOIN zones ON zone_id = PULocationID""",
+    ),
+    "station_km": (
+        ("zones", "stations"),
+        f"""SELECT zone_id, name, num_chargers, {_haversine("zone_lat", "zone_lon", "lat", "lon")} AS km
+FROM zones, stations""",
+    ),
+    "measured": (
+        ("located", "station_km"),
+        """SELECT l.*, nearest_station_km, chargers_within_1km FROM located l JOIN (
+  SELECT zone_id, min(km) AS nearest_station_km,
+         CAST(count(*) FILTER (WHERE km <= 1) AS BIGINT) AS chargers_within_1km
+  FROM station_km GROUP BY zone_id) ON zone_id = PULocationID""",
+    ),
+    "scored": (
+        ("measured",),
+        """SELECT *, CAST(0.6 AS DOUBLE) * demand_score + CAST(0.4 AS DOUBLE) * gap_score AS priority_score
+FROM (SELECT *, total_trips / (SELECT max(total_trips) FROM measured) * CAST(0.7 AS DOUBLE)
+                + rush_hour_fraction * CAST(0.3 AS DOUBLE) AS demand_score,
+             least(nearest_station_km, CAST(30 AS DOUBLE)) AS nearest_station_km_clipped,
+             least(nearest_station_km, CAST(30 AS DOUBLE))
+                / (SELECT max(nearest_station_km) FROM measured) AS gap_score
+      FROM measured)""",
+    ),
+    "recs": (("scored", "zones"), _ranked(1400)),
+    "recs_default": (("scored", "zones"), _ranked(500)),
+    "fixed_clusters": (
+        ("zone_agg",),
+        "SELECT *, CAST(PULocationID % 5 AS INT) AS cluster FROM zone_agg",
+    ),
+    "summary": (
+        ("fixed_clusters",),
+        """SELECT c.*, b.borough AS dominant_borough FROM (
+  SELECT cluster, count(*) AS num_zones, CAST(sum(total_trips) AS BIGINT) AS total_trips,
+         avg(total_trips) AS avg_trips_per_zone, avg(avg_distance) AS avg_distance,
+         avg(avg_fare) AS avg_fare, avg(rush_hour_fraction) AS rush_hour_fraction,
+         avg(weekend_fraction) AS weekend_fraction, avg(lat) AS centroid_lat, avg(lon) AS centroid_lon
+  FROM fixed_clusters GROUP BY cluster) c
+LEFT JOIN (SELECT cluster, borough, row_number() OVER (
+             PARTITION BY cluster ORDER BY count(*) DESC, borough) AS place
+           FROM fixed_clusters WHERE borough IS NOT NULL GROUP BY cluster, borough) b
+  ON b.cluster = c.cluster AND place = 1""",
+    ),
+    "moments": (
+        ("zone_agg",),
+        "SELECT "
+        + ", ".join(f"avg({n}) AS {n}_m, stddev_samp({n}) AS {n}_s" for n in _CLUSTER_FEATURES)
+        + " FROM zone_agg",
+    ),
+    "scaled": (
+        ("fixed_clusters", "moments"),
+        "SELECT PULocationID, cluster, "
+        + ", ".join(f"({n} - {n}_m) / {n}_s AS {n}_z" for n in _CLUSTER_FEATURES)
+        + " FROM fixed_clusters, moments",
+    ),
+    "hour_means": (
+        ("hourly",),
+        f"""SELECT pickup_hour, avg(trip_count) AS prediction FROM hourly
+WHERE {_DEMAND_BUCKET} < 80 GROUP BY pickup_hour""",
+    ),
+}
+
+
+def _sql(source: str, body: str) -> str:
+    """``body`` behind the common table expressions that the listed sources need."""
+    ordered: list[str] = []
+
+    def visit(name: str) -> None:
+        for needed in _CTES[name][0]:
+            visit(needed)
+        if name not in ordered:
+            ordered.append(name)
+
+    for name in source.split():
+        visit(name)
+    ctes = ",\n".join(f"{name} AS ({_CTES[name][1].strip()})" for name in ordered)
+    return f"WITH {ctes}\n{body}"
+
+
+def _rounded(*names: str) -> str:
+    return ", ".join(f"round({n}, 6) AS {n}" for n in names)
+
+
+# Averages from their totals rounded to six decimals, see the query side.
+_STEADY = {n: f"round({n} * trip_count, 6) / trip_count" for n in ("avg_distance", "avg_fare")}
+_STEADY_MEANS = ", ".join(f"{value} AS {name}" for name, value in _STEADY.items())
+
+_RECORD = f"""VendorID, PULocationID, DOLocationID, trip_distance, fare_amount, passenger_count, total_amount,
+       {_PICKUP_S} AS pickup_s, {_DROPOFF_S} AS dropoff_s"""
+
+_AVERAGES = _rounded(
+    "avg_distance", "avg_fare", "avg_passengers", "avg_duration_min", "avg_speed_mph", "rush_hour_trips",
+    "weekend_fraction", "lat", "lon", "rush_hour_fraction",
+)
+_ZONE_AGG = _sql("zone_agg", f"SELECT PULocationID, total_trips, borough, {_AVERAGES} FROM zone_agg")
+
+_SUMMARY = _rounded(
+    "avg_trips_per_zone", "avg_distance", "avg_fare", "rush_hour_fraction", "weekend_fraction",
+    "centroid_lat", "centroid_lon",
+)
+
+
+def _recommended(name: str) -> str:
+    doubles = _rounded(
+        "lat", "lon", "rush_hour_fraction", "avg_distance", "avg_fare", "demand_score",
+        "nearest_station_km", "nearest_station_km_clipped", "gap_score", "priority_score",
+        "annual_co2_saved_tonnes",
+    )
+    return _sql(
+        name,
+        f"""SELECT PULocationID, borough, total_trips, chargers_within_1km, zone_name, annual_trips_est,
+       annual_co2_saved_kg, rank, {doubles} FROM {name}""",
+    )
+
+
+def _histogram(source: str, value: str, bins: int, columns: str) -> str:
+    return _sql(
+        source,
+        f"""SELECT {columns} FROM (
+  SELECT CAST(b.i AS INT) AS bin, lo + i * w AS low, lo + (i + 1) * w AS high,
+         count(x) AS "count", count(x) / (n * w) AS density
+  FROM range({bins}) b(i)
+  CROSS JOIN (SELECT min(x) AS lo, (max(x) - min(x)) / {bins} AS w, count(x) AS n
+              FROM (SELECT {value} AS x FROM {source})) s
+  LEFT JOIN (SELECT {value} AS x FROM {source}) v
+    ON x >= lo + i * w AND (x < lo + (i + 1) * w OR i = {bins} - 1)
+  GROUP BY i, lo, w, n)""",
+    )
+
+
+_CURVE = _sql(
+    "located",
+    """SELECT CAST(i AS INT) AS point, round(x, 6) AS x, round(density, 6) AS density FROM (
+  SELECT i, lo + i * ((hi - lo) / 299) AS x,
+         avg(exp(-pow((lo + i * ((hi - lo) / 299) - avg_distance) / h, 2) / 2)) / (h * sqrt(2 * pi())) AS density
+  FROM range(300) g(i)
+  CROSS JOIN (SELECT min(avg_distance) AS lo, least(max(avg_distance), 25) AS hi,
+                     stddev_samp(avg_distance) * pow(count(*), CAST(-0.2 AS DOUBLE)) AS h FROM located) s
+  CROSS JOIN located
+  GROUP BY i, lo, hi, h)""",
+)
+
+_GAP_MAP = """SELECT 'zone' AS layer, CAST({zone_id} AS VARCHAR) AS id, round({lon}, 6) AS lon, round({lat}, 6) AS lat
+FROM {zones}
+UNION ALL SELECT 'station', name, round(lon, 6), round(lat, 6) FROM stations
+UNION ALL SELECT 'recommended', CAST(PULocationID AS VARCHAR), round(lon, 6), round(lat, 6) FROM recs"""
+
+_LABELS = _sql(
+    "recs",
+    """SELECT rank, round(lon, 6) AS lon, round(lat, 6) AS lat,
+       '#' || rank || ' ' || substring(zone_name, 1, 18) AS label FROM recs WHERE rank <= 5""",
+)
+_SAVINGS = "SELECT PULocationID, zone_name, {} FROM recs"
+_SAVINGS_TOTAL = _sql(
+    "recs",
+    "SELECT round(sum(annual_co2_saved_tonnes), 6) AS total_tonnes, count(*) AS sites FROM recs",
+)
+_PER_HOUR = _sql(
+    "features",
+    f"""SELECT pickup_hour, count(*) AS trips, {_rush("pickup_hour")} AS is_rush_hour
+FROM features GROUP BY pickup_hour""",
+)
+_BOROUGHS = "SELECT borough, CAST(sum(total_trips) AS BIGINT) AS trips FROM {} GROUP BY borough"
+_AVERAGE_MEDIAN = _sql(
+    "located",
+    "SELECT round(avg(avg_distance), 6) AS mean, round(median(avg_distance), 6) AS median FROM located",
+)
+_DISTANCE_BINS = _histogram(
+    "located", "avg_distance", 30, 'bin, "count", ' + _rounded("low", "high", "density")
+)
+_COMPACT_SQL = _sql(
+    "trips",
+    f"""SELECT PULocationID, count(*) AS total_trips, round(avg(trip_distance), 6) AS avg_distance,
+       round(avg(fare_amount), 6) AS avg_fare,
+       round(sum({_rush(_HOUR)}) / count(*), 6) AS rush_hour_fraction
+FROM trips WHERE {_COMPACT} GROUP BY PULocationID""",
+)
+
+
+def _audit() -> str:
+    steps = []
+    for i, name in enumerate(_RULES):
+        kept = " AND ".join(f"({r})" for r in list(_RULES.values())[: i + 1])
+        steps.append(
+            f"""SELECT {i + 1} AS step, '{name}' AS rule,
+       count(*) - count(*) FILTER (WHERE {_RULES[name]}) AS rows_failing,
+       count(*) FILTER (WHERE {kept}) AS rows_kept,
+       round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE {kept}) / count(*), 6) AS percent_kept
+FROM trips"""
+        )
+    return _sql("trips", "\nUNION ALL ".join(steps))
+
+
+def _describe(*names: str) -> str:
+    rows = [
+        f"""SELECT '{n}' AS "column", count({n}) AS "count", round(avg({n}), 6) AS mean,
+       round(stddev_samp({n}), 6) AS stddev, round(min({n}), 6) AS min, round(max({n}), 6) AS max
+FROM trips"""
+        for n in names
+    ]
+    return _sql("trips", "\nUNION ALL ".join(rows))
+
+
+def _derived(alias: str, expression: str) -> str:
+    return _sql("trips", f"SELECT PULocationID, trip_distance, {expression} AS {alias} FROM trips")
+
+
+def _score(*names: str) -> str:
+    return _sql("scored", f"SELECT PULocationID, {_rounded(*names)} FROM scored")
+
+
+def _rule(condition: str) -> str:
+    return _sql("trips", f"SELECT {_RECORD} FROM trips WHERE {condition}")
+
+
+_SQUARES = " + ".join(f"pow(a.{n}_z - b.{n}_z, 2)" for n in _CLUSTER_FEATURES)
+_SILHOUETTE = _sql(
+    "scaled",
+    f"""SELECT count(*) AS zones, round(avg(CASE WHEN size = 1 THEN 0
+         WHEN near < far THEN 1 - near / far WHEN near > far THEN far / near - 1 ELSE 0 END), 6) AS silhouette
+FROM (SELECT id, min(size) FILTER (WHERE own) AS size,
+             min(total / (size - 1)) FILTER (WHERE own AND size > 1) AS near,
+             min(total / size) FILTER (WHERE NOT own) AS far
+      FROM (SELECT a.PULocationID AS id, a.cluster = b.cluster AS own, count(*) AS size, sum({_SQUARES}) AS total
+            FROM scaled a, scaled b GROUP BY a.PULocationID, a.cluster, b.cluster)
+      GROUP BY id)""",
+)
+
+ORACLE_SQL: dict[str, str] = {
+    "s1_trip_scan": _sql("trips", "SELECT * FROM trips"),
+    "s5_cast_pass": _sql(
+        "trips",
+        """SELECT VendorID, PULocationID, DOLocationID, trip_distance, fare_amount, passenger_count,
+       total_amount FROM trips""",
+    ),
+    "s7_zone_dimension": _sql("zones", "SELECT * FROM zones"),
+    "s8_station_dimension": _sql("stations", "SELECT * FROM stations"),
+    "s17_row_counts": _sql(
+        "trips features hourly",
+        """SELECT (SELECT count(*) FROM trips) AS raw_rows, (SELECT count(*) FROM features) AS clean_rows,
+       (SELECT count(DISTINCT PULocationID) FROM features) AS zones,
+       (SELECT count(*) FROM hourly) AS hourly_rows""",
+    ),
+    "s19_hash_sample": _sql(
+        "trips",
+        f"""SELECT * FROM (SELECT {_RECORD} FROM trips)
+WHERE {_BUCKET.format("concat_ws('|', VendorID, PULocationID, DOLocationID, pickup_s, dropoff_s)")} < 10""",
+    ),
+    "p1_required": _rule(_RULES["required"]),
+    "p2_distance": _rule(_RULES["distance"]),
+    "p3_fare": _rule(_RULES["fare"]),
+    "p4_passengers": _rule(_RULES["passengers"]),
+    "p5_time_order": _rule(_RULES["time_order"]),
+    "p6_pickup_zone": _rule(_RULES["pickup_zone"]),
+    "p7_dropoff_zone": _rule(_RULES["dropoff_zone"]),
+    "p8_total": _rule(_RULES["total"]),
+    "p9_duration": _rule(_RULES["duration"]),
+    "p10_speed": _rule(_RULES["speed"]),
+    "p11_compact_rules": _rule(_COMPACT),
+    "p12_cluster_input": _sql(
+        "zone_agg",
+        f"SELECT PULocationID, total_trips, {_rounded(*_CLUSTER_FEATURES[1:])} FROM zone_agg",
+    ),
+    "p13_demand_input": _sql(
+        "hourly",
+        f"""SELECT PULocationID, pickup_hour, pickup_dow, is_weekend, is_rush_hour,
+       {_STEADY_MEANS}, trip_count FROM hourly WHERE trip_count > 0""",
+    ),
+    "p14_located_zones": _sql(
+        "located", f"SELECT PULocationID, {_rounded('lat', 'lon')}, total_trips FROM located"
+    ),
+    "p14_fully_known_zones": _sql(
+        "fixed_clusters",
+        f"""SELECT PULocationID, borough, {_rounded("lat", "lon")}, total_trips, cluster FROM fixed_clusters
+WHERE borough IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL""",
+    ),
+    "p15_hotspots": _sql(
+        "zone_agg", "SELECT PULocationID, total_trips FROM zone_agg WHERE total_trips >= 1400"
+    ),
+    "p16_underserved": _sql(
+        "measured",
+        "SELECT PULocationID, chargers_within_1km FROM measured WHERE chargers_within_1km < 2",
+    ),
+    "p17_pickup_columns": _sql(
+        "zones",
+        """SELECT zone_id AS PULocationID, borough AS pu_borough, zone_lat AS pu_lat, zone_lon AS pu_lon
+FROM zones""",
+    ),
+    "p18_drop_rename": _sql(
+        "hourly",
+        """SELECT PULocationID, pickup_hour, pickup_dow, trip_count AS trips, is_weekend, is_rush_hour
+FROM hourly""",
+    ),
+    "p19_derived_columns": _sql(
+        "features",
+        """SELECT PULocationID, DOLocationID, pickup_hour, pickup_dow, pickup_month, is_weekend, is_rush_hour,
+       time_of_day, trip_duration_min, speed_mph, fare_per_mile FROM features""",
+    ),
+    "p21_rule_audit": _audit(),
+    "j1_pickup_zone": _sql(
+        "trips zones",
+        """SELECT PULocationID, trip_distance, borough AS pu_borough, zone_lat AS pu_lat, zone_lon AS pu_lon
+FROM trips LEFT JOIN zones ON zone_id = PULocationID""",
+    ),
+    "j2_dropoff_zone": _sql(
+        "trips zones",
+        """SELECT DOLocationID, trip_distance, borough AS do_borough
+FROM trips LEFT JOIN zones ON zone_id = DOLocationID""",
+    ),
+    "j3_nearest_station": _sql(
+        "station_km",
+        """SELECT zone_id AS PULocationID, round(km, 6) AS nearest_station_km, name AS nearest_station
+FROM (SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY km, name) AS place FROM station_km)
+WHERE place = 1""",
+    ),
+    "j4_stations_within": _sql(
+        "station_km",
+        """SELECT zone_id AS PULocationID, count(*) FILTER (WHERE km <= 1) AS stations_within,
+       CAST(coalesce(sum(num_chargers) FILTER (WHERE km <= 1), 0) AS BIGINT) AS chargers_total
+FROM station_km GROUP BY zone_id""",
+    ),
+    "j5_zone_names": _sql(
+        "zone_agg zones",
+        """SELECT PULocationID, total_trips, coalesce(zone_name, 'Zone ' || PULocationID) AS zone_name
+FROM zone_agg LEFT JOIN zones ON zone_id = PULocationID""",
+    ),
+    "j6_gap_map": _sql(
+        "located stations recs",
+        _GAP_MAP.format(zone_id="PULocationID", lon="lon", lat="lat", zones="located"),
+    ),
+    "a1_zone_aggregates": _ZONE_AGG,
+    "a1_zone_aggregates_from_cube": _ZONE_AGG,
+    "a2_hourly_demand": _sql(
+        "hourly",
+        f"""SELECT PULocationID, pickup_hour, pickup_dow, trip_count, {_STEADY_MEANS},
+       is_weekend, is_rush_hour, borough FROM hourly""",
+    ),
+    "a3_cluster_summary": _sql(
+        "summary", f"SELECT cluster, num_zones, total_trips, {_SUMMARY}, dominant_borough FROM summary"
+    ),
+    "a4_trips_per_hour": _PER_HOUR,
+    "a5_trips_per_borough": _sql(
+        "zone_agg", _BOROUGHS.format("(SELECT * FROM zone_agg WHERE borough IS NOT NULL)")
+    ),
+    "a5_trips_per_borough_all": _sql("zone_agg", _BOROUGHS.format("zone_agg")),
+    "a6_maxima": _sql(
+        "measured",
+        """SELECT max(total_trips) AS max_total_trips,
+       round(max(nearest_station_km), 6) AS max_nearest_station_km FROM measured""",
+    ),
+    "a7_total_savings": _SAVINGS_TOTAL,
+    "a8_mean_and_median": _AVERAGE_MEDIAN,
+    "a9_distance_histogram": _DISTANCE_BINS,
+    "a10_trip_histogram": _histogram(
+        "trips",
+        "least(greatest(trip_distance, CAST(0 AS DOUBLE)), CAST(20 AS DOUBLE))",
+        50,
+        'bin, "count", ' + _rounded("low", "high"),
+    ),
+    "a11_density_curve": _CURVE,
+    "a12_describe": _describe("trip_distance", "fare_amount", "passenger_count", "total_amount"),
+    "a13_scaled_profiles": _sql(
+        "summary",
+        "SELECT cluster, "
+        + ", ".join(
+            f"round(({m} - min({m}) OVER ()) / (max({m}) OVER () - min({m}) OVER () + CAST(1e-9 AS DOUBLE)), 6) AS {m}"
+            for m in ("avg_trips_per_zone", "avg_distance", "rush_hour_fraction")
+        )
+        + " FROM summary",
+    ),
+    "a14_compact_aggregate": _COMPACT_SQL,
+    "a15_regression_metrics": _sql(
+        "hourly hour_means",
+        f"""SELECT 'Hourly mean' AS model, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae,
+       round(1 - sum(e * e) / sum(pow(y - m, 2)), 6) AS r2
+FROM (SELECT trip_count AS y, trip_count - prediction AS e, avg(trip_count) OVER () AS m
+      FROM hourly JOIN hour_means USING (pickup_hour) WHERE {_DEMAND_BUCKET} >= 80)""",
+    ),
+    "a16_silhouette": _SILHOUETTE,
+    "a17_distinct_counts": _sql(
+        "hourly", "SELECT count(DISTINCT PULocationID) AS zones, count(*) AS hourly_rows FROM hourly"
+    ),
+    "a18_point_sizes": _sql(
+        "located",
+        f"""SELECT PULocationID, {_rounded("lon", "lat")},
+       round(80 + total_trips / (SELECT max(total_trips) FROM located) * 400, 6) AS size FROM located""",
+    ),
+    "w1_rank": _sql("recs", f"SELECT PULocationID, {_rounded('priority_score')}, rank FROM recs"),
+    "o1_top_priority": _sql(
+        "scored",
+        f"""SELECT PULocationID, {_rounded("priority_score")} FROM (
+  SELECT * FROM scored ORDER BY scored.priority_score DESC, PULocationID LIMIT 10)""",
+    ),
+    "o2_busiest_zones": _sql(
+        "zone_agg",
+        f"""SELECT PULocationID, total_trips, borough, {_AVERAGES} FROM (
+  SELECT * FROM zone_agg ORDER BY total_trips DESC, PULocationID LIMIT 10)""",
+    ),
+    "o3_ordered_hours": _sql(
+        "features",
+        "SELECT pickup_hour, count(*) AS trips FROM features GROUP BY pickup_hour ORDER BY pickup_hour",
+    ),
+    "o4_ordered_boroughs": _sql("located", _BOROUGHS.format("located") + " ORDER BY trips, borough"),
+    "o5_savings_ascending": _sql(
+        "recs",
+        _SAVINGS.format("annual_co2_saved_tonnes") + " ORDER BY annual_co2_saved_tonnes, PULocationID",
+    ),
+    "o7_top_labels": _LABELS,
+    "f1_pickup_hour": _derived("pickup_hour", _HOUR),
+    "f2_pickup_weekday": _derived("pickup_dow", _DOW),
+    "f3_pickup_month": _derived("pickup_month", _MONTH),
+    "f4_weekend_flag": _derived("is_weekend", _WEEKEND),
+    "f5_rush_flag": _derived("is_rush_hour", _rush(_HOUR)),
+    "f6_time_of_day": _derived("time_of_day", _DAY_PART),
+    "f7_duration": _derived("trip_duration_min", _MINUTES),
+    "f8_speed": _derived("speed_mph", _SPEED),
+    "f9_fare_per_mile": _derived("fare_per_mile", _FARE_PER_MILE),
+    "f10_rush_share": _sql(
+        "zone_agg",
+        f"SELECT PULocationID, {_rounded('rush_hour_trips', 'rush_hour_fraction')} FROM zone_agg",
+    ),
+    "f11_haversine": _sql(
+        "trips zones",
+        f"""SELECT PULocationID, DOLocationID, trips,
+       round({_haversine("p.zone_lat", "p.zone_lon", "e.zone_lat", "e.zone_lon")}, 6) AS km
+FROM (SELECT PULocationID, DOLocationID, count(*) AS trips FROM trips GROUP BY PULocationID, DOLocationID)
+LEFT JOIN zones p ON p.zone_id = PULocationID LEFT JOIN zones e ON e.zone_id = DOLocationID""",
+    ),
+    "f13_demand_score": _score("demand_score"),
+    "f14_capped_distance": _score("nearest_station_km", "nearest_station_km_clipped"),
+    "f15_gap_score": _score("gap_score"),
+    "f16_priority_score": _score("priority_score"),
+    "f17_saved_grams": _sql(
+        "zone_agg",
+        "SELECT PULocationID, round(324 * avg_distance, 6) AS saved_grams_per_trip FROM zone_agg",
+    ),
+    "f18_annual_trips": _sql(
+        "zone_agg", "SELECT PULocationID, total_trips * 12 AS annual_trips_est FROM zone_agg"
+    ),
+    "f19_annual_savings": _sql(
+        "zone_agg",
+        """SELECT PULocationID, annual_co2_saved_kg,
+       round_even(annual_co2_saved_kg / CAST(1000 AS DOUBLE) * 10, 0) / 10 AS annual_co2_saved_tonnes
+FROM (SELECT PULocationID, CAST(round_even(
+        total_trips * 12 * CAST(0.3 AS DOUBLE) * (324 * avg_distance) / 1000, 0) AS BIGINT) AS annual_co2_saved_kg
+      FROM zone_agg)""",
+    ),
+    "f20_clip": _derived("clipped", "least(greatest(trip_distance, CAST(1 AS DOUBLE)), CAST(5 AS DOUBLE))"),
+    "f22_zone_fallback": _sql(
+        "trips zones",
+        """SELECT PULocationID, coalesce(zone_name, 'Zone ' || PULocationID) AS zone_name
+FROM (SELECT DISTINCT PULocationID FROM trips) LEFT JOIN zones ON zone_id = PULocationID""",
+    ),
+    "m1_cluster_vectors": _sql(
+        "zone_agg",
+        "SELECT PULocationID, "
+        + ", ".join(f"round(CAST({n} AS DOUBLE), 6) AS {n}_v" for n in _CLUSTER_FEATURES)
+        + " FROM zone_agg",
+    ),
+    "m2_standardise": _sql(
+        "scaled",
+        "SELECT PULocationID, "
+        + ", ".join(f"round({n}_z, 6) AS {n}_scaled" for n in _CLUSTER_FEATURES)
+        + " FROM scaled",
+    ),
+    "m2_standard_scaler": _sql(
+        "scaled",
+        "SELECT PULocationID, "
+        + ", ".join(f"round({n}_z, 6) AS {n}_v" for n in _CLUSTER_FEATURES)
+        + " FROM scaled",
+    ),
+    "m5_demand_vectors": _sql(
+        "hourly",
+        "SELECT "
+        + ", ".join(f"CAST({_STEADY.get(n, n)} AS DOUBLE) AS {n}_v" for n in _DEMAND_FEATURES)
+        + ", trip_count FROM hourly",
+    ),
+    "m6_hash_split": _sql(
+        "hourly",
+        f"""SELECT PULocationID, pickup_hour, pickup_dow,
+       CASE WHEN {_DEMAND_BUCKET} < 80 THEN 'train' ELSE 'test' END AS part FROM hourly""",
+    ),
+    "c1_clean_and_engineer": _sql(
+        "features zones",
+        """SELECT f.*, p.borough AS pu_borough, p.zone_lat AS pu_lat, p.zone_lon AS pu_lon, e.borough AS do_borough
+FROM features f LEFT JOIN zones p ON p.zone_id = PULocationID LEFT JOIN zones e ON e.zone_id = DOLocationID""",
+    ),
+    "c2_clean": _sql("clean", "SELECT * FROM clean"),
+    "c3_site_recommendations": _recommended("recs_default"),
+    "c3_site_recommendations_selective": _recommended("recs"),
+    "c5_compact_etl": _COMPACT_SQL,
+    "c7_demand_by_hour": _sql(
+        "features",
+        f"""SELECT pickup_hour, count(*) AS trips, {_rush("pickup_hour")} AS is_rush_hour
+FROM features GROUP BY pickup_hour""",
+    ),
+    "c7_borough_comparison": _sql("located", _BOROUGHS.format("located")),
+    "c7_distance_histogram": _DISTANCE_BINS,
+    "c7_distance_curve": _CURVE,
+    "c7_distance_averages": _AVERAGE_MEDIAN,
+    "c7_gap_map": _sql(
+        "zones stations recs",
+        _GAP_MAP.format(zone_id="zone_id", lon="zone_lon", lat="zone_lat", zones="zones"),
+    ),
+    "c7_gap_map_labels": _LABELS,
+    "c7_savings": _sql("recs", _SAVINGS.format("round(annual_co2_saved_tonnes, 6) AS annual_co2_saved_tonnes")),
+    "c7_savings_total": _SAVINGS_TOTAL,
+}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curbside.functions.calendar import clip as clip_to
 from curbside.functions.calendar import rush_flag
-from curbside.operators.recommend import located_zones
+from curbside.operators.recommend import located_zones, total_saved_tonnes
 from curbside.params import Params
 
 PROFILE_METRICS = ("avg_trips_per_zone", "avg_distance", "rush_hour_fraction")
@@ -201,18 +201,11 @@ def top_labels(recommendations: DataFrame, n: int = 5, width: int = 18) -> DataF
     return recommendations.where(F.col("rank") <= n).select("rank", "lon", "lat", label.alias("label"))
 
 
-def chart_tables(
-    hourly: DataFrame,
-    clustered: DataFrame,
-    summary: DataFrame,
-    stations: DataFrame,
-    recommendations: DataFrame,
-    metrics: DataFrame,
-    importances: DataFrame,
-    params: Params = Params(),
+def demand_charts(
+    hourly: DataFrame, zones: DataFrame, params: Params = Params()
 ) -> dict[str, DataFrame]:
-    """One table per chart, all from the small derived tables; the trips are not read again."""
-    located = located_zones(clustered)
+    """Hour, borough and distance charts, from the hourly and zone tables alone."""
+    located = located_zones(zones)
     per_hour = hourly.groupBy("pickup_hour").agg(F.sum("trip_count").alias("trips"))
     per_hour = per_hour.withColumn("is_rush_hour", rush_flag(F.col("pickup_hour"), params))
     return {
@@ -221,11 +214,23 @@ def chart_tables(
         "distance_histogram": histogram(located, "avg_distance", 30),
         "distance_curve": density_curve(located, "avg_distance"),
         "distance_averages": mean_and_median(located),
-        "cluster_map": point_sizes(clustered),
-        "cluster_profiles": scaled_profiles(summary),
-        "gap_map": gap_map(clustered, stations, recommendations),
+    }
+
+
+def cluster_charts(clustered: DataFrame, summary: DataFrame) -> dict[str, DataFrame]:
+    return {"cluster_map": point_sizes(clustered), "cluster_profiles": scaled_profiles(summary)}
+
+
+def site_charts(
+    zones: DataFrame, stations: DataFrame, recommendations: DataFrame
+) -> dict[str, DataFrame]:
+    return {
+        "gap_map": gap_map(zones, stations, recommendations),
         "gap_map_labels": top_labels(recommendations),
         "savings": savings_ascending(recommendations),
-        "model_comparison": metrics,
-        "feature_importance": importances_ascending(importances),
+        "savings_total": total_saved_tonnes(recommendations),
     }
+
+
+def model_charts(metrics: DataFrame, importances: DataFrame) -> dict[str, DataFrame]:
+    return {"model_comparison": metrics, "feature_importance": importances_ascending(importances)}

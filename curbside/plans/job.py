@@ -17,7 +17,7 @@ from curbside.operators.aggregates import (
 )
 from curbside.operators.features import clean_and_engineer
 from curbside.operators.models import k_sweep, run_kmeans, run_regression
-from curbside.operators.reports import chart_tables
+from curbside.operators.reports import cluster_charts, demand_charts, model_charts, site_charts
 from curbside.params import Params
 from curbside.plans.session import build_session
 from curbside.plans.settle import settle
@@ -88,9 +88,14 @@ def run_job(
     for name, table in results.items():
         write_json(table, f"{out_dir}/results/{name}")
 
-    charts = chart_tables(
-        hourly, clustered, summary, stations, recommendations, metrics, importances, params
-    )
+    charts = {
+        **demand_charts(hourly, zone_table, params),
+        **cluster_charts(clustered, summary),
+        **site_charts(clustered, stations, recommendations),
+        **model_charts(metrics, importances),
+    }
+    if sweep is not None:
+        charts["elbow_curve"] = results["k_sweep"]
     for name, table in charts.items():
         write_table(table, f"{out_dir}/charts/{name}")
     clustered.unpersist()
@@ -105,10 +110,13 @@ def scaling_report(
     for label, load in inputs.items():
         trips = load()
         count = trips.count()
+        zones = Observation("zones")
+        result = compact_etl(trips, params).observe(zones, F.count(F.lit(1)).alias("rows"))
         start = time.perf_counter()
-        zones = compact_etl(trips, params).count()
+        result.write.format("noop").mode("overwrite").save()  # computes every column
         seconds = round(time.perf_counter() - start, 2)
-        rows.append((label, count, zones, seconds, round(count / seconds, 1) if seconds else 0.0))
+        speed = round(count / seconds, 1) if seconds else 0.0
+        rows.append((label, count, zones.get["rows"], seconds, speed))
     return rows
 
 
