@@ -114,12 +114,14 @@ def k_sweep(
     zones: DataFrame, ks: Iterable[int] = range(2, 12), params: Params = Params()
 ) -> DataFrame:
     """Within-cluster cost and silhouette per number of clusters."""
-    prepared = standard_vectors(zones).orderBy("PULocationID")
+    prepared = standard_vectors(zones).select("PULocationID", "features").orderBy("PULocationID")
+    prepared = prepared.persist()  # every fit and score reads it; released below
     rows = []
     for k in ks:
         model = _kmeans(k, params.sweep_max_iter, params).fit(prepared)
         score = silhouette(model.transform(prepared))
         rows.append((k, float(model.summary.trainingCost), float(score)))
+    prepared.unpersist()
     return zones.sparkSession.createDataFrame(rows, "k int, wssse double, silhouette double")
 
 
@@ -180,7 +182,10 @@ def fit_trees(train: DataFrame, params: Params = Params()) -> PipelineModel:
 
 def _fit_demand(train: DataFrame, estimator) -> PipelineModel:
     assembler = VectorAssembler(inputCols=list(DEMAND_FEATURES), outputCol="features")
-    return Pipeline(stages=[assembler, estimator]).fit(train.orderBy(*DEMAND_KEY))
+    rows = train.orderBy(*DEMAND_KEY).persist()  # iterative fits read it; released below
+    model = Pipeline(stages=[assembler, estimator]).fit(rows)
+    rows.unpersist()
+    return model
 
 
 def regression_metrics(predictions: DataFrame, model: str, label: str = LABEL) -> DataFrame:
