@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curbside.functions import scores
 from curbside.operators.lookup import attach
-from curbside.operators.spatial import nearest_station, stations_within
+from curbside.operators.spatial import fits_expanded, nearest_station, stations_within
 from curbside.params import Params
 
 RECOMMENDATION_COLUMNS = (
@@ -39,8 +39,11 @@ def measure_service(
     stations; the number of chargers a station has plays no part.
     """
     located = located_zones(zones)
-    nearest = nearest_station(located, stations, params=params)
-    within = stations_within(located, stations, params.coverage_radius_km, params=params)
+    small = fits_expanded(located, "PULocationID", "lat", "lon", params)
+    nearest = nearest_station(located, stations, small=small, params=params)
+    within = stations_within(
+        located, stations, params.coverage_radius_km, small=small, params=params
+    )
     count = within.select("PULocationID", F.col("stations_within").alias("chargers_within_1km"))
     names = [name for name in _SITE_COLUMNS if name in located.columns]
     return located.select(*names).join(nearest, "PULocationID").join(count, "PULocationID")

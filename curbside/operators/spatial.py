@@ -10,6 +10,9 @@ execution splits a hot cube.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,46 +29,54 @@ from curbside.operators.lookup import broadcast_if, fits_broadcast
 from curbside.params import Params
 
 
-def _index_columns() -> tuple[Column, Column, Column]:
-    return F.col("ix"), F.col("iy"), F.col("iz")
+_AXES = ("ix", "iy", "iz")
 
 
 def _located_points(points: DataFrame, key: str, lat: str, lon: str) -> DataFrame:
-    here = points.select(F.col(key), F.col(lat).alias("p_lat"), F.col(lon).alias("p_lon"))
-    here = here.where(is_located(F.col("p_lat"), F.col("p_lon")))
-    return here.withColumns(finest_index(F.col("p_lat"), F.col("p_lon")))
+    p_lat, p_lon = F.col(lat), F.col(lon)
+    return points.where(is_located(p_lat, p_lon)).select(
+        key,
+        p_lat.alias("p_lat"),
+        p_lon.alias("p_lon"),
+        *[index.alias(name) for name, index in finest_index(p_lat, p_lon).items()],
+    )
 
 
 def _located_stations(stations: DataFrame, *extra: str) -> DataFrame:
-    there = stations.select(F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"), *extra)
-    there = there.where(is_located(F.col("s_lat"), F.col("s_lon")))
-    return there.withColumns(finest_index(F.col("s_lat"), F.col("s_lon")))
+    s_lat, s_lon = F.col("lat"), F.col("lon")
+    return stations.where(is_located(s_lat, s_lon)).select(
+        s_lat.alias("s_lat"),
+        s_lon.alias("s_lon"),
+        *extra,
+        *[index.alias(name) for name, index in finest_index(s_lat, s_lon).items()],
+    )
 
 
-def _fits_expanded(here: DataFrame, key: str, params: Params) -> bool:
+def fits_expanded(points: DataFrame, key: str, lat: str, lon: str, params: Params) -> bool:
     """Whether the points still fit a broadcast once each has its 27 cubes (40 rows at most)."""
-    return fits_broadcast(here.select(key, "p_lat", "p_lon"), params, copies=40)
+    return fits_broadcast(points.select(key, lat, lon), params, copies=40)
 
 
 def _own_cube(level: Column) -> Column:
-    return cube_key(level, *(at_level(index, level) for index in _index_columns()))
+    return cube_key(level, *(at_level(F.col(axis), level) for axis in _AXES))
 
 
-def _every_level(df: DataFrame) -> DataFrame:
-    levels = F.sequence(F.lit(0), F.lit(FINEST_LEVEL))
-    return df.withColumn("level", F.explode(levels)).withColumn("cube", _own_cube(F.col("level")))
+def _every_level(df: DataFrame, *names: str) -> DataFrame:
+    """One row per level with the cube of the row's position."""
+    levels = F.explode(F.sequence(F.lit(0), F.lit(FINEST_LEVEL))).alias("level")
+    return df.select("*", levels).select(*names, "level", _own_cube(F.col("level")).alias("cube"))
 
 
-def _surrounding_cubes(df: DataFrame) -> DataFrame:
-    """One row per existing cube among the 27 around each row's position at its ``level``."""
-    steps = F.sequence(F.lit(-1), F.lit(1))
-    for name in ("ix", "iy", "iz"):
-        df = df.withColumn(f"step_{name}", F.explode(steps))
-        df = df.withColumn(f"c_{name}", at_level(F.col(name), F.col("level")) + F.col(f"step_{name}"))
-        edge_cubes = F.call_function("shiftleft", F.lit(1), F.col("level"))
-        df = df.where((F.col(f"c_{name}") >= 0) & (F.col(f"c_{name}") < edge_cubes))
-    cube = cube_key(F.col("level"), F.col("c_ix"), F.col("c_iy"), F.col("c_iz"))
-    return df.withColumn("cube", cube)
+def _surrounding_cubes(df: DataFrame, level: Column, *names: str) -> DataFrame:
+    """One row per existing cube among the 27 around each row's position at ``level``."""
+    moved = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(26))).alias("move"))
+    axes = [
+        at_level(F.col(axis), level) + F.expr(f"move div {3**i} % 3 - 1")
+        for i, axis in enumerate(_AXES)
+    ]
+    edge_cubes = F.call_function("shiftleft", F.lit(1), level)
+    exists = reduce(and_, [(axis >= 0) & (axis < edge_cubes) for axis in axes])
+    return moved.where(exists).select(*names, cube_key(level, *axes).alias("cube"))
 
 
 def _pair_km() -> Column:
@@ -79,17 +90,19 @@ def stations_within(
     key: str = "PULocationID",
     lat: str = "lat",
     lon: str = "lon",
+    small: bool | None = None,
     params: Params = Params(),
 ) -> DataFrame:
     """Per point: how many stations lie at most ``radius_km`` away, and their chargers in total.
 
-    ``key`` identifies a point. Points without a position get 0.
+    ``key`` identifies a point. Points without a position get 0. ``small`` skips the size check
+    if the caller has made it (``fits_expanded``).
     """
+    if small is None:
+        small = fits_expanded(points, key, lat, lon, params)
     level = F.lit(level_covering(radius_km))
     here = _located_points(points, key, lat, lon)
-    small = _fits_expanded(here, key, params)
-    cubes = _surrounding_cubes(here.withColumn("level", level))
-    cubes = cubes.select(key, "p_lat", "p_lon", "cube")
+    cubes = _surrounding_cubes(here, level, key, "p_lat", "p_lon")
     there = _located_stations(stations, "num_chargers").select(
         "s_lat", "s_lon", "num_chargers", _own_cube(level).alias("cube"), F.lit(1).alias("stations")
     )
@@ -120,7 +133,7 @@ def _search_levels(here: DataFrame, stations: DataFrame, key: str, small: bool)
     If the point's own cube with edge e holds a station, the nearest one is at most sqrt(3) e away
     and so within the surrounding cubes one level up, whose edge is 2 e.
     """
-    own = _every_level(here).select(key, "level", "cube")
+    own = _every_level(here, key)
     occupied = _every_level(_located_stations(stations)).select("cube")
     if small:
         occupied = occupied.join(F.broadcast(own.select("cube")), "cube", "left_semi")
@@ -136,6 +149,7 @@ def nearest_station(
     lat: str = "lat",
     lon: str = "lon",
     with_name: bool = False,
+    small: bool | None = None,
     params: Params = Params(),
 ) -> DataFrame:
     """Per point: the great-circle distance to the nearest station, exact for any distance.
@@ -143,17 +157,19 @@ def nearest_station(
     ``with_name`` adds the station's name, the first in alphabetical order on a tie. Points without
     a position, or no stations at all, give an infinite distance.
     """
+    if small is None:
+        small = fits_expanded(points, key, lat, lon, params)
     here = _located_points(points, key, lat, lon)
-    small = _fits_expanded(here, key, params)
     levels = _search_levels(here, stations, key, small)
-    cubes = _surrounding_cubes(here.join(broadcast_if(small, levels), key))
-    cubes = cubes.select(key, "p_lat", "p_lon", "cube")
+    searching = here.join(broadcast_if(small, levels), key)
+    cubes = _surrounding_cubes(searching, F.col("level"), key, "p_lat", "p_lon")
 
-    there = _every_level(_located_stations(stations, *(["name"] if with_name else [])))
+    name = ["name"] if with_name else []
+    there = _every_level(_located_stations(stations, *name), "s_lat", "s_lon", *name)
     if not small:
         # Only levels in use, at most FINEST_LEVEL + 1 rows on the broadcast side.
         there = there.join(F.broadcast(levels.select("level").distinct()), "level", "left_semi")
-    pairs = there.join(broadcast_if(small, cubes), "cube").withColumn("km", _pair_km())
+    pairs = there.join(broadcast_if(small, cubes), "cube").select(key, *name, _pair_km().alias("km"))
     result = [F.min("km").alias("nearest_station_km")]
     if with_name:
         result.append(F.min_by("name", F.struct("km", "name")).alias("nearest_station"))
