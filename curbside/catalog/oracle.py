@@ -209,13 +209,19 @@ def _sql(source: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def _rounded(*names: str) -> str:
-    return ", ".join(f"round({n}, 6) AS {n}" for n in names)
+_ZONE_MEANS = ("avg_distance", "avg_fare", "avg_passengers", "avg_duration_min", "avg_speed_mph")
 
 
-# Averages from their totals rounded to six decimals, see the query side.
-_STEADY = {n: f"round({n} * trip_count, 6) / trip_count" for n in ("avg_distance", "avg_fare")}
-_STEADY_MEANS = ", ".join(f"{value} AS {name}" for name, value in _STEADY.items())
+def _rounded_value(name: str, count: str = "total_trips") -> str:
+    """Six decimals; averages of trips are rounded by their total, as on the query side."""
+    if count and name in _ZONE_MEANS:
+        return f"round({name} * {count}, 6) / {count}"
+    return f"round(CAST({name} AS DOUBLE), 6)"
+
+
+def _rounded(*names: str, count: str = "total_trips") -> str:
+    return ", ".join(f"{_rounded_value(name, count)} AS {name}" for name in names)
+
 
 _RECORD = f"""VendorID, PULocationID, DOLocationID, trip_distance, fare_amount, passenger_count, total_amount,
        {_PICKUP_S} AS pickup_s, {_DROPOFF_S} AS dropoff_s"""
@@ -396,7 +402,7 @@ WHERE {_BUCKET.format("concat_ws('|', VendorID, PULocationID, DOLocationID, pick
     "p13_demand_input": _sql(
         "hourly",
         f"""SELECT PULocationID, pickup_hour, pickup_dow, is_weekend, is_rush_hour,
-       {_STEADY_MEANS}, trip_count FROM hourly WHERE trip_count > 0""",
+       {_rounded("avg_distance", "avg_fare", count="trip_count")}, trip_count FROM hourly WHERE trip_count > 0""",
     ),
     "p14_located_zones": _sql(
         "located", f"SELECT PULocationID, {_rounded('lat', 'lon')}, total_trips FROM located"
@@ -464,7 +470,7 @@ FROM zone_agg LEFT JOIN zones ON zone_id = PULocationID""",
     "a1_zone_aggregates_from_cube": _ZONE_AGG,
     "a2_hourly_demand": _sql(
         "hourly",
-        f"""SELECT PULocationID, pickup_hour, pickup_dow, trip_count, {_STEADY_MEANS},
+        f"""SELECT PULocationID, pickup_hour, pickup_dow, trip_count, {_rounded("avg_distance", "avg_fare", count="trip_count")},
        is_weekend, is_rush_hour, borough FROM hourly""",
     ),
     "a3_cluster_summary": _sql(
@@ -586,7 +592,7 @@ FROM (SELECT DISTINCT PULocationID FROM trips) LEFT JOIN zones ON zone_id = PULo
     "m1_cluster_vectors": _sql(
         "zone_agg",
         "SELECT PULocationID, "
-        + ", ".join(f"round(CAST({n} AS DOUBLE), 6) AS {n}_v" for n in _CLUSTER_FEATURES)
+        + ", ".join(f"{_rounded_value(n)} AS {n}_v" for n in _CLUSTER_FEATURES)
         + " FROM zone_agg",
     ),
     "m2_standardise": _sql(
@@ -604,7 +610,7 @@ FROM (SELECT DISTINCT PULocationID FROM trips) LEFT JOIN zones ON zone_id = PULo
     "m5_demand_vectors": _sql(
         "hourly",
         "SELECT "
-        + ", ".join(f"CAST({_STEADY.get(n, n)} AS DOUBLE) AS {n}_v" for n in _DEMAND_FEATURES)
+        + ", ".join(f"{_rounded_value(n, 'trip_count')} AS {n}_v" for n in _DEMAND_FEATURES)
         + ", trip_count FROM hourly",
     ),
     "m6_hash_split": _sql(

@@ -22,7 +22,7 @@ from curbside.operators.lookup import attach
 from curbside.params import Params
 from curbside.plans.job import scaling_table
 from curbside.plans.settle import settle
-from curbside.plans.sites import recommend_from_trips
+from curbside.plans.sites import recommend_from_trips, recommend_from_zones
 from curbside.sources.schema import conform
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,14 +40,26 @@ def query(function: Query) -> Query:
     return function
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column; others are untouched."""
-    return df.select(
-        *[
-            F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else f.name
-            for f in df.schema
-        ]
-    )
+ZONE_MEANS = ("avg_distance", "avg_fare", "avg_passengers", "avg_duration_min", "avg_speed_mph")
+
+
+def rounded(df: DataFrame, digits: int = 6, count: str = "total_trips") -> DataFrame:
+    """Round every double column; others are untouched.
+
+    An average of trips, beside its ``count``, is rounded by its total. Over few rows an average
+    often lies half-way between two rounded values, where the last bit would decide; its total
+    never does.
+    """
+
+    def steady(field: T.StructField):
+        column = F.col(field.name)
+        if not isinstance(field.dataType, T.DoubleType):
+            return column
+        if field.name in ZONE_MEANS and count in df.columns:
+            return (F.round(column * F.col(count), digits) / F.col(count)).alias(field.name)
+        return F.round(column, digits).alias(field.name)
+
+    return df.select(*[steady(field) for field in df.schema])
 
 
 # --- derived tables shared by the queries ---------------------------------------------------------
@@ -65,15 +77,6 @@ def _hourly(spark: SparkSession, d: str) -> DataFrame:
     return aggregates.hourly_demand(_trip_features(spark, d), tables.zones(spark, d))
 
 
-def _steady_means(hourly: DataFrame) -> DataFrame:
-    """Averages from their totals rounded to six decimals. Over a few rows an average often lies
-    half-way between two rounded values, where the last bit would decide; a total never does."""
-    count = F.col("trip_count")
-    return hourly.withColumns(
-        {n: F.round(F.col(n) * count, 6) / count for n in ("avg_distance", "avg_fare")}
-    )
-
-
 def _settled_zones(spark: SparkSession, d: str) -> DataFrame:
     return settle(_zone_table(spark, d))
 
@@ -198,8 +201,8 @@ def p12_cluster_input(spark, d):
 
 @query
 def p13_demand_input(spark, d):
-    hourly = models.demand_input(_steady_means(_hourly(spark, d)))
-    return hourly.select(*models.DEMAND_FEATURES, models.LABEL)
+    hourly = models.demand_input(_hourly(spark, d))
+    return rounded(hourly.select(*models.DEMAND_FEATURES, models.LABEL), count=models.LABEL)
 
 
 @query
@@ -292,8 +295,9 @@ def j5_zone_names(spark, d):
 
 @query
 def j6_gap_map(spark, d):
-    zones, stations = _settled_zones(spark, d), tables.stations(spark, d)
-    return rounded(reports.gap_map(zones, stations, _recommendations(spark, d)))
+    zone_table, stations = _settled_zones(spark, d), tables.stations(spark, d)
+    sites = recommend_from_zones(zone_table, tables.zones(spark, d), stations, SELECTIVE)
+    return rounded(reports.gap_map(zone_table, stations, sites))
 
 
 # --- aggregates -----------------------------------------------------------------------------------
@@ -312,7 +316,7 @@ def a1_zone_aggregates_from_cube(spark, d):
 
 @query
 def a2_hourly_demand(spark, d):
-    return _steady_means(_hourly(spark, d))
+    return rounded(_hourly(spark, d), count=models.LABEL)
 
 
 @query
@@ -583,10 +587,9 @@ def f22_zone_fallback(spark, d):
 
 @query
 def m1_cluster_vectors(spark, d):
-    ready = models.cluster_input(_zone_table(spark, d))
+    ready = rounded(models.cluster_input(_zone_table(spark, d)))
     vectors = models.assemble(ready, models.CLUSTER_FEATURES, "raw_features")
-    names = models.CLUSTER_FEATURES
-    return rounded(vectors.select("PULocationID", *_columns_of(vectors, "raw_features", names)))
+    return vectors.select("PULocationID", *_columns_of(vectors, "raw_features", models.CLUSTER_FEATURES))
 
 
 @query
@@ -616,7 +619,7 @@ def m4_k_sweep(spark, d):
 
 @query
 def m5_demand_vectors(spark, d):
-    ready = models.demand_input(_steady_means(_hourly(spark, d)))
+    ready = rounded(models.demand_input(_hourly(spark, d)), count=models.LABEL)
     vectors = models.assemble(ready, models.DEMAND_FEATURES, "features")
     return vectors.select(*_columns_of(vectors, "features", models.DEMAND_FEATURES), models.LABEL)
 

@@ -34,6 +34,15 @@ from curbside.sources import (
 )
 
 
+def retained(trips: DataFrame, features: DataFrame) -> DataFrame:
+    """Rows before and after cleaning and the share kept, null for an empty input. Over Parquet
+    both counts come from the file footers."""
+    counts = [(trips.count(), features.count())]
+    table = trips.sparkSession.createDataFrame(counts, "raw_rows long, clean_rows long")
+    share = F.try_divide(F.lit(100.0) * F.col("clean_rows"), F.col("raw_rows"))
+    return table.withColumn("percent_kept", share)
+
+
 def run_job(
     trips: DataFrame,
     zones: DataFrame,
@@ -51,19 +60,11 @@ def run_job(
     not a rescan.
     """
     spark = trips.sparkSession
-    raw_rows = trips.count()
-    kept = Observation("kept")
-    features = clean_and_engineer(trips, zones, params)
-    write_trips(
-        features.observe(kept, F.count(F.lit(1)).alias("rows")), f"{out_dir}/features", by_date
-    )
-    clean_rows = kept.get["rows"]
-    retention = spark.createDataFrame([(raw_rows, clean_rows)], "raw_rows long, clean_rows long")
-    retention = retention.withColumn(
-        "percent_kept", F.try_divide(F.lit(100.0) * F.col("clean_rows"), F.col("raw_rows"))
-    )
+    write_trips(clean_and_engineer(trips, zones, params), f"{out_dir}/features", by_date)
+    features = spark.read.parquet(f"{out_dir}/features")
+    retention = retained(trips, features)
 
-    cube = settle(demand_cube(spark.read.parquet(f"{out_dir}/features")))
+    cube = settle(demand_cube(features))
     zone_path = f"{out_dir}/zone_aggregates"
     write_table(zone_aggregates_from_cube(cube, zones, params), zone_path)
     zone_table = spark.read.parquet(zone_path)
@@ -99,7 +100,7 @@ def run_job(
     for name, table in charts.items():
         write_table(table, f"{out_dir}/charts/{name}")
     clustered.unpersist()
-    return {"features": spark.read.parquet(f"{out_dir}/features"), "zones": zone_table, **results}
+    return {"features": features, "zones": zone_table, **results}
 
 
 def scaling_report(
