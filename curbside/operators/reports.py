@@ -76,35 +76,41 @@ def histogram(
     value = F.col(column).cast("double")
     value = clip_to(value, *clip) if clip else value
     values = df.select(value.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    stats = values.agg(
-        F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n"))
-    ).scalar()
-    lo, hi, n = (stats.getField(name) for name in ("lo", "hi", "n"))
-    pad = F.when(lo == hi, F.lit(0.5)).otherwise(F.lit(0.0))
-    first, width = lo - pad, (hi + pad - (lo - pad)) / bins
+    ends = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n"))
+    pad = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(F.lit(0.0))
+    scale = F.struct(
+        (F.col("lo") - pad).alias("first"),
+        ((F.col("hi") + pad - (F.col("lo") - pad)) / bins).alias("width"),
+        "n",
+    )
+    stats = ends.select(scale).scalar().alias("s")
+    first, width = F.col("s.first"), F.col("s.width")
 
     def edge(index: Column) -> Column:
         return first + index * width
 
     guess = F.least(F.floor((F.col("x") - first) / width), F.lit(bins - 1)).cast("int")
     # Division may land one bin off next to an edge; the edges decide.
+    x, bin_ = F.col("x"), F.col("bin")
     placed = (
-        F.when(F.col("x") < edge(guess), guess - 1)
-        .when((F.col("x") >= edge(guess + 1)) & (guess < bins - 1), guess + 1)
-        .otherwise(guess)
+        F.when(x < edge(bin_), bin_ - 1)
+        .when((x >= edge(bin_ + 1)) & (bin_ < bins - 1), bin_ + 1)
+        .otherwise(bin_)
     )
-    counts = values.groupBy(placed.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    guessed = values.select("x", stats).select("x", "s", guess.alias("bin"))
+    counts = guessed.groupBy(placed.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    count = F.coalesce("count", F.lit(0).cast("long"))
+    rows = all_bins.join(counts, "bin", "left").select(
+        "bin", F.coalesce("count", F.lit(0).cast("long")).alias("count"), stats
+    )
     return (
-        all_bins.join(counts, "bin", "left")
-        .where(n > 0)
+        rows.where(F.col("s.n") > 0)
         .select(
             "bin",
-            edge(F.col("bin")).alias("low"),
-            edge(F.col("bin") + 1).alias("high"),
-            count.alias("count"),
-            (count / (n * width)).alias("density"),
+            edge(bin_).alias("low"),
+            edge(bin_ + 1).alias("high"),
+            "count",
+            (F.col("count") / (F.col("s.n") * width)).alias("density"),
         )
         .orderBy("bin")
     )
@@ -126,14 +132,15 @@ def density_curve(df: DataFrame, column: str, points: int = 300, cap: float = 25
             (F.stddev_samp("v") * F.pow(F.count("v"), F.lit(-0.2))).alias("h"),
         )
     ).scalar()
-    lo, hi, h = (stats.getField(name) for name in ("lo", "hi", "h"))
-    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
+    lo, hi, h = F.col("s.lo"), F.col("s.hi"), F.col("s.h")
     x = lo + F.col("point") * ((hi - lo) / (points - 1))
     u = (x - F.col("v")) / h
-    kernels = values.where(h > 0).select("v", grid.alias("point"))
+    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
+    kernels = values.select("v", stats.alias("s")).where(h > 0).select("v", "s", grid.alias("point"))
     return (
         kernels.groupBy("point")
-        .agg((F.avg(F.exp(-u * u / 2))).alias("mass"))
+        .agg(F.avg(F.exp(-u * u / 2)).alias("mass"))
+        .select("*", stats.alias("s"))
         .select(
             "point", x.alias("x"), (F.col("mass") / (h * math.sqrt(2 * math.pi))).alias("density")
         )
