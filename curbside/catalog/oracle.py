@@ -308,10 +308,10 @@ _DISTANCE_BINS = _histogram(
 )
 _COMPACT_SQL = _sql(
     "trips",
-    f"""SELECT PULocationID, count(*) AS total_trips, round(avg(trip_distance), 6) AS avg_distance,
-       round(avg(fare_amount), 6) AS avg_fare,
-       round(sum({_rush(_HOUR)}) / count(*), 6) AS rush_hour_fraction
-FROM trips WHERE {_COMPACT} GROUP BY PULocationID""",
+    f"""SELECT PULocationID, total_trips, {_rounded("avg_distance", "avg_fare", "rush_hour_fraction")} FROM (
+  SELECT PULocationID, count(*) AS total_trips, avg(trip_distance) AS avg_distance,
+         avg(fare_amount) AS avg_fare, sum({_rush(_HOUR)}) / count(*) AS rush_hour_fraction
+  FROM trips WHERE {_COMPACT} GROUP BY PULocationID)""",
 )
 
 

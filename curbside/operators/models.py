@@ -6,6 +6,7 @@ Fits read their input many times, so pass a settled table (see ``plans.settle``)
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -32,6 +33,17 @@ LABEL = "trip_count"
 LINEAR, TREES = "Linear Regression", "Gradient Boosted Trees"
 
 
+# Rows per task of an iterative fit: each of its many small jobs starts this many fewer tasks.
+ROWS_PER_TASK = 50_000
+
+
+def in_order(df: DataFrame, *key: str) -> DataFrame:
+    """Rows in key order, in as many partitions as the row count asks for. A seeded fit then gives
+    the same model whatever the shuffle settings of the session."""
+    partitions = max(1, math.ceil(df.count() / ROWS_PER_TASK))
+    return df.repartitionByRange(partitions, *key).sortWithinPartitions(*key)
+
+
 # --- clustering ---------------------------------------------------------------------------------
 
 
@@ -83,7 +95,7 @@ def _kmeans(k: int, max_iter: int, params: Params) -> KMeans:
 def fit_clusters(zones: DataFrame, params: Params = Params()) -> PipelineModel:
     """Assembler, scaler and KMeans. Rows enter in zone order, so a fixed seed gives one result."""
     stages = [*_scaling_stages(), _kmeans(params.clusters, params.kmeans_max_iter, params)]
-    return Pipeline(stages=stages).fit(cluster_input(zones).orderBy("PULocationID"))
+    return Pipeline(stages=stages).fit(in_order(cluster_input(zones), "PULocationID"))
 
 
 def assign_clusters(zones: DataFrame, model: PipelineModel) -> DataFrame:
@@ -114,7 +126,7 @@ def k_sweep(
     zones: DataFrame, ks: Iterable[int] = range(2, 12), params: Params = Params()
 ) -> DataFrame:
     """Within-cluster cost and silhouette per number of clusters."""
-    prepared = standard_vectors(zones).select("PULocationID", "features").orderBy("PULocationID")
+    prepared = in_order(standard_vectors(zones).select("PULocationID", "features"), "PULocationID")
     prepared = prepared.persist()  # every fit and score reads it; released below
     rows = []
     for k in ks:
@@ -182,7 +194,7 @@ def fit_trees(train: DataFrame, params: Params = Params()) -> PipelineModel:
 
 def _fit_demand(train: DataFrame, estimator) -> PipelineModel:
     assembler = VectorAssembler(inputCols=list(DEMAND_FEATURES), outputCol="features")
-    rows = train.orderBy(*DEMAND_KEY).persist()  # iterative fits read it; released below
+    rows = in_order(train, *DEMAND_KEY).persist()  # iterative fits read it; released below
     model = Pipeline(stages=[assembler, estimator]).fit(rows)
     rows.unpersist()
     return model
