@@ -29,7 +29,7 @@ SELECT CAST(l_suppkey % 2 + 1 AS INT) AS VendorID,
        CAST(2.5 AS DOUBLE) AS congestion_surcharge
 FROM (SELECT *, (l_orderkey * 7919 + l_partkey * 104729 + l_linenumber * 613) % 86400 AS sec,
              (l_partkey * 17 + l_suppkey * 29) % 5400 AS dur
-      FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey) j
+      FROM {lineitem}) l JOIN {orders} ON l_orderkey = o_orderkey
 """
 
 # Pickup zones 26-30 have no row here on purpose.

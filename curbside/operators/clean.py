@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbside.functions.calendar import minutes_between, ratio_if_positive
+from curbside.functions.calendar import minutes_between
 from curbside.params import Params
 
 # Columns without which a trip is unusable, and the shorter list of the compact job.
@@ -42,7 +42,10 @@ def duration_min() -> Column:
 
 
 def speed_mph() -> Column:
-    return ratio_if_positive(F.col("trip_distance"), duration_min() / F.lit(60.0))
+    """Miles per hour, null unless the duration is positive. The duration appears only once, which
+    keeps the generated filter small enough for the JVM to compile."""
+    hours = F.greatest(duration_min(), F.lit(0.0)) / F.lit(60.0)
+    return F.try_divide(F.col("trip_distance"), hours)
 
 
 def trip_rules(params: Params = Params()) -> dict[str, Column]:

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Adaptive execution coalesces small shuffle partitions and splits hot ones, in joins and in
-# rebalanced writes. Wall-clock functions are pinned to one zone.
+# rebalanced writes. Generated methods above 8000 bytes of code are never compiled by the JVM and run
+# many times slower, so Spark shall take its split form for them. Wall-clock functions are pinned to
+# one zone.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
