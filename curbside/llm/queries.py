@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.llm import bpe, chat_tree, fingerprint, language_id, packing, toxicity, url_filter
+from curbside.llm import bpe, chat_tree, fingerprint, language_id, packing, substring_dedup, toxicity, url_filter
 from curbside.llm.storage import held_out, ship_package, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -36,6 +36,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     index = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
@@ -76,6 +81,6 @@ def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-_ALL = (op1_url_filter, op2_language_id, op4_toxicity, op6_chat_formatting, op7_best_fit_packing, op8_bpe, op10_fingerprints)
+_ALL = (op1_url_filter, op2_language_id, op3_substring_dedup, op4_toxicity, op6_chat_formatting, op7_best_fit_packing, op8_bpe, op10_fingerprints)
 
 QUERIES = {query.__name__: _registered(query) for query in _ALL}
