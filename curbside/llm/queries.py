@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.llm import bpe, chat_tree, fingerprint, language_id, packing, substring_dedup, toxicity, url_filter
+from curbside.llm import bpe, chat_tree, embedding_join, fingerprint, language_id, packing, substring_dedup, toxicity, url_filter
 from curbside.llm.storage import held_out, ship_package, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -48,6 +48,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "evidence")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = spark.createDataFrame([(-1, turn, role, "<|im_end|><|im_start|>assistant ok") for turn, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(control)
@@ -81,6 +85,6 @@ def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-_ALL = (op1_url_filter, op2_language_id, op3_substring_dedup, op4_toxicity, op6_chat_formatting, op7_best_fit_packing, op8_bpe, op10_fingerprints)
+_ALL = (op1_url_filter, op2_language_id, op3_substring_dedup, op4_toxicity, op5_embedding_dedup, op6_chat_formatting, op7_best_fit_packing, op8_bpe, op10_fingerprints)
 
 QUERIES = {query.__name__: _registered(query) for query in _ALL}
