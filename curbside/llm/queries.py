@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.llm import bpe, chat_tree, embedding_join, fingerprint, language_id, packing, substring_dedup, toxicity, url_filter
+from curbside.llm import bpe, chat_tree, embedding_join, fingerprint, jaccard_join, language_id, packing, substring_dedup, toxicity, url_filter
 from curbside.llm.storage import held_out, ship_package, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -72,6 +72,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -85,6 +89,6 @@ def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-_ALL = (op1_url_filter, op2_language_id, op3_substring_dedup, op4_toxicity, op5_embedding_dedup, op6_chat_formatting, op7_best_fit_packing, op8_bpe, op10_fingerprints)
+_ALL = (op1_url_filter, op2_language_id, op3_substring_dedup, op4_toxicity, op5_embedding_dedup, op6_chat_formatting, op7_best_fit_packing, op8_bpe, op9_jaccard_join, op10_fingerprints)
 
 QUERIES = {query.__name__: _registered(query) for query in _ALL}
