@@ -243,7 +243,14 @@ def _compare(percent: int):
 
 
 def keep_one_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's; of rows with that id and a null id, all stay."""
-    found = similar_documents(docs, percent)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+    """One row of each component: that with the component's id, of several rows with this id the smallest.
+
+    Rows with a null id link with nothing and stay.
+    """
+    found = stage(similar_documents(docs, percent).where("doc_id is not null"), "components")
+    rows = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")).where("doc_id = component_id")
+    kept = stage(rows.select("doc_id", "n"), "kept-ids")
+    single = docs.join(kept.where("n = 1").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    several = docs.join(kept.where("n > 1").select("doc_id"), "doc_id", "left_semi")
+    several = several.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return single.unionByName(several).unionByName(docs.where("doc_id is null"))

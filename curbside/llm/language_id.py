@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curbside.llm.storage import carrying
 from curbside.llm.words import buffers, slices
 
 #: Codes of n-grams: one byte, then two, then three.
@@ -114,10 +115,9 @@ def predict(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", te
                 for at in range(0, part.num_rows, batch_rows):
                     yield _score(part.slice(at, batch_rows), m, place, absent, id_column)
 
-    kind = docs.schema[id_column].dataType.simpleString()
     text = F.col(text_column)
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"), text.alias("text"))
-    return rows.mapInArrow(run, f"`{id_column}` {kind}, lang_pred string, score double")
+    return rows.mapInArrow(run, carrying(docs, id_column, id_column, "lang_pred string, score double"))
 
 
 def _score(part: pa.RecordBatch, m: LanguageModel, place: np.ndarray, absent: int, id_column: str) -> pa.RecordBatch:

@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 SETTING = "spark.checkpoint.dir"
 
@@ -38,6 +39,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def carrying(docs: DataFrame, column: str, name: str, rest: str) -> StructType:
+    """A schema that hands ``column`` of ``docs`` through as ``name``, whatever its type, before the columns ``rest``."""
+    return StructType([StructField(name, docs.schema[column].dataType), *StructType.fromDDL(rest).fields])
+
+
+def whole_rows(docs: DataFrame, *without: str) -> DataFrame:
+    """``row``, all columns but ``without`` as one value that an operator can hand through, and ``text``."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in without)).alias("row"), "text")
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the documents that no model may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

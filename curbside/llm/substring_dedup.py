@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.storage import stage
+from curbside.llm.storage import carrying, stage
 from curbside.llm.words import Words
 
 WIDTH = 35
@@ -29,7 +29,7 @@ WIDTH = 35
 CHUNK_BYTES, BUCKET_BYTES, LEAST_PARTS = 3 << 20, 12 << 20, 128
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, keep_text: bool = True, id_column: str = "doc_id") -> DataFrame:
     """``n_words``, ``n_removed``, ``removed`` (intervals of word places) and ``kept_text`` of every document.
 
     A word goes if any window of ``width`` words that covers it also starts elsewhere in the data, in the same document
@@ -42,14 +42,14 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, keep_text: bool = True)
     chunks = max(LEAST_PARTS, math.ceil(size / CHUNK_BYTES))
     buckets = max(LEAST_PARTS, math.ceil(size / 5 * 8 / BUCKET_BYTES))
     # A third of all rows may share an id, so that the text takes part in the choice of a chunk.
-    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")
-    dealt = docs.select(chunk.alias("chunk"), "doc_id", "text").repartition(_tasks(chunks), "chunk")
+    chunk = F.pmod(F.xxhash64(id_column, "text"), F.lit(chunks)).cast("int")
+    dealt = docs.select(chunk.alias("chunk"), F.col(id_column).alias("id"), "text").repartition(_tasks(chunks), "chunk")
 
     hashes = dealt.groupBy("chunk").applyInArrow(_sender(width, buckets), "chunk int, bucket int, hashes binary, many binary")
     answers = stage(hashes.repartition(_tasks(buckets), "bucket").groupBy("bucket").applyInArrow(_count, "chunk int, bucket int, repeated binary"), "repeats")
     kept = "kept_text string" if keep_text else "kept_sha256 string"
-    schema = f"doc_id long, n_words long, n_removed long, removed array<struct<first:bigint,end:bigint>>, {kept}"
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_remover(width, buckets, keep_text), schema)
+    rest = f"n_words bigint, n_removed bigint, removed array<struct<first:bigint,end:bigint>>, {kept}"
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_remover(width, buckets, keep_text, id_column), carrying(docs, id_column, id_column, rest))
 
 
 def _tasks(groups: int) -> int:
@@ -111,8 +111,8 @@ def _count(rows: pa.Table) -> pa.Table:
     return pa.table([rows.column("chunk"), rows.column("bucket"), pa.array(bits, pa.binary())], names=["chunk", "bucket", "repeated"])
 
 
-def _remover(width: int, buckets: int, keep_text: bool):
-    names = ["doc_id", "n_words", "n_removed", "removed", "kept_text" if keep_text else "kept_sha256"]
+def _remover(width: int, buckets: int, keep_text: bool, id_column: str):
+    names = [id_column, "n_words", "n_removed", "removed", "kept_text" if keep_text else "kept_sha256"]
 
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
@@ -143,7 +143,7 @@ def _remover(width: int, buckets: int, keep_text: bool):
             joined = b" ".join(own)
             kept.append(joined.decode() if keep_text else hashlib.sha256(joined).hexdigest())
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])), pa.string())
-        columns = [rows.column("doc_id"), *(pa.array(c, k) for c, k in zip((words.counts, removed, intervals, kept), kinds, strict=True))]
+        columns = [rows.column("id"), *(pa.array(c, k) for c, k in zip((words.counts, removed, intervals, kept), kinds, strict=True))]
         return pa.table(columns, names=names)
 
     return run

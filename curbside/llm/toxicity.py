@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curbside.llm.storage import carrying
 from curbside.llm.words import Words, slices
 
 #: A block holds so many examples.
@@ -211,6 +212,5 @@ def score_texts(docs: DataFrame, index: ExampleIndex, id_column: str = "doc_id",
                 score, near, cosine = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score, pa.float64()), pa.array(near, pa.list_(pa.int64())), pa.array(cosine, pa.list_(pa.float64()))], names=[id_column, "score", "evidence", "cosines"])
 
-    kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, f"`{id_column}` {kind}, score double, evidence array<long>, cosines array<double>")
+    return rows.mapInArrow(run, carrying(docs, id_column, id_column, "score double, evidence array<bigint>, cosines array<double>"))
