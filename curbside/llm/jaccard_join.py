@@ -47,7 +47,10 @@ def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> list[np.ndarray]:
     for i in range(len(texts)):
         n = words.counts[i]
         if n >= width:
-            sets.append(np.unique(hashes[edges[i] : edges[i + 1]]))
+            own = np.sort(hashes[edges[i] : edges[i + 1]])
+            new = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=new[1:])
+            sets.append(own[new])
         elif n:
             one = np.array([n], np.uint64) * WHOLE
             for h in words.hashes[words.first[i] : words.first[i + 1]]:
@@ -70,15 +73,19 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = shingle_sets(part.column(1))
             seen += sets
             total += sum(map(len, sets))
-            rows: tuple[list, ...] = ([], [], [], [])
-            for s in sets:
-                rows[0].append(len(s))
-                rows[1].append(int(s.sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
-                rows[2].append(int(mix(s ^ WHOLE).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
-                rows[3].append([mix(s * odd).min().view(np.int64) for odd in _odd] if len(s) else [])
+            n = np.array(list(map(len, sets)))
+            full = np.flatnonzero(n)
+            digests, least = np.zeros((2, len(sets)), np.uint64), np.zeros((len(full), FUNCTIONS), np.uint64)
+            if len(full):
+                every = np.concatenate(sets)
+                edges = np.cumsum(n[full]) - n[full]
+                digests[0, full] = np.add.reduceat(every, edges)
+                digests[1, full] = np.add.reduceat(mix(every ^ WHOLE), edges)
+                for k, odd in enumerate(_odd):
+                    least[:, k] = np.minimum.reduceat(every * odd, edges)
+            minima = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum((n > 0) * FUNCTIONS)]).astype(np.int32), pa.array(least.ravel().view(np.int64)))
             none = pa.nulls(len(sets), pa.list_(pa.int64())), pa.nulls(len(sets), pa.list_(pa.int32()))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(rows, kinds, strict=True)), *none], names=["doc_id", "n", "s1", "s2", "least", "tokens", "counts"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), *(pa.array(d.view(np.int64)) for d in digests), minima, *none], names=["doc_id", "n", "s1", "s2", "least", "tokens", "counts"])
             if total >= AMONG:
                 yield _frequent(seen)
                 seen, total = [], 0

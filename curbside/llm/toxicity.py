@@ -1,6 +1,6 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are TF-IDF vectors over the words that separate the two labels. A block-max inverted index holds their postings in
+Examples are TF-IDF vectors over the words and word beginnings that separate the two labels. A block-max inverted index holds their postings in
 blocks of examples, and the largest weight of every word in every block: a bound on the cosine of all examples of a block
 from the few words that the text shares with it. Blocks are opened in the order of their bounds until no closed one can hold
 a nearer example, so that the neighbours are exact. Votes weighted by distance, calibrated on the examples themselves
@@ -9,23 +9,25 @@ with each left out in turn, give the score; the neighbours are the evidence.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.storage import carrying
+from curbside.llm.storage import carrying, stage
 from curbside.llm.words import Words, slices
 
 #: A block holds so many examples.
 BLOCK = 64
 
-#: Words must separate the labels at this likelihood ratio (chance: one in ten thousand) and lean to one by this factor.
-LEAST_G2, LEAST_LIFT, LEAST_DOCS = 15.1, 2.0, 3
+#: Of all terms in at least LEAST_DOCS examples, so many may separate the labels by chance alone; and terms must lean to
+#: one label by this factor.
+BY_CHANCE, LEAST_LIFT, LEAST_DOCS = 5, 3.0, 3
 
 
 @dataclass(frozen=True)
@@ -33,7 +35,7 @@ class ExampleIndex:
     terms: np.ndarray  # hashes of the words, ascending
     idf: np.ndarray
     starts: np.ndarray  # [term, block]: where the postings start; one more column for the end
-    examples: np.ndarray  # of each posting: the example's place within its block
+    examples: np.ndarray  # of each posting: the example's place
     weights: np.ndarray
     most: np.ndarray  # [term, block]: the largest weight
     ids: np.ndarray  # of each example
@@ -43,27 +45,40 @@ class ExampleIndex:
     calibrated: np.ndarray
     without: float  # the score of a text that shares no word
 
+    def _open(self, blocks: np.ndarray, terms: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Exact cosines with the examples of these blocks; 0 for all others."""
+        low, high = self.starts[terms[:, None], blocks].ravel(), self.starts[terms[:, None], blocks + 1].ravel()
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.bincount(self.examples[at], np.repeat(np.repeat(query, len(blocks)), n) * self.weights[at], len(self.ids))
+
     def nearest(self, terms: np.ndarray, counts: np.ndarray, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the nearest examples, the nearest first, equal ones by place."""
+        """Places and cosines of the nearest examples, the nearest first, equal ones by place.
+
+        The blocks of the greatest bounds are opened first. The least cosine found there closes all blocks with a lower
+        bound; the others are opened as well.
+        """
         query = (1 + np.log(counts)) * self.idf[terms]
         query /= np.sqrt((query**2).sum())
-        bounds = query @ self.most[terms]
-        found: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(found) == self.neighbours and -found[-1][0] > bounds[block] * (1 + 1e-12)):
-                break
-            score = np.zeros(BLOCK)
-            for term, weight in zip(terms, query, strict=True):
-                posting = slice(self.starts[term, block], self.starts[term, block + 1])
-                score[self.examples[posting]] += weight * self.weights[posting]
-            hits = np.flatnonzero(score > 0)
-            found += [(-score[i], int(block) * BLOCK + int(i)) for i in hits if block * BLOCK + i != leave_out]
-            found = sorted(found)[: self.neighbours]
-        return np.array([i for _, i in found], np.int64), np.array([-s for s, _ in found])
+        bounds = query @ self.most[terms] * (1 + 1e-9)
+        order = np.argsort(-bounds, kind="stable")
+        cosines = self._open(order[:2], terms, query)
+        if leave_out >= 0:
+            cosines[leave_out] = 0
+        least = np.partition(cosines, -self.neighbours)[-self.neighbours] if len(cosines) > self.neighbours else 0.0
+        rest = order[2:][bounds[order[2:]] >= max(least, 1e-12)]
+        if len(rest):
+            cosines += self._open(rest, terms, query)
+            if leave_out >= 0:
+                cosines[leave_out] = 0
+        found = np.lexsort((np.arange(len(cosines)), -cosines))[: self.neighbours]
+        found = found[cosines[found] > 0]
+        return found, cosines[found]
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
-        weights = 1 / (0.05 + np.maximum(0, 1 - cosines))
-        return float((weights * self.toxic[places]).sum() / weights.sum())
+        """The share of toxic neighbours, each weighted by its squared cosine, against one vote of doubt."""
+        weights = cosines**2
+        return float((weights * self.toxic[places]).sum() / (weights.sum() + 1))
 
     def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int], list[float]]:
         if not len(terms):
@@ -77,7 +92,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, per_label: int = 20
     """Index at most ``per_label`` allowed examples of each label, those of the smallest hashes.
 
     ``labels`` has ``doc_id`` and ``toxic``; other labels than 0 and 1 teach nothing, and of contradicting ones the 1 holds.
-    The sample's word counts come to the driver. How common each label is, which calibration needs, is counted over all
+    Their words are counted in Spark; only the terms that separate the labels, and the examples' counts of these, come to
+    the driver. How common each label is, which calibration needs, is counted over all
     labelled rows.
     """
     marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(allowed)
@@ -85,45 +101,70 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, per_label: int = 20
     chosen: dict[int, int] = {}
     for label in (0, 1):
         chosen |= {r.doc_id: label for r in marks.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label).select("doc_id").collect()}
-    rows = [r for r in docs.where(F.col("doc_id").isin(list(chosen))).select("doc_id", "text").mapInArrow(_word_counts, "doc_id long, words array<long>, counts array<int>").orderBy("doc_id").collect() if r.words]
-    vectors = [(np.array(r.words, np.int64).view(np.uint64), np.array(r.counts)) for r in rows]
-    toxic = np.array([chosen[r.doc_id] for r in rows], np.int64)
-    return build_index(vectors, np.array([r.doc_id for r in rows], np.int64), toxic, totals, neighbours)
+    words = docs.where(F.col("doc_id").isin(list(chosen))).select("doc_id", "text").mapInArrow(_word_counts, "doc_id long, words array<long>, counts array<int>")
+    sample = stage(words.where(F.size("words") > 0), "examples")
+    toxic = F.col("doc_id").isin([i for i, label in chosen.items() if label])
+    seen = sample.select(toxic.cast("int").alias("toxic"), F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("ones"), F.count("*").alias("n"))
+    terms, n = separating_terms(seen.where(F.col("n") >= LEAST_DOCS).toPandas(), *(int(x or 0) for x in sample.agg(F.count("*"), F.sum(toxic.cast("int"))).first()))
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [lookup(terms, np.array(w.values).view(np.uint64), np.array(c.values)) for w, c in zip(batch.column(1), batch.column(2), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t for t, _ in found], pa.list_(pa.int32())), pa.array([c for _, c in found], pa.list_(pa.int32()))], names=["doc_id", "terms", "counts"])
+
+    rows = sample.mapInArrow(known, "doc_id long, terms array<int>, counts array<int>").orderBy("doc_id").collect()
+    vectors = [(np.array(r.terms, np.int64), np.array(r.counts, np.float64)) for r in rows]
+    return build_index(terms, n, vectors, np.array([r.doc_id for r in rows], np.int64), np.array([chosen[r.doc_id] for r in rows], np.int64), totals, neighbours)
+
+
+#: Besides whole words, so many first bytes of longer words are terms: inflected forms share them.
+BEGINNINGS = (4, 5, 6)
+
+
+def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every term of the texts, with repeats."""
+    words = Words(texts, lower=True, letters=True, beginnings=BEGINNINGS)
+    return np.concatenate([words.row, *(words.row[i] for i, _ in words.beginnings)]), np.concatenate([words.hashes, *(h for _, h in words.beginnings)])
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
-            words = Words(part.column(1), lower=True, letters=True)
-            found = [np.unique(words.hashes[a:b], return_counts=True) for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+            row, hashes = _terms(part.column(1))
+            order = np.argsort(row, kind="stable")
+            edges = np.searchsorted(row[order], np.arange(part.num_rows + 1))
+            found = [np.unique(hashes[order[a:b]], return_counts=True) for a, b in zip(edges[:-1], edges[1:], strict=True)]
             columns = [part.column(0), pa.array([h.view(np.int64) for h, _ in found], pa.list_(pa.int64())), pa.array([c.astype(np.int32) for _, c in found], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "words", "counts"])
 
 
-def separating_terms(vectors: list, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The words (ascending) by which the labels differ beyond chance, and in how many examples each occurs."""
-    if not vectors:
+def separating_terms(seen: pd.DataFrame, examples: int, toxic: int) -> tuple[np.ndarray, np.ndarray]:
+    """The terms (hashes, ascending) by which the labels differ beyond chance, and in how many examples each occurs.
+
+    ``seen`` has ``word``, ``ones`` (toxic examples that hold it) and ``n`` (all that do).
+    """
+    size = np.array([examples - toxic, toxic], float)[:, None]
+    n = seen["n"].to_numpy(float)
+    if not len(n) or not size.all():
         return np.zeros(0, np.uint64), np.zeros(0)
-    size = np.array([max(1, int((toxic == label).sum())) for label in (0, 1)])
-    every = np.concatenate([h for h, _ in vectors])
-    label = np.repeat(toxic, [len(h) for h, _ in vectors])
-    terms, at = np.unique(every, return_inverse=True)
-    seen = np.stack([np.bincount(at[label == k], minlength=len(terms)) for k in (0, 1)]).astype(float)
-    shares = (seen + 0.5) / (size[:, None] + 1)
-    pooled = seen.sum(axis=0) / size.sum()
+    ones = seen["ones"].to_numpy(float)
+    held = np.stack([n - ones, ones])
+    shares = (held + 0.5) / (size + 1)
+    expected = n / examples * size
     with np.errstate(divide="ignore", invalid="ignore"):
-        expected = pooled * size[:, None]
-        missing = size[:, None] - seen
-        g2 = 2 * (np.where(seen > 0, seen * np.log(seen / expected), 0) + np.where(missing > 0, missing * np.log(missing / (size[:, None] - expected)), 0)).sum(axis=0)
+        part = lambda x, e: np.where(x > 0, x * np.log(x / e), 0)
+        g2 = 2 * (part(held, expected) + part(size - held, size - expected)).sum(axis=0)
     lift = np.maximum(shares[0] / shares[1], shares[1] / shares[0])
-    keep = (g2 >= LEAST_G2) & (lift >= LEAST_LIFT) & (seen.sum(axis=0) >= LEAST_DOCS)
-    return terms[keep], seen.sum(axis=0)[keep]
+    tail = min(0.5, BY_CHANCE / len(n))  # of a squared normal variable
+    keep = (g2 >= NormalDist().inv_cdf(1 - tail / 2) ** 2) & (lift >= LEAST_LIFT)
+    terms = seen["word"].to_numpy(np.int64)[keep].view(np.uint64)
+    order = np.argsort(terms)
+    return terms[order], n[keep][order]
 
 
-def build_index(vectors: list, ids: np.ndarray, toxic: np.ndarray, totals: dict[int, int], neighbours: int) -> ExampleIndex:
-    terms, seen = separating_terms(vectors, toxic)
-    idf = np.log((1 + len(vectors)) / (1 + seen)) + 1
-    sparse = [lookup(terms, h, c) for h, c in vectors]
+def build_index(terms: np.ndarray, seen: np.ndarray, sparse: list, ids: np.ndarray, toxic: np.ndarray, totals: dict[int, int], neighbours: int) -> ExampleIndex:
+    """``sparse`` has the places (in ``terms``) and counts of each example's terms."""
+    idf = np.log((1 + len(sparse)) / (1 + seen)) + 1
     weighted = []
     for t, c in sparse:
         w = (1 + np.log(c)) * idf[t]
@@ -145,7 +186,7 @@ def build_index(vectors: list, ids: np.ndarray, toxic: np.ndarray, totals: dict[
     counts = np.array([share[k] * (empty & (toxic == k)).sum() for k in (0, 1)])
     overall = np.array([totals.get(k, 0) for k in (0, 1)], float)
     without = (counts[1] + 0.5 * overall[1] / max(1.0, overall.sum())) / (counts.sum() + 0.5) if overall.sum() else 0.0
-    first = ExampleIndex(terms, idf, starts, np.array([p % BLOCK for _, p, _ in postings], np.int64), np.array([w for _, _, w in postings]), most, ids[order], toxic[order], neighbours, np.array([0.0, 1.0]), np.array([0.0, 1.0]), float(min(without, 0.69)))
+    first = ExampleIndex(terms, idf, starts, np.array([p for _, p, _ in postings], np.int64), np.array([w for _, _, w in postings]), most, ids[order], toxic[order], neighbours, np.array([0.0, 1.0]), np.array([0.0, 1.0]), float(min(without, 0.69)))
     votes = []
     for place, i in enumerate(order):
         near = first.nearest(*sparse[i], leave_out=place)
@@ -189,14 +230,19 @@ def score_texts(docs: DataFrame, index: ExampleIndex, id_column: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix: ExampleIndex = spec.value
+        maybe = np.zeros(1 << 20, bool)  # by the last bits of a hash: few other terms need to be looked up
+        last = np.uint64(len(maybe) - 1)
+        maybe[ix.terms & last] = True
         known: dict[bytes, tuple] = {}
         for batch in batches:
             for part in slices(batch, "text"):
-                words = Words(part.column(1), lower=True, letters=True)
+                row, hashes = _terms(part.column(1))
                 if len(ix.terms):
-                    at = np.minimum(np.searchsorted(ix.terms, words.hashes), len(ix.terms) - 1)
-                    hit = ix.terms[at] == words.hashes
-                    pairs, counts = np.unique(words.row[hit] * len(ix.terms) + at[hit], return_counts=True)
+                    some = maybe[hashes & last]
+                    row, hashes = row[some], hashes[some]
+                    at = np.minimum(np.searchsorted(ix.terms, hashes), len(ix.terms) - 1)
+                    hit = ix.terms[at] == hashes
+                    pairs, counts = np.unique(row[hit] * len(ix.terms) + at[hit], return_counts=True)
                 else:
                     pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
                 edges = np.searchsorted(pairs, np.arange(part.num_rows + 1) * max(1, len(ix.terms)))

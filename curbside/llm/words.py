@@ -77,9 +77,10 @@ class Words:
     """All words of a text column in order: ``hashes``, ``starts`` and ``ends`` (bytes), ``row``, ``counts`` per row.
 
     ``lower`` folds A-Z in the hashes. With ``letters``, words end at every ASCII character that is no letter.
+    ``beginnings`` asks for hashes of so many first bytes, too.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False, letters: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, letters: bool = False, beginnings: tuple[int, ...] = ()):
         self.data, self.offsets = buffers(column)
         data, n = self.data, len(column)
         inside = ~(NO_LETTER if letters else SEPARATOR)[data]
@@ -89,22 +90,31 @@ class Words:
         before[edge[edge < len(data)]] = False
         after[edge[edge > 0] - 1] = False
         self.starts, self.ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-        self.row = np.searchsorted(self.offsets, self.starts, "right") - 1
-        self.counts = np.bincount(self.row, minlength=n)
-        self.first = np.concatenate([[0], np.cumsum(self.counts)])
-        self.hashes = self._hash(_lower if lower else _coefficients)
-
-    def _hash(self, coefficients: np.ndarray) -> np.ndarray:
-        out, at, total = np.empty(len(self.starts), np.uint64), 0, len(self.starts)
+        self.first = np.searchsorted(self.starts, self.offsets)
+        self.counts = np.diff(self.first)
+        self.row = np.repeat(np.arange(n), self.counts)
+        self.hashes, *self.beginnings = self._hash(_lower if lower else _coefficients, beginnings)
+
+    def _hash(self, coefficients: np.ndarray, beginnings: tuple[int, ...]) -> list:
+        """Hashes of all words; then, for each size, indices and hashes of the first bytes of the words that have more."""
+        out: list = [np.empty(len(self.starts), np.uint64), *([] for _ in beginnings)]
+        at, total = 0, len(self.starts)
         while at < total:
             low = self.starts[at]
             to = max(at + 1, int(np.searchsorted(self.ends, low + PIECE_BYTES, "right")))
             up, down = BYTES(self.ends[to - 1] - low)
             sums = running(coefficients[self.data[low : self.ends[to - 1]]] * up)
             starts, ends = self.starts[at:to] - low, self.ends[at:to] - low
-            out[at:to] = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)
+            scale = down[starts]
+            first = sums[starts]
+            out[0][at:to] = mix((sums[ends] - first) * scale + (ends - starts).astype(np.uint64))
+            for k, size in enumerate(beginnings, 1):
+                longer = np.flatnonzero(ends - starts > size)
+                part = (sums[starts[longer] + size] - first[longer]) * scale[longer]
+                out[k].append((longer + at, mix(part + np.uint64(size << 32))))
             at = to
-        return mix(out)
+        nothing = (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        return [out[0], *(tuple(map(np.concatenate, zip(*parts, strict=True))) if parts else nothing for parts in out[1:])]
 
     def windows(self, width: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Indices of the words at which a window of ``width`` words of one row starts, and the windows' hashes."""
