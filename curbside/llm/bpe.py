@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame
 
 from curbside.llm.words import slices
 
-#: Entries after which a cache of words is emptied: bounds a worker's memory, never changes a result.
-CACHE_WORDS = 250_000
+#: Entries of each generation of a cache of words: bounds a worker's memory, never changes a result.
+CACHE_WORDS = 150_000
 
 #: End of the Latin, Greek and Cyrillic blocks.
 COMMON_END = "\u0530"
@@ -32,6 +33,10 @@ COMMON_END = "\u0530"
 FINAL = 0x20000
 
 
+#: In place of a rule, for single symbols.
+NEVER = (-1, "", "")
+
+
 def byte_symbols() -> dict[int, str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -39,6 +44,25 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Cache(dict):
+    """Results of ``make`` for the keys met most recently: two generations, of which the older one goes."""
+
+    def __init__(self, make: Callable):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str | bytes) -> object:
+        if (value := self.older.get(key)) is None:
+            value = self.make(key)
+            if len(key) > 64:
+                return value
+        if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class PrefixEncoder:
     """Encodes single pre-tokens into ids."""
 
@@ -52,11 +76,15 @@ class PrefixEncoder:
         for rank, pair in enumerate(merges):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks[self._inner(a), self._inner(b)] = rank
-        self.pairs: dict[tuple[str, str], bool] = {}
+        #: The rule that makes each token, and its parts. Trained tables list a token's parts before it.
+        self.made = {a + b: (rank, a, b) for (a, b), rank in reversed(self.ranks.items())}
+        self.in_order = all(max(self.made.get(x, NEVER)[0], self.made.get(y, NEVER)[0]) < rank for rank, x, y in self.made.values())
+        self.in_order &= len(self.made) == len(self.ranks)
+        self.known = 0
         self.matches = ahocorasick.Automaton()
         for token in self.ids:
             if len(token) == 1 or len(self.merge(token)) == 1:  # others never stand in an encoding
-                self.matches.add_word(token, token)
+                self.matches.add_word(token, (len(token), token, {}, self.ids[token]))
         self.matches.make_automaton()
 
     def _inner(self, token: str) -> str:
@@ -84,27 +112,59 @@ class PrefixEncoder:
         return parts
 
     def compatible(self, a: str, b: str) -> bool:
-        if (known := self.pairs.get((a, b))) is None:
-            if len(self.pairs) >= 4 * CACHE_WORDS:
-                self.pairs.clear()
-            known = self.pairs[a, b] = self.merge(a + b) == [a, b]
-        return known
+        """Whether the rules leave ``a`` and ``b`` beside each other as they are.
+
+        Walks back in time from the two tokens: of the two that meet at the border, the one that was made later is
+        taken apart. No rule for the two may come before the one that was just undone.
+        """
+        if not self.in_order:
+            return self.merge(a + b) == [a, b]
+        made, ranks, limit = self.made, self.ranks, 1 << 60
+        while True:
+            if ranks.get((a, b), limit) < limit:
+                return False
+            rank_a, left, right = made.get(a, NEVER)
+            rank_b, first, _ = made.get(b, NEVER)
+            if rank_a > rank_b:
+                limit, a = rank_a, right
+            elif rank_b >= 0:
+                limit, b = rank_b + 1, first  # of equal rules the left one goes first
+            else:
+                return True
 
     def __call__(self, text: str) -> list[int]:
         """Ids of one pre-token, given as byte symbols."""
-        text = text[:-1] + chr(ord(text[-1]) + FINAL) if self.suffix else text
-        last: list[str | None] = [None] * (len(text) + 1)
-        for end, token in self.matches.iter(text):
-            if last[end + 1] is None:
-                start = end + 1 - len(token)
-                if not start or ((before := last[start]) is not None and self.compatible(before, token)):
-                    last[end + 1] = token
+        if self.suffix:
+            text = text[:-1] + chr(ord(text[-1]) + FINAL)
+        last: list[tuple | None] = [None] * (len(text) + 1)
+        for end, match in self.matches.iter(text):
+            end += 1
+            if last[end] is None:
+                length, token, fits, _ = match
+                if length == end:
+                    last[end] = match
+                elif (before := last[end - length]) is not None:
+                    if (fit := fits.get(before[1])) is None:
+                        fit = self._remember(fits, before[1], token)
+                    if fit:
+                        last[end] = match
         out, at = [], len(text)
         while at:
-            token = last[at]
-            out.append(self.ids[token])
-            at -= len(token)
-        return out[::-1]
+            length, _, _, i = last[at]
+            out.append(i)
+            at -= length
+        out.reverse()
+        return out
+
+    def _remember(self, fits: dict[str, bool], before: str, token: str) -> bool:
+        """What was found out about pairs is kept with their second token, up to a bound."""
+        self.known += 1
+        if self.known > 4 * CACHE_WORDS:
+            self.known = 0
+            for _, _, other, _ in self.matches.values():
+                other.clear()
+        fit = fits[before] = self.compatible(before, token)
+        return fit
 
 
 class Codec:
@@ -121,12 +181,14 @@ class Codec:
             raise ValueError("this form of tokenizer file is not supported")
         model = spec["model"]
         self.pattern = regex.compile(split["pattern"]["Regex"])
+        self.letters = "[\\p{L}]+|" in split["pattern"]["Regex"]  # a word of letters is one part
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.marks = tuple(self.special)
+        self.mark = os.path.commonprefix(list(self.special))  # quick to look for; empty is in every text
         self.encoder = PrefixEncoder(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
+        self.symbols = {b: c for b, c in byte_symbols().items() if chr(b) != c}
         self.tokens = {i: t for t, i in (model["vocab"] | self.special).items()}
-        self.parts: dict[str, list[int]] = {}
+        self.parts = Cache(self.encoder)
         rules = Tokenizer.from_str(definition)
         self.normalizer, self.splitter = rules.normalizer, rules.pre_tokenizer
 
@@ -134,34 +196,26 @@ class Codec:
         """Ids of a stretch of text without ASCII white space. No rule of the normaliser or the pattern crosses
         white space, so a text's ids are those of its words in order."""
         text = raw.decode("utf-8")
-        if any(mark in text for mark in self.marks):
+        if self.special and self.mark in text:
             pieces = [p for p in self.cut.split(text) if p]
             return [i for p in pieces for i in ([self.special[p]] if p in self.special else self._plain(p))]
         return self._plain(text)
 
     def _plain(self, text: str) -> list[int]:
-        out: list[int] = []
-        for part in self._split(text):
-            if (ids := self.parts.get(part)) is None:
-                ids = self.encoder(part)
-                if len(part) <= 64:
-                    if len(self.parts) >= CACHE_WORDS:
-                        self.parts.clear()
-                    self.parts[part] = ids
-            out += ids
-        return out
+        parts = self._split(text)
+        return self.parts[parts[0]] if len(parts) == 1 else [i for part in parts for i in self.parts[part]]
 
     def _split(self, text: str) -> list[str]:
         """Pre-tokens in byte symbols. The classes of characters in the main alphabets are the same in every Unicode
         version; beyond them the file's own library decides."""
         if text.isascii() and text.isprintable():  # these stand for themselves
-            return self.pattern.findall(text.lower())
+            return [text.lower()] if self.letters and text.isalpha() else self.pattern.findall(text.lower())
         if max(text) >= COMMON_END:
             return [part for part, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
         text = unicodedata.normalize("NFC", text)
         text = text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
-        symbols = self.encoder.symbols
-        return ["".join([symbols[b] for b in part.encode("utf-8")]) for part in self.pattern.findall(text)]
+        parts = [text] if self.letters and text.isalpha() else self.pattern.findall(text)
+        return [part.encode("utf-8").decode("latin-1").translate(self.symbols) for part in parts]
 
     def encode(self, text: str) -> list[int]:
         return [i for w in text.encode("utf-8").split() for i in self.word(w)]
@@ -171,22 +225,6 @@ class Codec:
         return " ".join(self.tokens[i] for i in ids)
 
 
-class WordCache(dict):
-    """What ``view`` makes of a word's ids, for the words met most recently."""
-
-    def __init__(self, codec: Codec, view: Callable[[list[int]], object]):
-        super().__init__()
-        self.codec, self.view = codec, view
-
-    def __missing__(self, raw: bytes) -> object:
-        value = self.view(self.codec.word(raw))
-        if len(raw) <= 64:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[raw] = value
-        return value
-
-
 @lru_cache(maxsize=2)
 def codec(definition: str) -> Codec:
     """One codec per worker and vocabulary, kept between tasks."""
@@ -233,7 +271,7 @@ def token_digests(docs: DataFrame, definition: str) -> DataFrame:
         def view(ids: list[int]) -> tuple[int, bytes, bytes]:
             return len(ids), " ".join(map(str, ids)).encode(), tool.decode(ids).encode()
 
-        cache = WordCache(tool, view)
+        cache = Cache(lambda raw: view(tool.word(raw)))
         look = cache.__getitem__
         for batch in batches:
             rows: tuple[list, list, list] = ([], [], [])
