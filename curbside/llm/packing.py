@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbside.llm.bpe import WordCache, codec
+from curbside.llm.bpe import Cache, codec
 from curbside.llm.storage import stage
 
 CAPACITY = 4096
@@ -34,7 +35,8 @@ def cut_documents(docs: DataFrame, definition: str, capacity: int = CAPACITY, en
     spec = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(codec(spec.value), lambda ids: np.array(ids, "<u4").tobytes())
+        tool = codec(spec.value)
+        cache = Cache(lambda raw: array("I", tool.word(raw)).tobytes())
         look, end, width = cache.__getitem__, np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [], [], [])
@@ -95,6 +97,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     An empty table gives an empty one. Longer pieces than the capacity are an error of the caller.
     """
     order = ["length", "doc_id", "piece"]
+    pieces = stage(pieces, "unsorted-pieces")  # sorting by ranges reads its input twice
     rows = pieces.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
     rows = stage(rows, "pieces")
     # One row per length and range: lengths lie in ranges in order, so that there are not many more than both together.
