@@ -80,7 +80,7 @@ def build_tree(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     chains = stage(whole.mapInArrow(_chain, _CHAIN), "chat-chains")
     members = chains.where("last").select("conv_id", "n_turns", "node")
 
-    distinct = chains.drop("conv_id", "n_turns", "last").dropDuplicates(["node"])
+    distinct = stage(chains.drop("conv_id", "n_turns", "last").dropDuplicates(["node"]), "chat-distinct")
     ordered = distinct.repartitionByRange("path", "node").withColumn("part", F.spark_partition_id()).mapInArrow(_format, _NODES)
     nodes = stage(ordered, "chat-nodes")
     base, totals = {}, nodes.groupBy("part").agg(F.sum(F.length("formatted")).alias("n")).orderBy("part").collect()  # a row per range

@@ -118,7 +118,7 @@ def _blocks(copies: DataFrame, axes: Broadcast, cosine: float) -> DataFrame:
 
     kind = copies.schema["label"].dataType.simpleString()
     schema = f"label {kind}, dim int, rep long, n long, {', '.join(f'{c} int' for c in cells)}, x binary"
-    turned = copies.select("label", "dim", "rep", "n", "x").mapInArrow(turn, schema)
+    turned = stage(copies.select("label", "dim", "rep", "n", "x").mapInArrow(turn, schema), "turned")
     order = ["label", "dim", *cells, "rep"]
     ordered = turned.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = f"block string, label {kind}, dim int, low array<double>, high array<double>, reps array<long>, ns array<long>, data binary"
