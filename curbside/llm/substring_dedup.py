@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.storage import carrying, stage
+from curbside.llm.storage import carrying
 from curbside.llm.words import Words
 
 WIDTH = 35
@@ -46,7 +46,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, keep_text: bool = True,
     dealt = docs.select(chunk.alias("chunk"), F.col(id_column).alias("id"), "text").repartition(_tasks(chunks), "chunk")
 
     hashes = dealt.groupBy("chunk").applyInArrow(_sender(width, buckets), "chunk int, bucket int, hashes binary, many binary")
-    answers = stage(hashes.repartition(_tasks(buckets), "bucket").groupBy("bucket").applyInArrow(_count, "chunk int, bucket int, repeated binary"), "repeats")
+    answers = hashes.repartition(_tasks(buckets), "bucket").groupBy("bucket").applyInArrow(_count, "chunk int, bucket int, repeated binary")
     kept = "kept_text string" if keep_text else "kept_sha256 string"
     rest = f"n_words bigint, n_removed bigint, removed array<struct<first:bigint,end:bigint>>, {kept}"
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_remover(width, buckets, keep_text, id_column), carrying(docs, id_column, id_column, rest))
