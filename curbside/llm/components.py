@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +46,15 @@ def _mark(edges: DataFrame) -> tuple:
     """Number and order-free checksum of the links."""
     h = F.xxhash64("u", "v").cast("decimal(38,0)")
     return tuple(edges.agg(F.count("*"), F.coalesce(F.sum(h), F.lit(0))).first())
+
+
+def forest(links: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> np.ndarray:
+    """For the nodes of both sides (``a`` first) the smallest id that a boolean link matrix lets them reach."""
+    top = np.iinfo(np.int64).max
+    left, right = ids_a.astype(np.int64), ids_b.astype(np.int64)
+    while True:
+        new_left = np.minimum(left, np.where(links, right[None, :], top).min(axis=1, initial=top))
+        new_right = np.minimum(right, np.where(links, new_left[:, None], top).min(axis=0, initial=top))
+        if (new_left == left).all() and (new_right == right).all():
+            return np.concatenate([left, right])
+        left, right = new_left, new_right

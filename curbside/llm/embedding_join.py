@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.components import components
+from curbside.llm.components import components, forest
 from curbside.llm.storage import stage
 
 #: Vectors in a block, in the smallest interval of the recursion, and leading dimensions with grid cells.
@@ -198,16 +198,7 @@ def link_blocks(a: tuple, b: tuple, same: bool, cosine: float, axes: dict[int, n
         np.fill_diagonal(links, False)
     ids = ids_a if same else np.concatenate([ids_a, ids_b])
     count = links @ n_b if same else np.concatenate([links @ n_b, links.T @ n_a])
-    root = ids.copy()
-    while True:  # smallest ids spread over the links until nothing changes
-        left, right = (root, root) if same else (root[: len(x)], root[len(x) :])
-        top = np.iinfo(np.int64).max
-        reach = np.where(links, right[None, :], top).min(axis=1, initial=top)
-        new = reach if same else np.concatenate([reach, np.where(links, left[:, None], top).min(axis=0, initial=top)])
-        new = np.minimum(root, new)
-        if (new == root).all():
-            break
-        root = new
+    root = forest(links, ids_a, ids_b)[: len(ids)]  # of a block with itself, both sides are the same nodes
     keep = count > 0
     return ids[keep], count[keep].astype(np.int64), root[keep]
 

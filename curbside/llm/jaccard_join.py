@@ -1,12 +1,14 @@
 """Near-duplicate documents by a Jaccard join of word n-gram sets over a token-group matrix.
 
-1. Documents with equal sets are one set. Sets whose minima under several hash functions agree are compared with one
-   pivot each, which joins most similar sets into groups at linear cost. Any grouping would give the same result.
+1. Documents with equal sets are one set. Sets whose minima agree under most of several hash functions form groups. Any
+   grouping would give the same result.
 2. The token-group matrix holds, for each token, the groups in whose union it stands. Only tokens of prefixes matter: in any
    order of all tokens, sets with a similarity of at least t share some of their first n - ceil(t n) + EXTRA tokens, at
    least EXTRA of them. The order is rare first, so that passages which very many documents share come last.
 3. A set's overlap with a group's union bounds its overlap with every member. Groups that reach the bound are opened: the
-   members that reach it themselves are compared exactly, over whole texts. Sets of one group are linked already.
+   whole texts of queries and members come together in parts, and a matrix product gives all overlaps of a part, from
+   which only a spanning forest of the links goes out. A group is opened for its own members, too, except
+   for those that a comparison with few pivots has linked already.
 
 No candidate is dropped except by these bounds, so that the components are exact.
 """
@@ -17,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.components import components
+from curbside.llm.components import components, forest
 from curbside.llm.storage import stage
+from curbside.operators.lookup import broadcast_if
 from curbside.llm.words import Words, mix, slices
 
 #: Words in a shingle, hash functions for grouping, tokens by which prefixes are longer than they must be.
@@ -29,10 +32,11 @@ SHINGLE, FUNCTIONS, EXTRA = 5, 8, 3
 
 #: A token seen so often among so many tokens of one task is reported as frequent; the most frequent are kept, up to a
 #: number that bounds the broadcast. They only move to the end of the order, which changes no result.
-OFTEN, AMONG, MOST_FREQUENT = 4, 3_000_000, 1 << 18
+OFTEN, AMONG, MOST_FREQUENT = 2, 3_000_000, 1 << 20
 
-#: Members compared with one copy of their pivot.
-MEMBERS = 64
+#: Of FUNCTIONS minima so many agree within a group; pivots tried for each set; queries and members in a part; and the
+#: most rows of wanted documents that are broadcast to the texts instead of shuffling these.
+AGREE, TRIED, QUERIES, MEMBERS, MOST_WANTED = 6, 2, 256, 256, 500_000
 
 _odd = np.random.default_rng(5).integers(1, 2**62, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 WHOLE = np.uint64(0x5851F42D4C957F2D)
@@ -122,11 +126,17 @@ def similar_documents(docs: DataFrame, percent: int = 80, width: int = SHINGLE)
     sets = stage(sets, "sets")
     texts = docs.where("doc_id is not null").select("doc_id", "text")
 
-    near = stage(verify(texts, _pivots(sets), percent), "pivot-links")
-    groups = stage(components(near), "groups")
-    members = sets.select("rep", "n").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    members = stage(members.select("rep", "n", F.coalesce("component", "rep").alias("grp")), "members")
-    far = stage(verify(texts, _open_groups(texts, rows, sets, members, _order(profiles), percent), percent), "group-links")
+    rated = stage(_pivots(sets), "rated-pivots")
+    pivots = rated.select(F.col("b").alias("g"), "b").distinct()
+    near = stage(_open(texts, rated.select("a", F.col("b").alias("g")), pivots, percent), "pivot-links")
+    likely = rated.where(F.col("agree") >= AGREE).select("a", "b")
+    groups = components(likely.unionByName(near)).withColumnRenamed("node", "rep").withColumnRenamed("component", "grp")
+    linked = components(near).withColumnRenamed("node", "rep").withColumnRenamed("component", "part")
+    members = sets.select("rep", "n").join(groups, "rep", "left").join(linked, "rep", "left")
+    members = stage(members.select("rep", "n", F.coalesce("grp", "rep").alias("grp"), F.coalesce("part", "rep").alias("part")), "members")
+    queries = _stragglers(members).unionByName(_other_groups(texts, members, _order(profiles), percent))
+    inside = members.select(F.col("rep").alias("b"), F.col("grp").alias("g"))
+    far = stage(_open(texts, queries, inside, percent), "group-links")
 
     # Rows of one id are one document, also if their sets differ.
     own = rows.where("n > 0 and doc_id is not null").join(sets.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"])
@@ -136,11 +146,27 @@ def similar_documents(docs: DataFrame, percent: int = 80, width: int = SHINGLE)
 
 
 def _pivots(sets: DataFrame) -> DataFrame:
-    """For each set the pivot with which most of its minima agree: the smallest of the sets that have the same minimum."""
-    minima = sets.select("rep", F.posexplode("least").alias("i", "least"))
-    pivots = stage(minima.groupBy("i", "least").agg(F.min("rep").alias("pivot"), F.count("*").alias("k")).where("k > 1").drop("k"), "pivots")
-    met = minima.join(pivots, ["i", "least"]).where("rep <> pivot").groupBy("rep", "pivot").count().where("count > 1")
-    return met.groupBy("rep").agg(F.max_by("pivot", F.struct("count", -F.col("pivot"))).alias("b")).select(F.col("rep").alias("a"), "b")
+    """For each set those TRIED of its pivots with which most minima agree.
+
+    Under every hash function, the sets of one minimum have one of them as pivot, another one for each function: a set
+    that has drifted away from one member of its family is near to others.
+    """
+    minima = sets.select("rep", F.posexplode("least").alias("i", "minimum"))
+    chosen = minima.groupBy("i", "minimum").agg(F.min_by("rep", F.struct(F.xxhash64("rep", "i"), "rep")).alias("pivot"), F.count("*").alias("k"))
+    pivots = stage(chosen.where("k > 1").drop("k"), "pivots")
+    met = stage(minima.join(pivots, ["i", "minimum"]).where("rep <> pivot").select("rep", "pivot").distinct(), "met-pivots")
+    own, other = sets.select("rep", "least"), sets.select(F.col("rep").alias("pivot"), F.col("least").alias("other"))
+    agree = F.size(F.filter(F.zip_with("least", "other", lambda x, y: x == y), lambda e: e))
+    rated = met.join(own, "rep").join(other, "pivot").select("rep", F.struct(-agree, "pivot").alias("rated"))
+    best = rated.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list("rated")), 1, TRIED).alias("best"))  # FUNCTIONS at most
+    return best.select(F.col("rep").alias("a"), F.explode("best").alias("x")).select("a", F.col("x.pivot").alias("b"), (-F.col("x.col1")).alias("agree"))
+
+
+def _stragglers(members: DataFrame) -> DataFrame:
+    """Members that are not linked to the largest linked part of their group, as queries for it."""
+    parts = stage(members.groupBy("grp", "part").agg(F.count("*").alias("k")), "group-parts")
+    main = parts.groupBy("grp").agg(F.max_by("part", F.struct("k", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    return members.join(main, "grp").where("part <> main").select(F.col("rep").alias("a"), F.col("grp").alias("g"))
 
 
 def _order(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -178,8 +204,8 @@ def prefix(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], percent:
     return np.concatenate([rare, often[np.lexsort((often, seen))][: length - len(rare)]])
 
 
-def _open_groups(texts: DataFrame, rows: DataFrame, sets: DataFrame, members: DataFrame, order: tuple, percent: int) -> DataFrame:
-    """Pairs of sets of different groups that reach the bounds."""
+def _other_groups(texts: DataFrame, members: DataFrame, order: tuple, percent: int) -> DataFrame:
+    """Sets and the other groups whose unions reach the bound."""
     spec = texts.sparkSession.sparkContext.broadcast(order)  # at most MOST_FREQUENT tokens
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,58 +223,85 @@ def _open_groups(texts: DataFrame, rows: DataFrame, sets: DataFrame, members: Da
     held = stage(held, "held-tokens")
     mixed = stage(held.groupBy("token").agg(F.min("grp").alias("p"), F.max("grp").alias("q")).where("p < q").select("token"), "mixed-tokens")
     held = stage(held.join(mixed, "token", "left_semi"), "open-tokens")
-
-    matrix = held.select("token", F.col("grp").alias("g")).distinct()
+    matrix = stage(held.select("token", F.col("grp").alias("g")).distinct(), "token-groups")
+    overlaps = held.join(matrix, "token").where("grp < g").groupBy("rep", "g", "n").count()
     need = F.least(F.lit(EXTRA), F.ceil(F.col("n") * percent / 100))
-    bound = held.join(matrix, "token").where("grp < g").groupBy("rep", "g", "n").count().where(F.col("count") >= need)
-    opened = stage(bound.select(F.col("rep").alias("a"), "g"), "open-groups")
-    query = held.select("token", F.col("rep").alias("a"), F.col("n").alias("n_a")).join(opened, "a")
-    inside = held.select("token", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("grp").alias("g"))
-    sizes: Column = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    met = query.join(inside, ["token", "g"]).where(sizes).groupBy("a", "b", "n_a", "n_b").count()
-    enough = F.col("count") >= F.least(F.lit(EXTRA), F.ceil(F.greatest("n_a", "n_b") * percent / 100))
-    return met.where(enough).select("a", "b")
+    return overlaps.where(F.col("count") >= need).select(F.col("rep").alias("a"), "g")
 
 
-def verify(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (``a``, ``b``) whose sets are similar enough, by exact comparison of whole texts.
+def _open(texts: DataFrame, queries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links (``a``, ``b``) between queries (``a``) of groups (``g``) and these groups' members (``b``), as a forest.
 
-    Texts come together by ``b``; a ``b`` with many partners is copied for every MEMBERS of them.
+    Queries and members of a group are dealt into parts; each part of queries meets each part of members once.
     """
-    pairs = stage(pairs, "pairs")
-    sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
-    dealt = stage(pairs.join(sizes, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts"))), "dealt-pairs")
-    need = dealt.select(F.col("a").alias("doc_id"), "b", "part", F.lit(1).alias("place")).unionByName(
-        dealt.select(F.col("b").alias("doc_id"), "b", "part", F.lit(0).alias("place")).distinct()
-    )
-    wanted = texts.join(need, "doc_id")
-    tasks = wanted.repartition("b", "part").sortWithinPartitions("b", "part", "place")
-    return tasks.select("b", "part", "place", "doc_id", "text").mapInArrow(_compare(percent), "a long, b long").distinct()
+    queries, members = stage(queries.distinct(), "queries"), stage(members, "opened-members")
+    parts = lambda df, size, name: df.groupBy("g").agg(F.ceil(F.count("*") / size).alias(name))
+    sizes = stage(parts(queries, QUERIES, "qs").join(parts(members, MEMBERS, "ms"), "g"), "group-sizes")
+    own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
+    asked = queries.join(sizes, "g").select(F.col("a").alias("doc_id"), "g", own("a", "qs").alias("q"), every("ms").alias("m"), F.lit(0).alias("side"))
+    held = members.join(sizes, "g").select(F.col("b").alias("doc_id"), "g", every("qs").alias("q"), own("b", "ms").alias("m"), F.lit(1).alias("side"))
+    wanted = stage(asked.unionByName(held), "wanted")
+    found = texts.join(broadcast_if(wanted.count() <= MOST_WANTED, wanted), "doc_id")
+    tasks = found.repartition("g", "q", "m").sortWithinPartitions("g", "q", "m", "side")
+    return tasks.select("g", "q", "m", "side", "doc_id", "text").mapInArrow(_compare(percent), "a long, b long").distinct()
 
 
 def _compare(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, pivots = None, []
+        key, sides = None, ([], [])
         for batch in batches:
             for part in slices(batch, "text"):
-                found: tuple[list, list] = ([], [])
-                sets = shingle_sets(part.column(4))
-                for b, deal, place, doc_id, s in zip(*(part.column(i).to_pylist() for i in range(4)), sets, strict=True):
-                    if (b, deal) != key:
-                        key, pivots = (b, deal), []
-                    if not place:
-                        pivots.append(s)
-                        continue
-                    for p in pivots:
-                        both = len(np.intersect1d(p, s, assume_unique=True))
-                        if both and 100 * both >= percent * (len(p) + len(s) - both):
-                            found[0].append(doc_id)
-                            found[1].append(b)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
+                links: list[tuple[np.ndarray, np.ndarray]] = []
+                for *own, side, doc_id, s in zip(*(part.column(i).to_pylist() for i in range(5)), shingle_sets(part.column(5)), strict=True):
+                    if own != key or side and len(sides[1]) >= 2 * MEMBERS:
+                        links.append(link_sets(*sides, percent))
+                        key, sides = own, (sides[0] if own == key else [], [])
+                    sides[side].append((doc_id, s))
+                yield _pairs(links)
+        yield _pairs([link_sets(*sides, percent)])
 
     return run
 
 
+def _pairs(links: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    columns = [np.concatenate(c) for c in zip(*links, strict=True)] if links else [np.zeros(0, np.int64)] * 2
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+
+def link_sets(queries: list, members: list, percent: int, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """(id, set) of queries and members to a spanning forest of their links, by products of incidence matrices."""
+    nothing = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if not queries or not members:
+        return nothing
+    sizes = [np.array([len(s) for _, s in side]) for side in (queries, members)]
+    if len(queries) == len(members) == 1:
+        both = np.array([[np.intersect1d(queries[0][1], members[0][1], assume_unique=True).size]])
+    else:
+        flat = [np.concatenate([s for _, s in side]) for side in (queries, members)]
+        common = np.intersect1d(*flat)
+        both = np.zeros((len(queries), len(members)), np.float32)
+        where = []
+        for tokens, n in zip(flat, sizes, strict=True):
+            at = np.searchsorted(common, tokens)
+            hit = np.flatnonzero((at < len(common)) & (common[np.minimum(at, max(0, len(common) - 1))] == tokens)) if len(common) else np.zeros(0, np.int64)
+            where.append((np.repeat(np.arange(len(n)), n)[hit], at[hit]))
+        for low in range(0, len(common), columns):
+            blocks = []
+            for (row, at), n in zip(where, sizes, strict=True):
+                block = np.zeros((len(n), min(columns, len(common) - low)), np.float32)
+                mine = (at >= low) & (at < low + columns)
+                block[row[mine], at[mine] - low] = 1
+                blocks.append(block)
+            both += blocks[0] @ blocks[1].T
+    links = (both > 0) & (100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both))
+    ids = [np.array([i for i, _ in side], np.int64) for side in (queries, members)]
+    every = np.concatenate(ids)
+    root = forest(links, *ids)
+    keep = every != root
+    return every[keep], root[keep]
+
+
 def keep_one_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One row of each component: that with the component's id, of several rows with this id the smallest.
 
