@@ -15,7 +15,8 @@ import hashlib
 import json
 import os
 import unicodedata
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -23,8 +24,9 @@ from pyspark.sql import DataFrame
 
 from curbside.llm.words import slices
 
-#: Entries of each generation of a cache of words: bounds a worker's memory, never changes a result.
-CACHE_WORDS = 150_000
+#: Entries of each generation of the caches of words, of their parts and of pairs of tokens: they bound a worker's memory
+#: and never change a result.
+CACHE_WORDS, CACHE_PARTS, CACHE_PAIRS = 250_000, 60_000, 400_000
 
 #: End of the Latin, Greek and Cyrillic blocks.
 COMMON_END = "\u0530"
@@ -36,6 +38,9 @@ FINAL = 0x20000
 #: In place of a rule, for single symbols.
 NEVER = (-1, "", "")
 
+#: Before the first token, which any token may follow.
+START = (0, "", {}, -1)
+
 
 def byte_symbols() -> dict[int, str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
@@ -47,16 +52,16 @@ def byte_symbols() -> dict[int, str]:
 class Cache(dict):
     """Results of ``make`` for the keys met most recently: two generations, of which the older one goes."""
 
-    def __init__(self, make: Callable):
+    def __init__(self, make: Callable, most: int):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key: str | bytes) -> object:
         if (value := self.older.get(key)) is None:
             value = self.make(key)
             if len(key) > 64:
                 return value
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[key] = value
@@ -84,7 +89,7 @@ class PrefixEncoder:
         self.matches = ahocorasick.Automaton()
         for token in self.ids:
             if len(token) == 1 or len(self.merge(token)) == 1:  # others never stand in an encoding
-                self.matches.add_word(token, (len(token), token, {}, self.ids[token]))
+                self.matches.add_word(token, (len(token), token, {"": True}, self.ids[token]))
         self.matches.make_automaton()
 
     def _inner(self, token: str) -> str:
@@ -132,43 +137,40 @@ class PrefixEncoder:
             else:
                 return True
 
-    def __call__(self, text: str) -> list[int]:
-        """Ids of one pre-token, given as byte symbols."""
+    def __call__(self, text: str) -> bytes:
+        """Ids of one pre-token, given as byte symbols, as packed 32-bit numbers."""
         if self.suffix:
             text = text[:-1] + chr(ord(text[-1]) + FINAL)
-        last: list[tuple | None] = [None] * (len(text) + 1)
+        last: list[tuple | None] = [None] * len(text)
+        last.append(START)  # also found at -1, before the first symbol
         for end, match in self.matches.iter(text):
-            end += 1
-            if last[end] is None:
-                length, token, fits, _ = match
-                if length == end:
+            if last[end] is None and (before := last[end - match[0]]) is not None:
+                if (fit := match[2].get(before[1])) is None:
+                    fit = self._remember(match[2], before[1], match[1])
+                if fit:
                     last[end] = match
-                elif (before := last[end - length]) is not None:
-                    if (fit := fits.get(before[1])) is None:
-                        fit = self._remember(fits, before[1], token)
-                    if fit:
-                        last[end] = match
-        out, at = [], len(text)
-        while at:
-            length, _, _, i = last[at]
-            out.append(i)
-            at -= length
+        out, at = [], len(text) - 1
+        while at >= 0:
+            match = last[at]
+            out.append(match[3])
+            at -= match[0]
         out.reverse()
-        return out
+        return array("I", out).tobytes()
 
     def _remember(self, fits: dict[str, bool], before: str, token: str) -> bool:
         """What was found out about pairs is kept with their second token, up to a bound."""
         self.known += 1
-        if self.known > 4 * CACHE_WORDS:
+        if self.known > CACHE_PAIRS:
             self.known = 0
             for _, _, other, _ in self.matches.values():
                 other.clear()
+                other[""] = True
         fit = fits[before] = self.compatible(before, token)
         return fit
 
 
 class Codec:
-    """Encodes whole texts; ``view`` turns the ids of one white-space separated word into what is kept for it."""
+    """Encodes whole texts, by their white-space separated words."""
 
     def __init__(self, definition: str):
         import regex
@@ -188,22 +190,22 @@ class Codec:
         self.encoder = PrefixEncoder(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
         self.symbols = {b: c for b, c in byte_symbols().items() if chr(b) != c}
         self.tokens = {i: t for t, i in (model["vocab"] | self.special).items()}
-        self.parts = Cache(self.encoder)
+        self.parts = Cache(self.encoder, CACHE_PARTS)
         rules = Tokenizer.from_str(definition)
         self.normalizer, self.splitter = rules.normalizer, rules.pre_tokenizer
 
-    def word(self, raw: bytes) -> list[int]:
-        """Ids of a stretch of text without ASCII white space. No rule of the normaliser or the pattern crosses
+    def word(self, raw: bytes) -> bytes:
+        """Packed ids of a stretch of text without ASCII white space. No rule of the normaliser or the pattern crosses
         white space, so a text's ids are those of its words in order."""
         text = raw.decode("utf-8")
         if self.special and self.mark in text:
             pieces = [p for p in self.cut.split(text) if p]
-            return [i for p in pieces for i in ([self.special[p]] if p in self.special else self._plain(p))]
+            return b"".join([array("I", [self.special[p]]).tobytes() if p in self.special else self._plain(p) for p in pieces])
         return self._plain(text)
 
-    def _plain(self, text: str) -> list[int]:
+    def _plain(self, text: str) -> bytes:
         parts = self._split(text)
-        return self.parts[parts[0]] if len(parts) == 1 else [i for part in parts for i in self.parts[part]]
+        return self.parts[parts[0]] if len(parts) == 1 else b"".join(map(self.parts.__getitem__, parts))
 
     def _split(self, text: str) -> list[str]:
         """Pre-tokens in byte symbols. The classes of characters in the main alphabets are the same in every Unicode
@@ -218,9 +220,9 @@ class Codec:
         return [part.encode("utf-8").decode("latin-1").translate(self.symbols) for part in parts]
 
     def encode(self, text: str) -> list[int]:
-        return [i for w in text.encode("utf-8").split() for i in self.word(w)]
+        return array("I", b"".join(map(self.word, text.encode("utf-8").split()))).tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """Without a decoder in the file, tokens are joined by one space."""
         return " ".join(self.tokens[i] for i in ids)
 
@@ -231,6 +233,46 @@ def codec(definition: str) -> Codec:
     return Codec(definition)
 
 
+class WordIds(Cache):
+    """Packed ids of white-space separated words, kept between tasks."""
+
+    def __init__(self, tool: Codec):
+        super().__init__(self.ids, CACHE_WORDS)
+        self.tool = tool
+        self.tails = {c: tool.word(c) for c in (b".", b",")}
+
+    def ids(self, raw: bytes) -> bytes:
+        """A full stop or comma after a letter or digit is a part of its own, so that the word before may be known."""
+        if self.tool.letters and raw.isalpha():  # ASCII letters alone are one part
+            return self.tool.encoder(raw.lower().decode())
+        if (tail := self.tails.get(raw[-1:])) is not None and raw[-2:-1].isalnum():
+            return self[raw[:-1]] + tail
+        return self.tool.word(raw)
+
+    def words(self, text: bytes) -> list[bytes]:
+        """The words of a text; in lower case, which they become anyway, unless it may hold special tokens."""
+        if self.tool.special and self.tool.mark.encode() in text:
+            return text.split()
+        return text.lower().split()
+
+
+@lru_cache(maxsize=2)
+def word_ids(definition: str) -> WordIds:
+    return WordIds(codec(definition))
+
+
+@lru_cache(maxsize=2)
+def word_streams(definition: str) -> Cache:
+    """Per word the number of ids, and its stretch of the texts that list ids and tokens."""
+    tool = codec(definition)
+
+    def view(raw: bytes) -> tuple[int, bytes, bytes]:
+        ids = array("I", word_ids(definition).ids(raw))
+        return len(ids), " ".join(map(str, ids)).encode(), tool.decode(ids).encode()
+
+    return Cache(view, CACHE_WORDS // 2)
+
+
 def read_definition(path: str) -> str:
     with open(path, encoding="utf-8") as file:
         return file.read()
@@ -266,17 +308,12 @@ def token_digests(docs: DataFrame, definition: str) -> DataFrame:
     spec = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = codec(spec.value)
-
-        def view(ids: list[int]) -> tuple[int, bytes, bytes]:
-            return len(ids), " ".join(map(str, ids)).encode(), tool.decode(ids).encode()
-
-        cache = Cache(lambda raw: view(tool.word(raw)))
+        cache, words = word_streams(spec.value), word_ids(spec.value).words
         look = cache.__getitem__
         for batch in batches:
             rows: tuple[list, list, list] = ([], [], [])
             for raw in batch.column(1).cast(pa.large_binary()):
-                found = [x for x in map(look, (raw.as_py() or b"").split()) if x[0]]
+                found = [x for x in map(look, words(raw.as_py() or b"")) if x[0]]
                 rows[0].append(sum(x[0] for x in found))
                 rows[1].append(hashlib.sha256(b" ".join([x[1] for x in found])).hexdigest())
                 rows[2].append(hashlib.sha256(b" ".join([x[2] for x in found])).hexdigest())

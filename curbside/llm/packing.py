@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import bisect
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbside.llm.bpe import Cache, codec
+from curbside.llm.bpe import word_ids
 from curbside.llm.storage import stage
 
 CAPACITY = 4096
@@ -35,13 +34,12 @@ def cut_documents(docs: DataFrame, definition: str, capacity: int = CAPACITY, en
     spec = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = codec(spec.value)
-        cache = Cache(lambda raw: array("I", tool.word(raw)).tobytes())
+        cache = word_ids(spec.value)
         look, end, width = cache.__getitem__, np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [], [], [])
             for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()), strict=True):
-                stream = b"".join([*map(look, (raw.as_py() or b"").split()), end])
+                stream = b"".join([*map(look, cache.words(raw.as_py() or b"")), end])
                 for piece, at in enumerate(range(0, len(stream), width)):
                     ids = memoryview(stream)[at : at + width]
                     for column, value in zip(rows, (i, piece, at // 4, len(ids) // 4, zlib.crc32(ids)), strict=True):
