@@ -32,11 +32,11 @@ SHINGLE, FUNCTIONS, EXTRA = 5, 8, 3
 
 #: A token seen so often among so many tokens of one task is reported as frequent; the most frequent are kept, up to a
 #: number that bounds the broadcast. They only move to the end of the order, which changes no result.
-OFTEN, AMONG, MOST_FREQUENT = 2, 3_000_000, 1 << 20
+OFTEN, AMONG, MOST_FREQUENT = 2, 3_000_000, 1 << 19
 
 #: Of FUNCTIONS minima so many agree within a group; pivots tried for each set; queries and members in a part; and the
 #: most rows of wanted documents that are broadcast to the texts instead of shuffling these.
-AGREE, TRIED, QUERIES, MEMBERS, MOST_WANTED = 6, 2, 256, 256, 500_000
+AGREE, TRIED, QUERIES, MEMBERS, MOST_WANTED = 6, 2, 256, 256, 250_000
 
 _odd = np.random.default_rng(5).integers(1, 2**62, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 WHOLE = np.uint64(0x5851F42D4C957F2D)
@@ -183,10 +183,10 @@ def _order(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         least = r.level
     if least is None:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    kept = counts.where(level >= least).toPandas()
-    tokens = kept["tokens"].to_numpy(np.int64).view(np.uint64)
+    kept = counts.where(level >= least).toArrow()
+    tokens = kept.column("tokens").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], kept["seen"].to_numpy(np.int64)[order]
+    return tokens[order], kept.column("seen").to_numpy()[order]
 
 
 def prefix(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray:
