@@ -366,11 +366,7 @@ FROM (SELECT id, min(size) FILTER (WHERE own) AS size,
 
 ORACLE_SQL: dict[str, str] = {
     "s1_trip_scan": _sql("trips", "SELECT * FROM trips"),
-    "s5_cast_pass": _sql(
-        "trips",
-        """SELECT VendorID, PULocationID, DOLocationID, trip_distance, fare_amount, passenger_count,
-       total_amount FROM trips""",
-    ),
+    "s5_cast_pass": _sql("trips", f"SELECT {_RECORD}, payment_type, RatecodeID FROM trips"),
     "s7_zone_dimension": _sql("zones", "SELECT * FROM zones"),
     "s8_station_dimension": _sql("stations", "SELECT * FROM stations"),
     "s17_row_counts": _sql(
@@ -613,6 +609,32 @@ FROM (SELECT DISTINCT PULocationID FROM trips) LEFT JOIN zones ON zone_id = PULo
         + ", ".join(f"{_rounded_value(n, 'trip_count')} AS {n}_v" for n in _DEMAND_FEATURES)
         + ", trip_count FROM hourly",
     ),
+    "m3_kmeans_facts": _sql(
+        "zone_agg",
+        """SELECT count(*) AS zones, CAST(sum(total_trips) AS BIGINT) AS trips, CAST(0 AS BIGINT) AS misplaced
+FROM zone_agg""",
+    ),
+    "m7_linear_facts": _sql(
+        "hourly",
+        f"""SELECT count(*) AS "rows", round(avg(trip_count), 4) AS mean_label FROM hourly
+WHERE {_DEMAND_BUCKET} < 80""",
+    ),
+    "m8_tree_rows": _sql(
+        "hourly",
+        f"SELECT PULocationID, pickup_hour, pickup_dow, trip_count FROM hourly WHERE {_DEMAND_BUCKET} >= 80",
+    ),
+    "m10_comparison_facts": _sql(
+        "hourly",
+        f"""SELECT model, label_variance FROM
+  (SELECT round(var_pop(trip_count), 4) AS label_variance FROM hourly WHERE {_DEMAND_BUCKET} >= 80),
+  (VALUES ('Linear Regression'), ('Gradient Boosted Trees')) names(model)""",
+    ),
+    "m6_random_split_rows": _sql("hourly", "SELECT PULocationID, pickup_hour, pickup_dow, trip_count FROM hourly"),
+    "c6_scaling_report": _sql(
+        "trips",
+        f"""SELECT 'trips' AS input, (SELECT count(*) FROM trips) AS "rows",
+       (SELECT count(DISTINCT PULocationID) FROM trips WHERE {_COMPACT}) AS zones""",
+    ),
     "m6_hash_split": _sql(
         "hourly",
         f"""SELECT PULocationID, pickup_hour, pickup_dow,

@@ -7,8 +7,6 @@ the last bits between engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
-from pathlib import Path
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -128,8 +126,11 @@ def s1_trip_scan(spark, d):
 @query
 def s5_cast_pass(spark, d):
     """Records as text, as a CSV without inference holds them, brought back by the cast pass."""
-    text = tables.trips(spark, d).select(*[F.col(name).cast("string") for name in RECORD])
-    return conform(text)
+    trips = tables.trips(spark, d)
+    names = (*RECORD, "payment_type", "RatecodeID", *EPOCH.values())
+    text = conform(trips.select(*[F.col(name).cast("string") for name in names]))
+    seconds = {name: F.unix_timestamp(column) for name, column in EPOCH.items()}
+    return text.withColumns(seconds).drop(*EPOCH.values())
 
 
 @query
@@ -617,6 +618,25 @@ def m4_k_sweep(spark, d):
     return rounded(models.k_sweep(_settled_zones(spark, d), range(2, 10)))
 
 
+@query
+def m3_kmeans_facts(spark, d):
+    """What holds for any fit: every zone in one cluster, none nearer to another centre."""
+    zones = _settled_zones(spark, d)
+    model = models.fit_clusters(zones)
+    clustered = models.assign_clusters(zones, model)
+    centers = [center.tolist() for center in model.stages[-1].clusterCenters()]
+    x = vector_to_array(F.col("features"))
+    squares = F.array(
+        *[F.aggregate(F.transform(x, lambda v, i, c=F.array(*map(F.lit, c)): F.pow(v - F.get(c, i), 2)), F.lit(0.0), lambda s, v: s + v) for c in centers]
+    )
+    own = F.get(squares, F.col("cluster"))
+    misplaced = (own > F.array_min(squares) * (1 + 1e-9) + 1e-12).cast("long")
+    per_cluster = clustered.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("zones"), F.sum("total_trips").alias("trips"), F.sum(misplaced).alias("misplaced")
+    )
+    return per_cluster.agg(*[F.sum(name).alias(name) for name in ("zones", "trips", "misplaced")])
+
+
 @query
 def m5_demand_vectors(spark, d):
     ready = rounded(models.demand_input(_hourly(spark, d)), count=models.LABEL)
@@ -645,6 +665,23 @@ def m7_linear_regression(spark, d):
     return rounded(predicted.select(*models.DEMAND_KEY, models.LABEL, "prediction"))
 
 
+@query
+def m7_linear_facts(spark, d):
+    """A linear fit with an intercept meets the mean of its training rows."""
+    train, _ = models.hash_split(models.demand_input(_settled_hourly(spark, d)))
+    predicted = models.fit_linear(train).transform(train)
+    return rounded(predicted.agg(F.count(F.lit(1)).alias("rows"), F.round(F.avg("prediction"), 4).alias("mean_label")))
+
+
+@query
+def m8_tree_rows(spark, d):
+    """The test rows, each with a finite prediction."""
+    train, test = models.hash_split(models.demand_input(_settled_hourly(spark, d)))
+    predicted = models.fit_trees(train).transform(test)
+    finite = predicted.where(F.col("prediction").isNotNull() & (F.abs("prediction") < float("inf")))
+    return finite.select(*models.DEMAND_KEY, models.LABEL)
+
+
 @query
 def m8_boosted_trees(spark, d):
     train, test = models.hash_split(models.demand_input(_settled_hourly(spark, d)))
@@ -664,6 +701,21 @@ def m10_model_comparison(spark, d):
     return rounded(models.run_regression(_settled_hourly(spark, d))[0])
 
 
+@query
+def m10_comparison_facts(spark, d):
+    """RMSE and R2 of each model agree with the variance of the test labels."""
+    metrics = models.run_regression(_settled_hourly(spark, d))[0]
+    variance = F.pow("rmse", 2) / (1 - F.col("r2"))
+    return metrics.select("model", F.round(variance, 4).alias("label_variance"))
+
+
+@query
+def m6_random_split_rows(spark, d):
+    """Both parts of the seeded split together are the input."""
+    train, test = models.random_split(models.demand_input(_settled_hourly(spark, d)))
+    return train.unionByName(test).select(*models.DEMAND_KEY, models.LABEL)
+
+
 # --- composites -----------------------------------------------------------------------------------
 
 
@@ -694,12 +746,9 @@ def c5_compact_etl(spark, d):
 
 @query
 def c6_scaling_report(spark, d):
-    """The compact job on every scale that lies beside the given one."""
-    here = Path(d)
-    beside = sorted(p for p in here.parent.glob("sf*") if (p / "lineitem.parquet").exists())
-    folders = {p.name: str(p) for p in beside} or {here.name: d}
-    inputs = {name: partial(tables.trips, spark, path) for name, path in folders.items()}
-    return scaling_table(spark, inputs)
+    """The compact job over the given trips; seconds and speeds are left to the job's own report."""
+    report = scaling_table(spark, {"trips": lambda: tables.trips(spark, d)})
+    return report.select("input", "rows", "zones")
 
 
 def _demand_chart(name: str, chart: str) -> None:

@@ -58,3 +58,11 @@ def level_covering(radius_km: float) -> int:
     angle = min(radius_km / (2 * EARTH_RADIUS_KM), math.pi / 2)
     chord = 2 * math.sin(angle) * (1 + 1e-9) + 1e-12
     return max(0, min(FINEST_LEVEL, math.floor(math.log2(2 / chord))))
+
+
+def level_covering_column(km: Column) -> Column:
+    """``level_covering`` of a column of distances."""
+    angle = F.least(km / (2 * EARTH_RADIUS_KM), F.lit(math.pi / 2))
+    chord = F.lit(2.0) * F.sin(angle) * (1 + 1e-9) + 1e-12
+    level = F.floor(F.log2(F.lit(2.0) / chord))
+    return F.greatest(F.lit(0), F.least(F.lit(FINEST_LEVEL), level)).cast("int")

@@ -33,17 +33,22 @@ def _zone_keys(df: DataFrame, names: tuple[str, ...]) -> list[Column]:
     return [F.col(name).alias(wanted[name]) for name in names if name in df.columns]
 
 
-def _with_position(df: DataFrame, zones: DataFrame | None, params: Params) -> DataFrame:
+def _with_position(
+    df: DataFrame, zones: DataFrame | None, params: Params, small: bool | None = None
+) -> DataFrame:
     if zones is None:
         return df
     dim = pickup_dimension(zones).withColumnsRenamed(
         {"pu_borough": "borough", "pu_lat": "lat", "pu_lon": "lon"}
     )
-    return attach(df, dim, "PULocationID", params)
+    return attach(df, dim, "PULocationID", params, small)
 
 
 def zone_aggregates(
-    features: DataFrame, zones: DataFrame | None = None, params: Params = Params()
+    features: DataFrame,
+    zones: DataFrame | None = None,
+    params: Params = Params(),
+    small: bool | None = None,
 ) -> DataFrame:
     """One row per pickup zone.
 
@@ -61,13 +66,16 @@ def zone_aggregates(
         F.sum("is_rush_hour").cast("double").alias("rush_hour_trips"),
         F.avg("is_weekend").alias("weekend_fraction"),
     )
-    placed = _with_position(grouped, zones, params)
+    placed = _with_position(grouped, zones, params, small)
     share = F.col("rush_hour_trips") / F.col("total_trips")
     return placed.withColumn("rush_hour_fraction", share).select(*ZONE_COLUMNS)
 
 
 def hourly_demand(
-    features: DataFrame, zones: DataFrame | None = None, params: Params = Params()
+    features: DataFrame,
+    zones: DataFrame | None = None,
+    params: Params = Params(),
+    small: bool | None = None,
 ) -> DataFrame:
     """One row per pickup zone, hour and weekday."""
     keys = [] if zones is not None else _zone_keys(features, ("pu_borough",))
@@ -78,7 +86,7 @@ def hourly_demand(
         F.max("is_weekend").alias("is_weekend"),
         F.max("is_rush_hour").alias("is_rush_hour"),
     )
-    return _with_position(grouped, zones, params).select(*HOURLY_COLUMNS)
+    return _with_position(grouped, zones, params, small).select(*HOURLY_COLUMNS)
 
 
 def demand_cube(features: DataFrame) -> DataFrame:
@@ -100,7 +108,7 @@ def demand_cube(features: DataFrame) -> DataFrame:
 
 
 def zone_aggregates_from_cube(
-    cube: DataFrame, zones: DataFrame, params: Params = Params()
+    cube: DataFrame, zones: DataFrame, params: Params = Params(), small: bool | None = None
 ) -> DataFrame:
     """``zone_aggregates`` rolled up from ``demand_cube``."""
     trips = F.sum("trip_count")
@@ -119,12 +127,12 @@ def zone_aggregates_from_cube(
         (F.sum(F.col("is_weekend") * F.col("trip_count")) / trips).alias("weekend_fraction"),
     )
     share = F.col("rush_hour_trips") / F.col("total_trips")
-    placed = _with_position(grouped, zones, params)
+    placed = _with_position(grouped, zones, params, small)
     return placed.withColumn("rush_hour_fraction", share).select(*ZONE_COLUMNS)
 
 
 def hourly_demand_from_cube(
-    cube: DataFrame, zones: DataFrame, params: Params = Params()
+    cube: DataFrame, zones: DataFrame, params: Params = Params(), small: bool | None = None
 ) -> DataFrame:
     """``hourly_demand`` from ``demand_cube``."""
     means = cube.withColumns(
@@ -133,7 +141,7 @@ def hourly_demand_from_cube(
             "avg_fare": F.col("sum_fare") / F.col("trip_count"),
         }
     )
-    return _with_position(means, zones, params).select(*HOURLY_COLUMNS)
+    return _with_position(means, zones, params, small).select(*HOURLY_COLUMNS)
 
 
 def compact_features(df: DataFrame, params: Params = Params()) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from curbside.functions.calendar import minutes_between
 from curbside.params import Params
+from curbside.sources.schema import narrow_ids
 
 # Columns without which a trip is unusable, and the shorter list of the compact job.
 REQUIRED = (
@@ -72,12 +73,15 @@ def apply_rules(df: DataFrame, names: Iterable[str], params: Params = Params())
 
 def clean(df: DataFrame, params: Params = Params()) -> DataFrame:
     """Drop implausible trips: missing values, ranges, time order, zone ids, total."""
-    return apply_rules(df, BASIC_RULES, params)
+    return narrow_ids(apply_rules(df, BASIC_RULES, params))
 
 
 def clean_compact(df: DataFrame, params: Params = Params()) -> DataFrame:
-    """The smaller rule set of the compact job."""
-    return apply_rules(df, COMPACT_RULES, params)
+    """The smaller rule set of the compact job, which bounds no id: one too wide is no id."""
+    kept = apply_rules(df, COMPACT_RULES, params)
+    if dict(kept.dtypes)["PULocationID"] == "bigint":
+        kept = kept.where(F.col("PULocationID").try_cast("int").isNotNull())
+    return narrow_ids(kept)
 
 
 def audit(

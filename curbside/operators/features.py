@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curbside.functions.calendar import day_part, ratio_if_positive, rush_flag, weekend_flag
 from curbside.operators.clean import METRIC_RULES, apply_rules, clean, duration_min, speed_mph
-from curbside.operators.lookup import broadcast_if, fits_broadcast
+from curbside.operators.lookup import broadcast_if, check_dimension
 from curbside.params import Params
 
 
@@ -42,10 +42,13 @@ def dropoff_dimension(zones: DataFrame) -> DataFrame:
     )
 
 
-def add_zones(df: DataFrame, zones: DataFrame, params: Params = Params()) -> DataFrame:
+def add_zones(
+    df: DataFrame, zones: DataFrame, params: Params = Params(), small: bool | None = None
+) -> DataFrame:
     """Pickup borough and position, dropoff borough. Zones unknown to the lookup stay null."""
     names = df.columns
-    small = fits_broadcast(zones, params)
+    if small is None:
+        small = check_dimension(zones, "zone_id", params)
     joined = df.join(broadcast_if(small, pickup_dimension(zones)), "PULocationID", "left").join(
         broadcast_if(small, dropoff_dimension(zones)), "DOLocationID", "left"
     )
@@ -68,11 +71,14 @@ def trip_features(df: DataFrame, params: Params = Params()) -> DataFrame:
     return df.transform(clean, params).transform(add_calendar, params).transform(add_metrics, params)
 
 
-def clean_and_engineer(df: DataFrame, zones: DataFrame, params: Params = Params()) -> DataFrame:
-    """The full feature table: one map-only stage when the zones fit a broadcast."""
+def clean_and_engineer(
+    df: DataFrame, zones: DataFrame, params: Params = Params(), small: bool | None = None
+) -> DataFrame:
+    """The full feature table: one map-only stage when the zones fit a broadcast. With ``small``,
+    the outcome of ``check_dimension``, no job runs before an action."""
     return (
         df.transform(clean, params)
         .transform(add_calendar, params)
-        .transform(add_zones, zones, params)
+        .transform(add_zones, zones, params, small)
         .transform(add_metrics, params)
     )

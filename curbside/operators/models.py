@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
@@ -33,14 +34,10 @@ LABEL = "trip_count"
 LINEAR, TREES = "Linear Regression", "Gradient Boosted Trees"
 
 
-# Rows per task of an iterative fit: each of its many small jobs starts this many fewer tasks.
-ROWS_PER_TASK = 50_000
-
-
-def in_order(df: DataFrame, *key: str) -> DataFrame:
+def in_order(df: DataFrame, *key: str, params: Params = Params()) -> DataFrame:
     """Rows in key order, in as many partitions as the row count asks for. A seeded fit then gives
     the same model whatever the shuffle settings of the session."""
-    partitions = max(1, math.ceil(df.count() / ROWS_PER_TASK))
+    partitions = max(1, math.ceil(df.count() / params.rows_per_task))
     return df.repartitionByRange(partitions, *key).sortWithinPartitions(*key)
 
 
@@ -95,7 +92,7 @@ def _kmeans(k: int, max_iter: int, params: Params) -> KMeans:
 def fit_clusters(zones: DataFrame, params: Params = Params()) -> PipelineModel:
     """Assembler, scaler and KMeans. Rows enter in zone order, so a fixed seed gives one result."""
     stages = [*_scaling_stages(), _kmeans(params.clusters, params.kmeans_max_iter, params)]
-    return Pipeline(stages=stages).fit(in_order(cluster_input(zones), "PULocationID"))
+    return Pipeline(stages=stages).fit(in_order(cluster_input(zones), "PULocationID", params=params))
 
 
 def assign_clusters(zones: DataFrame, model: PipelineModel) -> DataFrame:
@@ -126,14 +123,19 @@ def k_sweep(
     zones: DataFrame, ks: Iterable[int] = range(2, 12), params: Params = Params()
 ) -> DataFrame:
     """Within-cluster cost and silhouette per number of clusters."""
-    prepared = in_order(standard_vectors(zones).select("PULocationID", "features"), "PULocationID")
-    prepared = prepared.persist()  # every fit and score reads it; released below
-    rows = []
-    for k in ks:
+    ordered = in_order(cluster_input(zones), "PULocationID", params=params)
+    prepared = standard_vectors(ordered).select("PULocationID", "features").persist()
+
+    def fit(k: int) -> tuple[int, float, float]:
         model = _kmeans(k, params.sweep_max_iter, params).fit(prepared)
-        score = silhouette(model.transform(prepared))
-        rows.append((k, float(model.summary.trainingCost), float(score)))
-    prepared.unpersist()
+        return k, float(model.summary.trainingCost), float(silhouette(model.transform(prepared)))
+
+    try:
+        prepared.count()  # each fit reads the kept rows; the fits are many small jobs, so some run at once
+        with ThreadPoolExecutor(params.parallelism) as pool:
+            rows = list(pool.map(fit, ks))
+    finally:
+        prepared.unpersist()
     return zones.sparkSession.createDataFrame(rows, "k int, wssse double, silhouette double")
 
 
@@ -169,19 +171,18 @@ def random_split(df: DataFrame, params: Params = Params()) -> tuple[DataFrame, D
     return train, test
 
 
-def fit_linear(train: DataFrame, params: Params = Params()) -> PipelineModel:
-    linear = LinearRegression(
+def _linear(params: Params) -> LinearRegression:
+    return LinearRegression(
         featuresCol="features",
         labelCol=LABEL,
         maxIter=params.linear_max_iter,
         regParam=params.linear_reg_param,
         elasticNetParam=params.linear_elastic_net,
     )
-    return _fit_demand(train, linear)
 
 
-def fit_trees(train: DataFrame, params: Params = Params()) -> PipelineModel:
-    trees = GBTRegressor(
+def _trees(params: Params) -> GBTRegressor:
+    return GBTRegressor(
         featuresCol="features",
         labelCol=LABEL,
         maxIter=params.gbt_trees,
@@ -189,15 +190,27 @@ def fit_trees(train: DataFrame, params: Params = Params()) -> PipelineModel:
         stepSize=params.gbt_step,
         seed=params.seed,
     )
-    return _fit_demand(train, trees)
 
 
-def _fit_demand(train: DataFrame, estimator) -> PipelineModel:
+def fit_linear(train: DataFrame, params: Params = Params()) -> PipelineModel:
+    return _fit_demand(train, params, _linear(params))[0]
+
+
+def fit_trees(train: DataFrame, params: Params = Params()) -> PipelineModel:
+    return _fit_demand(train, params, _trees(params))[0]
+
+
+def _fit_demand(train: DataFrame, params: Params, *estimators) -> list[PipelineModel]:
+    """Fit each estimator on one prepared table, which is released at the end, also of a failed fit."""
     assembler = VectorAssembler(inputCols=list(DEMAND_FEATURES), outputCol="features")
-    rows = in_order(train, *DEMAND_KEY).persist()  # iterative fits read it; released below
-    model = Pipeline(stages=[assembler, estimator]).fit(rows)
-    rows.unpersist()
-    return model
+    rows = assembler.transform(in_order(train, *DEMAND_KEY, params=params)).persist()
+    try:
+        rows.count()
+        with ThreadPoolExecutor(params.parallelism) as pool:
+            models = list(pool.map(lambda estimator: estimator.fit(rows), estimators))
+    finally:
+        rows.unpersist()
+    return [PipelineModel([assembler, model]) for model in models]
 
 
 def regression_metrics(predictions: DataFrame, model: str, label: str = LABEL) -> DataFrame:
@@ -224,7 +237,7 @@ def run_regression(
 ) -> tuple[DataFrame, DataFrame]:
     """Metrics of both models on the test rows, and the importances of the tree model."""
     train, test = split(demand_input(hourly), params)
-    linear, trees = fit_linear(train, params), fit_trees(train, params)
+    linear, trees = _fit_demand(train, params, _linear(params), _trees(params))
     metrics = regression_metrics(linear.transform(test), LINEAR).unionByName(
         regression_metrics(trees.transform(test), TREES)
     )

@@ -96,11 +96,13 @@ def add_rank(top: DataFrame) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(order))
 
 
-def add_zone_name(df: DataFrame, zones: DataFrame, params: Params = Params()) -> DataFrame:
+def add_zone_name(
+    df: DataFrame, zones: DataFrame, params: Params = Params(), small: bool | None = None
+) -> DataFrame:
     """Zone name from the lookup, ``Zone <id>`` where it is missing."""
     names = zones.select(F.col("zone_id").alias("PULocationID"), "zone_name")
     fallback = F.concat(F.lit("Zone "), F.col("PULocationID").cast("string"))
-    return attach(df, names, "PULocationID", params).withColumn(
+    return attach(df, names, "PULocationID", params, small).withColumn(
         "zone_name", F.coalesce("zone_name", fallback)
     )
 
@@ -116,7 +118,9 @@ def add_savings(df: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def rank_sites(measured: DataFrame, zones: DataFrame, params: Params = Params()) -> DataFrame:
+def rank_sites(
+    measured: DataFrame, zones: DataFrame, params: Params = Params(), small: bool | None = None
+) -> DataFrame:
     """From measured zones to the ranked recommendations."""
     ranked = (
         measured.transform(score_zones, params)
@@ -124,7 +128,7 @@ def rank_sites(measured: DataFrame, zones: DataFrame, params: Params = Params())
         .transform(underserved, params)
         .transform(top_sites, params)
         .transform(add_rank)
-        .transform(add_zone_name, zones, params)
+        .transform(add_zone_name, zones, params, small)
         .transform(add_savings, params)
     )
     return ranked.select(*[name for name in RECOMMENDATION_COLUMNS if name in ranked.columns])

@@ -1,11 +1,11 @@
 """Distance joins between points (zones) and stations, as equi-joins on a nested cube grid.
 
-No operator here compares every point with every station. The points, usually few, are expanded to
-the cubes that a hit can lie in. When those cubes fit a broadcast (measured), the stations are
-streamed past them in place: they are never shuffled, so it does not matter how many of them share
-one cube, and the pairs are reduced on the map side at once. Beyond the limit both sides are
-shuffled on the cube key, stations at one place are merged to one row first, and adaptive
-execution splits a hot cube.
+No operator here compares every point with every station, unless it is that far from all of them. The
+points, usually few, are expanded to the cubes that a hit can lie in. When those cubes fit a
+broadcast (measured), the stations are streamed past them in place: they are never shuffled, so it does
+not matter how many of them share one cube, and the pairs are reduced on the map side at once. Beyond
+the limit, stations at one place are merged to one row first, in both operators, both sides are
+shuffled on the cube key, and adaptive execution splits a hot cube.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from curbside.functions.geo import (
     haversine_km,
     is_located,
     level_covering,
+    level_covering_column,
 )
 from curbside.operators.lookup import broadcast_if, fits_broadcast
 from curbside.params import Params
@@ -53,8 +54,8 @@ def _located_stations(stations: DataFrame, *extra: str) -> DataFrame:
 
 
 def fits_expanded(points: DataFrame, key: str, lat: str, lon: str, params: Params) -> bool:
-    """Whether the points still fit a broadcast once each has its 27 cubes (40 rows at most)."""
-    return fits_broadcast(points.select(key, lat, lon), params, copies=40)
+    """Whether the points still fit a broadcast once each has its 27 cubes at every level."""
+    return fits_broadcast(points.select(key, lat, lon), params, copies=27 * (FINEST_LEVEL + 1))
 
 
 def _own_cube(level: Column) -> Column:
@@ -127,22 +128,49 @@ def stations_within(
     )
 
 
+# Up to this level the sphere meets few enough cubes (at most 8**(level + 1) / 7) for a broadcast.
+COARSE_LEVEL = 5
+
+
+def _merged_stations(stations: DataFrame, *names: str) -> DataFrame:
+    """One row per place; of several stations there, the first name."""
+    there = _located_stations(stations, *names)
+    return there.groupBy("s_lat", "s_lon", *_AXES).agg(*[F.min(n).alias(n) for n in names] or [F.lit(1).alias("one")])
+
+
 def _search_levels(here: DataFrame, stations: DataFrame, key: str, small: bool) -> DataFrame:
-    """Per point the level at which the surrounding cubes are sure to hold the nearest station.
+    """Per point the finest level whose surrounding cubes are sure to hold the nearest station.
 
-    If the point's own cube with edge e holds a station, the nearest one is at most sqrt(3) e away
-    and so within the surrounding cubes one level up, whose edge is 2 e.
+    One station stands for each occupied cube. The distance to the nearest of those in the
+    cubes around the point, at any level, bounds the distance to the nearest station of all: a dense
+    group just across a cube's face is seen as well as one in the point's own cube.
     """
-    own = _every_level(here, key)
-    occupied = _every_level(_located_stations(stations)).select("cube")
+    levels = F.explode(F.sequence(F.lit(0), F.lit(FINEST_LEVEL))).alias("level")
+    here = here.select("*", levels)
+    around = _surrounding_cubes(here, F.col("level"), key, "p_lat", "p_lon", "level")
+    place = F.struct("s_lat", "s_lon").alias("place")
+    occupied = _every_level(stations, "s_lat", "s_lon").select("level", "cube", place)
+
+    def bound(cubes: DataFrame, places: DataFrame, few_cubes: bool, few_places: bool) -> DataFrame:
+        if few_cubes:
+            places = places.join(F.broadcast(cubes.select("cube").distinct()), "cube", "left_semi")
+        one = places.groupBy("cube").agg(F.min("place").alias("place"))
+        one = one.select("cube", "place.s_lat", "place.s_lon")
+        pairs = broadcast_if(few_cubes, cubes).join(broadcast_if(few_places, one), "cube")
+        return pairs.groupBy(key).agg(F.min(_pair_km()).alias("km"))
+
     if small:
-        occupied = occupied.join(F.broadcast(own.select("cube")), "cube", "left_semi")
-    occupied = occupied.distinct()
-    found = occupied.join(broadcast_if(small, own), "cube").groupBy(key)
-    return found.agg(F.greatest(F.max("level") - 1, F.lit(0)).alias("level"))
+        nearest = bound(around, occupied, True, False)
+    else:
+        coarse, fine = F.col("level") <= COARSE_LEVEL, F.col("level") > COARSE_LEVEL
+        nearest = bound(around.where(coarse), occupied.where(coarse), False, True).unionByName(
+            bound(around.where(fine), occupied.where(fine), False, False)
+        )
+        nearest = nearest.groupBy(key).agg(F.min("km").alias("km"))
+    return nearest.select(key, level_covering_column(F.col("km")).alias("level"))
 
 
-def nearest_station(
+def candidate_pairs(
     points: DataFrame,
     stations: DataFrame,
     key: str = "PULocationID",
@@ -152,24 +180,41 @@ def nearest_station(
     small: bool | None = None,
     params: Params = Params(),
 ) -> DataFrame:
-    """Per point: the great-circle distance to the nearest station, exact for any distance.
-
-    ``with_name`` adds the station's name, the first in alphabetical order on a tie. Points without
-    a position, or no stations at all, give an infinite distance.
-    """
+    """The pairs of a point and a station among which each point's nearest one is, with ``km``."""
     if small is None:
         small = fits_expanded(points, key, lat, lon, params)
     here = _located_points(points, key, lat, lon)
-    levels = _search_levels(here, stations, key, small)
+    name = ["name"] if with_name else []
+    there = _located_stations(stations, *name) if small else _merged_stations(stations, *name)
+    levels = _search_levels(here, there, key, small)
     searching = here.join(broadcast_if(small, levels), key)
     cubes = _surrounding_cubes(searching, F.col("level"), key, "p_lat", "p_lon")
 
-    name = ["name"] if with_name else []
-    there = _every_level(_located_stations(stations, *name), "s_lat", "s_lon", *name)
+    there = _every_level(there, "s_lat", "s_lon", *name)
     if not small:
         # Only levels in use, at most FINEST_LEVEL + 1 rows on the broadcast side.
         there = there.join(F.broadcast(levels.select("level").distinct()), "level", "left_semi")
-    pairs = there.join(broadcast_if(small, cubes), "cube").select(key, *name, _pair_km().alias("km"))
+    return there.join(broadcast_if(small, cubes), "cube").select(key, *name, _pair_km().alias("km"))
+
+
+def nearest_station(
+    points: DataFrame,
+    stations: DataFrame,
+    key: str = "PULocationID",
+    lat: str = "lat",
+    lon: str = "lon",
+    with_name: bool = False,
+    small: bool | None = None,
+    params: Params = Params(),
+) -> DataFrame:
+    """Per point: the great-circle distance to the nearest station, exact for any distance.
+
+    ``with_name`` adds the station's name, the first in alphabetical order on a tie. Points without
+    a position, or no stations at all, give an infinite distance.
+    """
+    if small is None:
+        small = fits_expanded(points, key, lat, lon, params)
+    pairs = candidate_pairs(points, stations, key, lat, lon, with_name, small)
     result = [F.min("km").alias("nearest_station_km")]
     if with_name:
         result.append(F.min_by("name", F.struct("km", "name")).alias("nearest_station"))

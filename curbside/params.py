@@ -49,5 +49,10 @@ class Params:
     gbt_depth: int = 5
     gbt_step: float = 0.1
 
+    # Iterative fits: rows of a task (each of their many small jobs then starts few tasks), and how many
+    # fits run at once.
+    rows_per_task: int = 50_000
+    parallelism: int = 4
+
     # A lookup side is broadcast only if its measured size is at most this.
     broadcast_limit_bytes: int = 64 * 1024 * 1024

@@ -1,32 +1,15 @@
-"""Cutting the lineage of a small derived table, so that later steps do not rescan the trips."""
+"""Keeping a small derived table, so that later steps do not rescan the trips."""
 
 from __future__ import annotations
 
-import tempfile
-import warnings
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def _ensure_checkpoint_dir(spark: SparkSession) -> bool:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return True
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and context.master.startswith("local"):
-        shared = tempfile.mkdtemp(prefix="curbside-checkpoint-")
-    if shared:
-        context.setCheckpointDir(shared)
-    return bool(shared)
+from pyspark.sql import DataFrame
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage and continue from there.
+    """Keep the rows of a zone-sized or hourly-sized table once they were computed.
 
-    Uses the folder in ``spark.checkpoint.dir``, which all executors share, so the rows survive the
-    loss of executors. On a cluster without that setting the plan stays lazy, with a warning.
+    The same under any master and without any setting. The executors hold the rows, on disk if memory
+    runs short; those of a lost executor are computed again from their source. The batch job writes
+    its tables to its output folder and reads them back instead.
     """
-    if not _ensure_checkpoint_dir(df.sparkSession):
-        warnings.warn("spark.checkpoint.dir is not set: later steps recompute this table")
-        return df
-    return df.checkpoint(eager=True)
+    return df.persist()

@@ -33,6 +33,11 @@ def read_csv_trips(spark: SparkSession, path: str) -> DataFrame:
     return conform(reader.option("enforceSchema", False).csv(path))
 
 
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with a header line, every column as text: the input of ``unreadable_values``."""
+    return spark.read.option("header", True).csv(path)
+
+
 def read_parquet_trips(spark: SparkSession, path: str) -> DataFrame:
     return conform(spark.read.parquet(path))
 

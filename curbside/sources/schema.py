@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,12 +48,25 @@ ZONE_SCHEMA = _schema(
 STATION_SCHEMA = _schema({"name": _TEXT, "lat": _DOUBLE, "lon": _DOUBLE, "num_chargers": _INT})
 
 
-def _agrees(have: T.DataType, want: T.DataType) -> bool:
+# Ids that a range rule keeps small. Stored as bigint, they stay so until that rule has been applied, as a
+# filter on a cast column would not reach the scan.
+BOUNDED_IDS = ("PULocationID", "DOLocationID")
+
+
+def _agrees(name: str, have: T.DataType, want: T.DataType) -> bool:
+    if name in BOUNDED_IDS and isinstance(have, T.LongType):
+        return True
     # A wall-clock (NTZ) timestamp is as good as an instant: every operator takes both.
     either_timestamp = (T.TimestampType, T.TimestampNTZType)
     return have == want or (isinstance(want, T.TimestampType) and isinstance(have, either_timestamp))
 
 
+def _cast(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    if isinstance(have, T.StringType) and isinstance(want, T.IntegerType):
+        column = column.try_cast("double")  # "1.0" is a valid id in text files
+    return column.try_cast(want)
+
+
 def conform(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
     """Cast every known column that is present to its declared type, in one projection.
 
@@ -64,9 +77,29 @@ def conform(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
     columns = []
     for field in df.schema:
         column, want = F.col(f"`{field.name}`"), wanted.get(field.name)
-        if want is not None and not _agrees(field.dataType, want):
-            if isinstance(field.dataType, T.StringType) and isinstance(want, T.IntegerType):
-                column = column.try_cast("double")  # "1.0" is a valid id in text files
-            column = column.try_cast(want).alias(field.name)
+        if want is not None and not _agrees(field.name, field.dataType, want):
+            column = _cast(column, field.dataType, want).alias(field.name)
         columns.append(column)
     return df.select(*columns)
+
+
+def narrow_ids(df: DataFrame) -> DataFrame:
+    """Bounded ids in their declared type, after the rules that bound them."""
+    kinds = dict(df.dtypes)
+    wide = [name for name in BOUNDED_IDS if kinds.get(name) == "bigint"]
+    return df.withColumns({name: F.col(name).cast("int") for name in wide}) if wide else df
+
+
+def unreadable_values(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
+    """One row per known column: how many values ``conform`` would turn into null, in one pass.
+
+    Pass a source as it is stored, for text files one with text columns (``read_csv_text``).
+    """
+    wanted = {field.name: field.dataType for field in schema}
+    known = [field for field in df.schema if field.name in wanted]
+    counts = []
+    for field in known:
+        column = F.col(f"`{field.name}`")
+        lost = column.isNotNull() & _cast(column, field.dataType, wanted[field.name]).isNull()
+        counts.append(F.struct(F.lit(field.name).alias("column"), F.count_if(lost).alias("rows_unreadable")))
+    return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))

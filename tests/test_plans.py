@@ -1,22 +1,57 @@
+import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
 from curbside.catalog import tables
 from curbside.operators import aggregates, features
-from curbside.operators.lookup import fits_broadcast, measured_bytes
+from curbside.operators.lookup import check_dimension, fits_broadcast, measured_bytes
 from curbside.params import Params
 from curbside.plans import settle
-from curbside.plans.job import run_job, scaling_table
+from curbside.plans.job import run_job, scaling_inputs, scaling_table
 from curbside.plans.sites import recommend_from_trips
 from curbside.sources import read_trips, write_trips
 
 
-def test_settle_uses_the_folder_of_the_session(spark):
-    folder = spark.conf.get("spark.checkpoint.dir")
-    assert spark.sparkContext.getCheckpointDir().removeprefix("file:").startswith(folder)
+def test_settled_rows_are_kept_without_any_setting(spark):
     settled = settle(spark.range(10).where(F.col("id") > 3))
-    assert settled.count() == 6
-    assert "Range" not in settled._jdf.queryExecution().executedPlan().toString()
+    assert settled.count() == 6 and settled.storageLevel.useMemory and settled.storageLevel.useDisk
+    assert "InMemoryTableScan" in settled._jdf.queryExecution().executedPlan().toString()
+    settled.unpersist()
+
+
+def jobs_started(spark, action):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "counted")
+    before = set(tracker.getJobIdsForGroup("counted"))
+    result = action()
+    after = set(tracker.getJobIdsForGroup("counted"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(after - before)
+
+
+def test_no_job_runs_while_a_checked_plan_is_built(spark):
+    trips, zones = tables.trips(spark, SF), tables.zones(spark, SF)
+    small = check_dimension(zones, "zone_id")
+    assert small and not check_dimension(zones, "zone_id", Params(broadcast_limit_bytes=10))
+    _, jobs = jobs_started(spark, lambda: features.clean_and_engineer(trips, zones, small=small))
+    assert jobs == 0
+
+
+def test_a_repeated_key_of_a_lookup_is_an_error(spark):
+    zones = tables.zones(spark, SF)
+    with pytest.raises(ValueError, match="several rows"):
+        features.add_zones(tables.trips(spark, SF), zones.unionByName(zones.limit(1)))
+
+
+def test_the_job_reads_text_input_once(spark, tmp_path):
+    path = str(tmp_path / "trips.csv")
+    tables.trips(spark, SF).write.option("header", True).csv(path)
+    trips, zones = read_trips(spark, path, "csv"), tables.zones(spark, SF)
+    reads = spark.sparkContext.accumulator(0)
+    marked = trips.withColumn("fare_amount", F.udf(lambda x: (reads.add(1), x)[1], "double")("fare_amount"))
+    params = Params(clusters=2, gbt_trees=1, gbt_depth=1, min_trips=100)
+    results = run_job(marked, zones, tables.stations(spark, SF), str(tmp_path / "out"), params, sweep=None)
+    assert reads.value == 6000 and results["retention"].first().raw_rows == 6000
 
 
 def test_measured_size_bounds_the_broadcast(spark):
@@ -71,3 +106,12 @@ def test_scaling_report(spark):
     trips = tables.trips(spark, SF)
     rows = scaling_table(spark, {"a": lambda: trips, "b": lambda: trips.union(trips)}).collect()
     assert [(r.input, r.rows, r.zones) for r in rows] == [("a", 6000, 30), ("b", 12000, 30)]
+    assert rows[0].speed_up == 1.0 and rows[1].speed_up > 0
+
+
+def test_scaling_inputs_are_looked_up_by_their_own_file_system(spark, tmp_path):
+    write_trips(tables.trips(spark, SF), str(tmp_path / "trips"))
+    inputs = scaling_inputs(spark, [f"file://{tmp_path}/trips"])
+    assert scaling_table(spark, inputs).first().rows == 6000
+    with pytest.raises(FileNotFoundError):
+        scaling_inputs(spark, [f"{tmp_path}/trips", f"{tmp_path}/missing"])

@@ -3,9 +3,12 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from conftest import SF
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curbside.catalog import tables
+from curbside.operators.clean import clean, clean_compact
 from curbside.sources import (
     STATION_SCHEMA,
     TRIP_SCHEMA,
@@ -20,6 +23,8 @@ from curbside.sources import (
     write_table,
     write_trips,
 )
+from curbside.sources.readers import read_csv_text
+from curbside.sources.schema import unreadable_values
 
 
 @pytest.fixture
@@ -105,3 +110,25 @@ def test_json_keeps_null_fields_and_overwrites(spark, tmp_path):
         write_json(spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b"), path)
     lines = [json.loads(x) for f in Path(path).glob("part-*") for x in f.read_text().splitlines()]
     assert lines == [{"a": 1, "b": None}]
+
+
+def test_wide_ids_reach_the_scan_and_come_out_narrow(spark, tmp_path):
+    path = str(tmp_path / "wide.parquet")
+    wide = {name: F.col(name).cast("long") for name in ("PULocationID", "DOLocationID")}
+    tables.trips(spark, SF).withColumns(wide).write.parquet(path)
+    kept = clean(read_trips(spark, path))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    for name in wide:
+        assert f"GreaterThanOrEqual({name},1)" in pushed and f"LessThanOrEqual({name},265)" in pushed
+    assert dict(kept.dtypes)["PULocationID"] == "int"
+    assert kept.count() == clean(tables.trips(spark, SF)).count()
+    odd = read_trips(spark, path).withColumn("PULocationID", F.lit(1 << 40))
+    assert clean_compact(odd).count() == 0
+
+
+def test_unreadable_values_are_counted(spark, tmp_path):
+    path = str(tmp_path / "odd.csv")
+    (tmp_path / "odd.csv").write_text("trip_distance,VendorID,note\n5 mi,1.0,x\n,x,y\n2.5,2,z\n")
+    counts = {r.column: r.rows_unreadable for r in unreadable_values(read_csv_text(spark, path)).collect()}
+    assert counts == {"trip_distance": 1, "VendorID": 1}

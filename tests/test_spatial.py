@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from curbside.operators.spatial import nearest_station, stations_within
+from curbside.operators.spatial import candidate_pairs, nearest_station, stations_within
 from curbside.params import Params
 
 POINTS = "PULocationID int, lat double, lon double"
@@ -105,3 +105,27 @@ def test_no_nested_loop(spark, plan_of):
     for df in (nearest_station(p, s), stations_within(p, s, 1.0)):
         plan = plan_of(df)
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("limit", [Params().broadcast_limit_bytes, 0])
+def test_a_dense_group_across_a_cube_face_is_seen(spark, limit):
+    """A point beside 1000 stations, on either side of the meridian, and 2000 stations far away."""
+    rng = random.Random(5)
+    near = [(f"n{i}", 45.0 + rng.uniform(-0.002, 0.002), -0.001 - rng.random() * 0.05, 1) for i in range(1000)]
+    far = [(f"f{i}", rng.uniform(-60, 40), rng.uniform(20, 170), 1) for i in range(2000)]
+    points = spark.createDataFrame([(1, 45.0, 0.0005), (2, 45.0, -0.0005)], POINTS)
+    stations = spark.createDataFrame(near + far, STATIONS)
+    params = Params(broadcast_limit_bytes=limit)
+    pairs = {r.PULocationID: r["count"] for r in candidate_pairs(points, stations, params=params).groupBy("PULocationID").count().collect()}
+    assert max(pairs.values()) <= 100
+    found = {r.PULocationID: r.nearest_station_km for r in nearest_station(points, stations, params=params).collect()}
+    for i, lon in ((1, 0.0005), (2, -0.0005)):
+        assert found[i] == pytest.approx(min(km(45.0, lon, s[1], s[2]) for s in near + far), rel=1e-9)
+
+
+def test_stations_of_one_place_are_one_row_when_shuffled(spark):
+    stations = spark.createDataFrame([(f"s{i}", 10.0, 20.0, 1) for i in range(500)], STATIONS)
+    points = spark.createDataFrame([(1, 10.0, 20.0)], POINTS)
+    params = Params(broadcast_limit_bytes=0)
+    assert candidate_pairs(points, stations, with_name=True, params=params).count() == 1
+    assert nearest_station(points, stations, with_name=True, params=params).first().nearest_station == "s0"
