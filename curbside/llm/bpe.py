@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import unicodedata
 from array import array
 from collections.abc import Callable, Iterable, Iterator
@@ -186,6 +187,7 @@ class Codec:
         self.letters = "[\\p{L}]+|" in split["pattern"]["Regex"]  # a word of letters is one part
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.uncommon = re.compile(f"[{COMMON_END}-\U0010ffff]").search
         self.mark = os.path.commonprefix(list(self.special))  # quick to look for; empty is in every text
         self.encoder = PrefixEncoder(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
         self.symbols = {b: c for b, c in byte_symbols().items() if chr(b) != c}
@@ -205,14 +207,14 @@ class Codec:
 
     def _plain(self, text: str) -> bytes:
         parts = self._split(text)
-        return self.parts[parts[0]] if len(parts) == 1 else b"".join(map(self.parts.__getitem__, parts))
+        return self.encoder(parts[0]) if len(parts) == 1 else b"".join(map(self.parts.__getitem__, parts))
 
     def _split(self, text: str) -> list[str]:
         """Pre-tokens in byte symbols. The classes of characters in the main alphabets are the same in every Unicode
         version; beyond them the file's own library decides."""
         if text.isascii() and text.isprintable():  # these stand for themselves
             return [text.lower()] if self.letters and text.isalpha() else self.pattern.findall(text.lower())
-        if max(text) >= COMMON_END:
+        if self.uncommon(text):
             return [part for part, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
         text = unicodedata.normalize("NFC", text)
         text = text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
