@@ -307,10 +307,11 @@ def keep_one_each(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Rows with a null id link with nothing and stay.
     """
-    found = stage(similar_documents(docs, percent).where("doc_id is not null"), "components")
-    rows = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")).where("doc_id = component_id")
-    kept = stage(rows.select("doc_id", "n"), "kept-ids")
-    single = docs.join(kept.where("n = 1").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    several = docs.join(kept.where("n > 1").select("doc_id"), "doc_id", "left_semi")
+    found = similar_documents(docs, percent).where("doc_id is not null")
+    ids = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n"))
+    ids = stage(ids.where("doc_id <> component_id or n > 1"), "other-ids")  # most documents are alone
+    small = ids.count() <= MOST_WANTED
+    rest = docs.join(broadcast_if(small, ids.select("doc_id")), "doc_id", "left_anti")
+    several = docs.join(broadcast_if(small, ids.where("doc_id = component_id").select("doc_id")), "doc_id", "left_semi")
     several = several.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return single.unionByName(several).unionByName(docs.where("doc_id is null"))
+    return rest.select(docs.columns).unionByName(several)

@@ -166,11 +166,46 @@ def test_components_are_those_of_brute_force(make_docs, seed):
 def test_groups_that_pivots_miss_are_found_by_the_matrix(make_docs, monkeypatch):
     """Without any pivot, every link has to come from opened groups."""
     rows = list(enumerate(near_copies(7, families=3)))
-    monkeypatch.setattr(jaccard_join, "_pivots", lambda sets: sets.select(sets.rep.alias("a"), sets.rep.alias("b")).limit(0))
+    monkeypatch.setattr(jaccard_join, "_pivots", lambda sets: sets.selectExpr("rep AS a", "rep AS b", "0 AS agree").limit(0))
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_documents(make_docs(rows)).collect()}
     assert found == components_by_brute_force(rows)
 
 
+@pytest.mark.parametrize("parts", [(1, 1), (3, 2)])
+def test_parts_and_loose_groups_change_nothing(make_docs, monkeypatch, parts):
+    """Tiny parts; and groups of sets that agree in a single minimum, of which most members are not linked."""
+    monkeypatch.setattr(jaccard_join, "QUERIES", parts[0])
+    monkeypatch.setattr(jaccard_join, "MEMBERS", parts[1])
+    monkeypatch.setattr(jaccard_join, "AGREE", 1)
+    monkeypatch.setattr(jaccard_join, "MOST_WANTED", 0)
+    rows = list(enumerate(near_copies(12, families=3)))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_documents(make_docs(rows)).collect()}
+    assert found == components_by_brute_force(rows)
+
+
+def test_products_give_the_forest_of_all_links():
+    rng = np.random.default_rng(2)
+    base = [np.unique(rng.integers(0, 60, 40)).astype(np.uint64) for _ in range(4)]
+    sides = []
+    for first in (0, 100):
+        sides.append([(first + i, np.sort(rng.choice(base[i % 4], len(base[i % 4]) - rng.integers(0, 4), replace=False))) for i in range(30)])
+    for columns in (7, 4096):
+        a, b = jaccard_join.link_sets(*sides, 80, columns)
+        root = dict(zip(a.tolist(), b.tolist(), strict=True))
+        label = {i: i for side in sides for i, _ in side}
+        while True:
+            before = dict(label)
+            for i, x in sides[0]:
+                for j, y in sides[1]:
+                    both = len(np.intersect1d(x, y))
+                    if 100 * both >= 80 * (len(x) + len(y) - both):
+                        label[i] = label[j] = min(label[i], label[j])
+            if label == before:
+                break
+        assert {i: root.get(i, i) for i in label} == label
+    assert all(len(c) == 0 for c in jaccard_join.link_sets([], sides[1], 80))
+
+
 def test_rows_of_one_id_are_one_document(make_docs):
     a, b = " ".join(f"a{i}" for i in range(20)), " ".join(f"b{i}" for i in range(20))
     docs = make_docs([(1, a), (2, a), (2, b), (3, b), (3, b), (4, "alone")])
