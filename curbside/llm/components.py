@@ -9,42 +9,45 @@ from pyspark.sql import functions as F
 from curbside.llm.storage import stage
 
 
-def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
+def components(links: DataFrame, *by: str, most_rounds: int = 100) -> DataFrame:
     """``node`` and ``component`` (the smallest node reached) of every node of ``links`` (``a``, ``b``: long).
 
-    Alternating large and small stars: every node hands its smallest neighbour to its larger ones, then to its smaller
-    ones, until all nodes hang on their component's smallest. Minima are aggregated before they move, and a star with a
-    third of all links is joined to its one minimum, a join that Spark can split; each round is written to the shared
-    folder. Loops and repeated links do no harm; rows with a null end are no links. An empty table gives an empty one.
+    Columns ``by`` tell graphs apart that are solved together. Alternating large and small stars: every node hands its
+    smallest neighbour to its larger ones, then to its smaller ones, until all nodes hang on their component's
+    smallest. Minima are aggregated before they move, and a star with a third of all links is joined to its one
+    minimum, a join that Spark can split; each round is written to the shared folder. Loops and repeated links do no
+    harm; rows with a null end are no links. An empty table gives an empty one.
     """
-    edges = links.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-    edges = stage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    mark = _mark(edges)
+    col, w = F.col, [*by, "w"]
+    edges = links.where(col("a").isNotNull() & col("b").isNotNull() & (col("a") != col("b")))
+    edges = stage(edges.select(*by, F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    mark = _mark(edges, by)
     for _ in range(most_rounds):
         if not mark[0]:
             break
         # Large star: larger neighbours of u go to the smallest neighbour of u, or to u.
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).select(F.col("u").alias("w"), "m")
-        upward = edges.select(F.col("v").alias("w"), F.col("u").alias("x"))
-        large = stage(upward.join(least, "w").select(F.col("x").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large-star")
+        both = edges.unionByName(edges.select(*by, col("v").alias("u"), col("u").alias("v")))
+        least = both.groupBy(*by, "u").agg(F.least(F.min("v"), col("u")).alias("m")).withColumnRenamed("u", "w")
+        upward = edges.select(*by, col("v").alias("w"), col("u").alias("x"))
+        large = upward.join(least, w).where("x <> m").select(*by, col("x").alias("u"), col("m").alias("v"))
+        large = stage(large, "large-star")
         # Small star: u and its smaller neighbours go to the smallest of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
-        joined = large.select(F.col("u").alias("w"), F.col("v").alias("x")).join(least, "w")
-        small = joined.select(F.col("x").alias("u"), F.col("m").alias("v")).unionByName(least.select(F.col("w").alias("u"), F.col("m").alias("v")))
+        least = large.groupBy(*by, "u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w")
+        joined = large.select(*by, col("u").alias("w"), col("v").alias("x")).join(least, w)
+        small = joined.select(*by, col("x").alias("u"), col("m").alias("v")).unionByName(least.select(*by, col("w").alias("u"), col("m").alias("v")))
         edges = stage(small.where("u <> v").distinct(), "small-star")
-        before, mark = mark, _mark(edges)
+        before, mark = mark, _mark(edges, by)
         if before == mark:
             break
     else:
         raise RuntimeError(f"no fixed point after {most_rounds} rounds")
-    leaves = edges.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
-    return leaves.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    leaves = edges.select(*by, col("u").alias("node"), col("v").alias("component"))
+    return leaves.unionByName(edges.select(*by, col("v").alias("node"), col("v").alias("component")).distinct())
 
 
-def _mark(edges: DataFrame) -> tuple:
+def _mark(edges: DataFrame, by: tuple[str, ...]) -> tuple:
     """Number and order-free checksum of the links."""
-    h = F.xxhash64("u", "v").cast("decimal(38,0)")
+    h = F.xxhash64(*by, "u", "v").cast("decimal(38,0)")
     return tuple(edges.agg(F.count("*"), F.coalesce(F.sum(h), F.lit(0))).first())
 
 

@@ -32,11 +32,11 @@ SHINGLE, FUNCTIONS, EXTRA = 5, 8, 3
 
 #: A token seen so often among so many tokens of one task is reported as frequent; the most frequent are kept, up to a
 #: number that bounds the broadcast. They only move to the end of the order, which changes no result.
-OFTEN, AMONG, MOST_FREQUENT = 2, 3_000_000, 1 << 19
+OFTEN, AMONG, MOST_FREQUENT = 2, 3_000_000, 1 << 20
 
 #: Of FUNCTIONS minima so many agree within a group; pivots tried for each set; queries and members in a part; and the
 #: most rows of wanted documents that are broadcast to the texts instead of shuffling these.
-AGREE, TRIED, QUERIES, MEMBERS, MOST_WANTED = 6, 2, 256, 256, 250_000
+AGREE, TRIED, QUERIES, MEMBERS, MOST_WANTED = 5, 2, 256, 256, 250_000
 
 _odd = np.random.default_rng(5).integers(1, 2**62, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 WHOLE = np.uint64(0x5851F42D4C957F2D)
@@ -130,10 +130,16 @@ def similar_documents(docs: DataFrame, percent: int = 80, width: int = SHINGLE)
     pivots = rated.select(F.col("b").alias("g"), "b").distinct()
     near = stage(_open(texts, rated.select("a", F.col("b").alias("g")), pivots, percent), "pivot-links")
     likely = rated.where(F.col("agree") >= AGREE).select("a", "b")
-    groups = components(likely.unionByName(near)).withColumnRenamed("node", "rep").withColumnRenamed("component", "grp")
-    linked = components(near).withColumnRenamed("node", "rep").withColumnRenamed("component", "part")
+    # Groups hang together by likely and by certain links, their parts by certain ones.
+    loose, firm = F.lit(0).alias("kind"), F.lit(1).alias("kind")
+    both = likely.unionByName(near).select("a", "b", loose).unionByName(near.select("a", "b", firm))
+    found = stage(components(both, "kind").withColumnRenamed("node", "rep"), "groups")
+    groups = found.where("kind = 0").select("rep", F.col("component").alias("grp"))
+    linked = found.where("kind = 1").select("rep", F.col("component").alias("part"))
     members = sets.select("rep", "n").join(groups, "rep", "left").join(linked, "rep", "left")
     members = stage(members.select("rep", "n", F.coalesce("grp", "rep").alias("grp"), F.coalesce("part", "rep").alias("part")), "members")
+    sizes = stage(members.groupBy("grp").agg(F.count("*").alias("size")), "sizes")
+    members = stage(members.join(sizes, "grp"), "sized-members")
     queries = _stragglers(members).unionByName(_other_groups(texts, members, _order(profiles), percent))
     inside = members.select(F.col("rep").alias("b"), F.col("grp").alias("g"))
     far = stage(_open(texts, queries, inside, percent), "group-links")
@@ -219,12 +225,13 @@ def _other_groups(texts: DataFrame, members: DataFrame, order: tuple, percent: i
     shared = stage(prefixes.groupBy("token").count().where("count > 1").select("token"), "shared-tokens")
     prefixes = prefixes.join(shared, "token", "left_semi")
     # Of documents with equal sets only the one that stands for them goes on.
-    held = prefixes.join(members, prefixes.doc_id == members.rep).select("token", "rep", "n", "grp").distinct()
+    held = prefixes.join(members, prefixes.doc_id == members.rep).select("token", "rep", "n", "grp", "size").distinct()
     held = stage(held, "held-tokens")
     mixed = stage(held.groupBy("token").agg(F.min("grp").alias("p"), F.max("grp").alias("q")).where("p < q").select("token"), "mixed-tokens")
     held = stage(held.join(mixed, "token", "left_semi"), "open-tokens")
-    matrix = stage(held.select("token", F.col("grp").alias("g")).distinct(), "token-groups")
-    overlaps = held.join(matrix, "token").where("grp < g").groupBy("rep", "g", "n").count()
+    matrix = stage(held.select("token", F.col("grp").alias("g"), F.col("size").alias("of")).distinct(), "token-groups")
+    # Of two groups the smaller one asks: a member of either has met the other.
+    overlaps = held.join(matrix, "token").where("size < of or (size = of and grp < g)").groupBy("rep", "g", "n").count()
     need = F.least(F.lit(EXTRA), F.ceil(F.col("n") * percent / 100))
     return overlaps.where(F.col("count") >= need).select(F.col("rep").alias("a"), "g")
 
