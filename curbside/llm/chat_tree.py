@@ -44,23 +44,23 @@ def parse_turn(formatted: str) -> tuple[str, str]:
     return unescape(role), unescape(text)
 
 
-_CHAIN = "conv_id long, n_turns long, depth int, node string, path string, ancestors array<string>, position long, role string, text string, last boolean"
+_CHAIN = "conv_id long, n_turns long, depth int, node string, path string, parent string, position long, role string, text string, last boolean"
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("conv_id", "n_turns", "depth", "node", "path", "ancestors", "position", "role", "text", "last")
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.int64(), pa.string(), pa.string(), pa.bool_())
+    names = ("conv_id", "n_turns", "depth", "node", "path", "parent", "position", "role", "text", "last")
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.bool_())
     for batch in batches:
         for conv_id, turns in zip(batch.column(0), batch.column(1), strict=True):
             out: list[tuple] = []
-            node, path, above, position = b"", "", [], 0
+            node, path, position = b"", "", 0
             turns = turns.as_py()
             for depth, turn in enumerate(turns):
                 role, text = turn["role"], turn["text"]
+                parent = node.hex() or None
                 node = hashlib.sha256(node + f"{len(role)}:{role}{text}".encode()).digest()[:16]
                 path += node[:8].hex()
-                out.append((conv_id.as_py(), len(turns), depth, node.hex(), path, list(above), position, role, text, depth == len(turns) - 1))
-                above.append(node.hex())
+                out.append((conv_id.as_py(), len(turns), depth, node.hex(), path, parent, position, role, text, depth == len(turns) - 1))
                 position += len(format_turn(role, text))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=list(names))
 
@@ -69,8 +69,10 @@ def build_tree(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The tree's nodes and, per conversation, its last node.
 
     Nodes: ``node``, ``tree`` (the root), ``stream_start`` and ``stream_end`` in characters of the depth-first stream,
-    ``position``, ``formatted``, ``loss_start`` and ``loss_end`` within it (equal unless the role is ``assistant``) and
-    ``attends``, the stream intervals of the ancestors from the root down. Members: ``conv_id``, ``n_turns``, ``node``.
+    ``position``, ``formatted``, ``loss_start`` and ``loss_end`` within it (equal unless the role is ``assistant``),
+    ``segment`` and ``attends``, the stream intervals of the ancestors from the root down. A first child follows its
+    parent in the stream, so that a line of first children is one segment, named by its start, and needs one interval;
+    there are as many intervals as branches on the way, not as turns. Members: ``conv_id``, ``n_turns``, ``node``.
 
     Turns go by ``turn``, ties by role and text, null first; a repeated row is a turn of its own. A null role or text is
     empty. Rows with a null ``conv_id`` form one conversation with a null id. An empty table gives empty ones.
@@ -87,20 +89,31 @@ def build_tree(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     for r in totals:
         base[r.part] = sum(t.n for t in totals if t.part < r.part)
     offsets = F.create_map(*(F.lit(x) for pair in base.items() for x in pair)) if base else F.expr("map(0, 0L)")
-    within = Window.partitionBy("part").orderBy("path", "node").rowsBetween(Window.unboundedPreceding, 0)
-    placed = nodes.withColumn("stream_end", offsets[F.col("part")] + F.sum(F.length("formatted")).over(within))
+    order = Window.partitionBy("part").orderBy("path", "node")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    placed = nodes.withColumn("stream_end", offsets[F.col("part")] + F.sum(F.length("formatted")).over(so_far))
     placed = placed.withColumn("stream_start", F.col("stream_end") - F.length("formatted"))
-    placed = stage(placed.drop("part"), "chat-placed")
+    follows = F.coalesce(F.lag("node").over(order) == F.col("parent"), F.lit(False))
+    placed = placed.withColumn("head", F.when(~follows, F.col("stream_start")))
+    placed = placed.withColumn("segment", F.last("head", ignorenulls=True).over(so_far))
+    placed = stage(placed.drop("part", "head"), "chat-placed")
 
-    spans = placed.select(F.col("node").alias("ancestor"), F.struct("stream_start", "stream_end").alias("span"))
-    links = placed.select("node", F.posexplode("ancestors").alias("depth", "ancestor"))
-    attends = links.join(spans, "ancestor").groupBy("node").agg(F.transform(F.sort_array(F.collect_list(F.struct("depth", "span"))), lambda x: x.span).alias("attends"))
-    out = placed.join(attends, "node", "left").withColumn("tree", F.left("path", F.lit(16)))
-    columns = ["node", "tree", "stream_start", "stream_end", "position", "formatted", "loss_start", "loss_end"]
-    return out.select(*columns, F.coalesce("attends", F.array().cast("array<struct<stream_start:bigint,stream_end:bigint>>")).alias("attends")), members
+    # Only the heads of segments look for their ancestors, by the beginnings of their paths.
+    heads = placed.where((F.col("stream_start") == F.col("segment")) & (F.col("depth") > 0))
+    wanted = heads.select(F.col("segment").alias("branch"), "path", F.explode(F.sequence(F.lit(1), F.col("depth"))).alias("levels"))
+    wanted = wanted.select("branch", F.substr("path", F.lit(1), F.col("levels") * 16).alias("path"))
+    met = wanted.join(placed.select("path", "segment", "stream_end"), "path")
+    spans = met.groupBy("branch", "segment").agg(F.max("stream_end").alias("stream_end"))
+    span = F.struct(F.col("segment").alias("stream_start"), "stream_end")
+    above = spans.groupBy("branch").agg(F.sort_array(F.collect_list(span)).alias("above")).withColumnRenamed("branch", "segment")
+    out = placed.join(above, "segment", "left").withColumn("tree", F.left("path", F.lit(16)))
+    none = F.array().cast("array<struct<stream_start:bigint,stream_end:bigint>>")
+    own = F.when(F.col("segment") < F.col("stream_start"), F.array(F.struct(F.col("segment").alias("stream_start"), F.col("stream_start").alias("stream_end")))).otherwise(none)
+    columns = ["node", "tree", "segment", "stream_start", "stream_end", "position", "formatted", "loss_start", "loss_end"]
+    return out.select(*columns, F.concat(F.coalesce("above", none), own).alias("attends")), members
 
 
-_NODES = "part int, node string, path string, ancestors array<string>, position long, formatted string, loss_start long, loss_end long"
+_NODES = "part int, node string, path string, parent string, depth int, position long, formatted string, loss_start long, loss_end long"
 
 
 def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,8 +125,8 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             formatted.append(turn)
             starts.append(high - len(escape(text)) if role == "assistant" else high)
             ends.append(high)
-        kept = [batch.column(c) for c in ("part", "node", "path", "ancestors", "position")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(formatted, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names=["part", "node", "path", "ancestors", "position", "formatted", "loss_start", "loss_end"])
+        kept = [batch.column(c) for c in ("part", "node", "path", "parent", "depth", "position")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(formatted, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names=["part", "node", "path", "parent", "depth", "position", "formatted", "loss_start", "loss_end"])
 
 
 def read_back(nodes: DataFrame, members: DataFrame) -> DataFrame:
@@ -124,10 +137,13 @@ def read_back(nodes: DataFrame, members: DataFrame) -> DataFrame:
     """
     nodes = stage(nodes, "chat-stream")
     leaves = nodes.join(members.select("node").distinct(), "node", "left_semi")
-    wanted = leaves.select("node", F.explode(F.concat("attends", F.array(F.struct("stream_start", "stream_end")))).alias("span"))
-    wanted = wanted.select("node", F.col("span.stream_start").alias("stream_start"))
+    # The attended intervals, the last of them up to the end of the node itself. Each begins where a segment does.
+    inner = F.filter("attends", lambda x: x.stream_start != F.col("segment"))
+    own = F.struct(F.col("segment").alias("stream_start"), "stream_end")
+    wanted = leaves.select("node", F.explode(F.concat(inner, F.array(own))).alias("span"))
+    wanted = wanted.select("node", F.col("span.stream_start").alias("segment"), F.col("span.stream_end").alias("until"))
     turn = F.struct("position", "stream_start", "formatted", "loss_start", "loss_end")
-    texts = wanted.join(nodes.select("stream_start", turn.alias("turn")), "stream_start")
+    texts = wanted.join(nodes.select("segment", "stream_end", turn.alias("turn")), "segment").where("stream_end <= until")
     read = texts.groupBy("node").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
     return members.join(read.mapInArrow(_digest, _DIGEST), "node").drop("node")
 
