@@ -1,21 +1,23 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are TF-IDF vectors over the words and word beginnings that separate the two labels. A block-max inverted index holds their postings in
-blocks of examples, and the largest weight of every word in every block: a bound on the cosine of all examples of a block
-from the few words that the text shares with it. Blocks are opened in the order of their bounds until no closed one can hold
-a nearer example, so that the neighbours are exact. Votes weighted by distance, calibrated on the examples themselves
-with each left out in turn, give the score; the neighbours are the evidence.
+Examples are whole TF-IDF vectors over all their words and word beginnings; words by which the labels differ weigh more, and
+none is left out. Words of few examples have postings, which are all read. Words of many have a matrix per block of
+examples, and their largest weight in every block gives a bound on the cosine of all its examples. A block is opened, for
+many texts at once, if an example in it could be nearer than those found in the blocks of the greatest bounds, so that
+the neighbours are exact. Votes weighted by distance, calibrated on the examples themselves with each left out in turn, give
+the score; the neighbours are the evidence.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,19 +27,27 @@ from curbside.llm.words import Words, slices
 #: A block holds so many examples.
 BLOCK = 64
 
-#: Of all terms in at least LEAST_DOCS examples, so many may separate the labels by chance alone; and terms must lean to
-#: one label by this factor.
-BY_CHANCE, LEAST_LIFT, LEAST_DOCS = 5, 3.0, 3
+#: A term that more than one in so many examples hold is common: it has no postings but a column of each block's matrix.
+COMMON = 12
+
+#: So many texts are compared with the examples at once.
+TEXTS = 128
+
+#: Of all terms, so many may seem to separate the labels by chance alone; those beyond weigh more.
+BY_CHANCE = 5
 
 
 @dataclass(frozen=True)
 class ExampleIndex:
     terms: np.ndarray  # hashes of the words, ascending
-    idf: np.ndarray
-    starts: np.ndarray  # [term, block]: where the postings start; one more column for the end
+    idf: np.ndarray  # times what the term weighs by the labels
+    unknown: float  # the idf of a word that no example holds
+    starts: np.ndarray  # of each term: where its postings start; one more for the end. Common terms have none
     examples: np.ndarray  # of each posting: the example's place
     weights: np.ndarray
-    most: np.ndarray  # [term, block]: the largest weight
+    column: np.ndarray  # of each term: its place among the common ones, or -1
+    common: np.ndarray  # [example, common term]: weights, the examples filled up to whole blocks
+    most: np.ndarray  # [common term, block]: the largest weight
     ids: np.ndarray  # of each example
     toxic: np.ndarray
     neighbours: int
@@ -45,56 +55,94 @@ class ExampleIndex:
     calibrated: np.ndarray
     without: float  # the score of a text that shares no word
 
-    def _open(self, blocks: np.ndarray, terms: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Exact cosines with the examples of these blocks; 0 for all others."""
-        low, high = self.starts[terms[:, None], blocks].ravel(), self.starts[terms[:, None], blocks + 1].ravel()
-        n = high - low
-        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.bincount(self.examples[at], np.repeat(np.repeat(query, len(blocks)), n) * self.weights[at], len(self.ids))
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, leave_out: int = -1, unknown: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the examples nearest to a text, the nearest first, equal ones by place.
+
+        ``unknown`` is the squared length of the part of the text that no example shares.
+        """
+        return next(self.nearest_to_each(np.array([0, len(terms)]), terms, counts, np.array([unknown]), np.array([leave_out])))
 
-    def nearest(self, terms: np.ndarray, counts: np.ndarray, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the nearest examples, the nearest first, equal ones by place.
+    def nearest_to_each(self, edges: np.ndarray, terms: np.ndarray, counts: np.ndarray, unknown: np.ndarray, leave_out: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """As `nearest`, for many texts; text i has the terms from ``edges[i]`` to ``edges[i + 1]``.
 
-        The blocks of the greatest bounds are opened first. The least cosine found there closes all blocks with a lower
-        bound; the others are opened as well.
+        Matrix products in single precision, with a bound on their error, only choose; the cosines are then computed in double
+        precision, one text at a time, and do not depend on the other texts.
         """
+        common = self.common.astype(np.float32).reshape(len(self.common) // BLOCK, BLOCK, self.common.shape[1])
+        most = self.most.astype(np.float32)
+        for at in range(0, len(edges) - 1, TEXTS):
+            to = min(at + TEXTS, len(edges) - 1)
+            part = slice(edges[at], edges[to])
+            yield from self._nearest(edges[at : to + 1] - edges[at], terms[part], counts[part], unknown[at:to], leave_out[at:to], common, most)
+
+    def _nearest(self, edges: np.ndarray, terms: np.ndarray, counts: np.ndarray, unknown: np.ndarray, leave_out: np.ndarray, common: np.ndarray, most: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        n, size, k = len(edges) - 1, len(self.common), self.neighbours
+        text = np.repeat(np.arange(n), np.diff(edges))
         query = (1 + np.log(counts)) * self.idf[terms]
-        query /= np.sqrt((query**2).sum())
-        bounds = query @ self.most[terms] * (1 + 1e-9)
-        order = np.argsort(-bounds, kind="stable")
-        cosines = self._open(order[:2], terms, query)
-        if leave_out >= 0:
-            cosines[leave_out] = 0
-        least = np.partition(cosines, -self.neighbours)[-self.neighbours] if len(cosines) > self.neighbours else 0.0
-        rest = order[2:][bounds[order[2:]] >= max(least, 1e-12)]
-        if len(rest):
-            cosines += self._open(rest, terms, query)
-            if leave_out >= 0:
-                cosines[leave_out] = 0
-        found = np.lexsort((np.arange(len(cosines)), -cosines))[: self.neighbours]
-        found = found[cosines[found] > 0]
-        return found, cosines[found]
+        query /= np.sqrt(np.bincount(text, query**2, n) + unknown)[text]
+        column = self.column[terms]
+        few = np.flatnonzero(column < 0)
+        where, times = _ranges(self.starts[terms[few]], self.starts[terms[few] + 1])
+        exact = np.bincount(np.repeat(text[few], times) * size + self.examples[where], np.repeat(query[few], times) * self.weights[where], n * size)
+        exact = exact.astype(float).reshape(n, -1, BLOCK)
+        heavy = np.zeros((n, common.shape[2]), np.float32)
+        heavy[text[column >= 0], column[column >= 0]] = query[column >= 0]
+        error = (common.shape[2] + 4) * 2.0**-22  # of single precision
+        bounds = exact.max(axis=2) + heavy @ most + error
+        found = np.zeros(exact.shape)  # nothing in closed blocks
+
+        def open_blocks(wanted: np.ndarray) -> None:
+            for block in np.flatnonzero(wanted.any(axis=0)):
+                rows = np.flatnonzero(wanted[:, block])
+                found[rows, block] = exact[rows, block] + heavy[rows] @ common[block].T
+
+        def least() -> np.ndarray:
+            """The k-th cosine of each text."""
+            flat = found.reshape(n, size)
+            out = np.flatnonzero(leave_out >= 0)
+            flat[out, leave_out[out]] = 0
+            return np.partition(flat, -k, axis=1)[:, -k] if size > k else np.zeros(n)
+
+        first = np.zeros(bounds.shape, bool)
+        np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :2], True, axis=1)
+        open_blocks(first)
+        open_blocks(~first & (bounds >= (least() - error)[:, None]))
+        enough = least() - 2 * error
+        flat, exact = found.reshape(n, size), exact.reshape(n, size)
+        for i in range(n):
+            places = np.flatnonzero((flat[i] > 0) & (flat[i] >= enough[i]))
+            own = slice(edges[i], edges[i + 1])
+            shared = np.flatnonzero(column[own] >= 0)
+            cosines = exact[i, places] + (self.common[places[:, None], column[own][shared]] * query[own][shared]).sum(axis=1)
+            order = np.lexsort((places, -cosines))[:k]
+            yield places[order], cosines[order]
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
         """The share of toxic neighbours, each weighted by its squared cosine, against one vote of doubt."""
         weights = cosines**2
         return float((weights * self.toxic[places]).sum() / (weights.sum() + 1))
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int], list[float]]:
-        if not len(terms):
-            return self.without, [], []
-        places, cosines = self.nearest(terms, counts)
-        score = float(np.interp(self.vote(places, cosines), self.raw, self.calibrated)) if len(places) else self.without
-        return score, self.ids[places].tolist(), cosines.tolist()
+    def score(self, terms: np.ndarray, counts: np.ndarray, unknown: float = 0.0) -> tuple[float, list[int], list[float]]:
+        return next(self.score_each(np.array([0, len(terms)]), terms, counts, np.array([unknown])))
+
+    def score_each(self, edges: np.ndarray, terms: np.ndarray, counts: np.ndarray, unknown: np.ndarray) -> Iterator[tuple[float, list[int], list[float]]]:
+        for places, cosines in self.nearest_to_each(edges, terms, counts, unknown, np.full(len(edges) - 1, -1)):
+            score = float(np.interp(self.vote(places, cosines), self.raw, self.calibrated)) if len(places) else self.without
+            yield score, self.ids[places].tolist(), cosines.tolist()
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges in order, and the size of each range."""
+    n = high - low
+    return np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum()), n
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, per_label: int = 2000, neighbours: int = 15) -> ExampleIndex:
     """Index at most ``per_label`` allowed examples of each label, those of the smallest hashes.
 
     ``labels`` has ``doc_id`` and ``toxic``; other labels than 0 and 1 teach nothing, and of contradicting ones the 1 holds.
-    Their words are counted in Spark; only the terms that separate the labels, and the examples' counts of these, come to
-    the driver. How common each label is, which calibration needs, is counted over all
-    labelled rows.
+    Their whole vectors come to the driver. In how many allowed documents each of their terms occurs is counted in Spark.
+    How common each label is, which calibration needs, is counted over all labelled rows.
     """
     marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(allowed)
     totals = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
@@ -102,19 +150,39 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, per_label: int = 20
     for label in (0, 1):
         chosen |= {r.doc_id: label for r in marks.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label).select("doc_id").collect()}
     words = docs.where(F.col("doc_id").isin(list(chosen))).select("doc_id", "text").mapInArrow(_word_counts, "doc_id long, words array<long>, counts array<int>")
-    sample = stage(words.where(F.size("words") > 0), "examples")
-    toxic = F.col("doc_id").isin([i for i, label in chosen.items() if label])
-    seen = sample.select(toxic.cast("int").alias("toxic"), F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("ones"), F.count("*").alias("n"))
-    terms, n = separating_terms(seen.where(F.col("n") >= LEAST_DOCS).toPandas(), *(int(x or 0) for x in sample.agg(F.count("*"), F.sum(toxic.cast("int"))).first()))
-
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = stage(words, "examples").orderBy("doc_id", F.xxhash64("words", "counts")).toArrow().combine_chunks()
+    ids = rows["doc_id"].to_numpy()
+    edges = np.append(0, np.cumsum(pc.list_value_length(rows["words"]).to_numpy()))
+    hashes, counts = (pc.list_flatten(rows[c]).to_numpy() for c in ("words", "counts"))
+    del rows
+    terms, places = np.unique(hashes.view(np.uint64), return_inverse=True)
+    places = places.astype(np.int32)
+    del hashes
+    vectors = [(places[a:b], counts[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    seen, documents = document_counts(docs.where(allowed), terms)
+    return build_index(terms, seen, vectors, ids, np.array([chosen[i] for i in ids.tolist()], np.int64), totals, neighbours, documents)
+
+
+def document_counts(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
+    """In how many documents each of the terms occurs, and how many documents there are."""
+    spec = docs.sparkSession.sparkContext.broadcast(terms)  # bounded by the examples
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = spec.value
+        seen = np.zeros(len(known) + 1, np.int64)  # the last one: documents
         for batch in batches:
-            found = [lookup(terms, np.array(w.values).view(np.uint64), np.array(c.values)) for w, c in zip(batch.column(1), batch.column(2), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t for t, _ in found], pa.list_(pa.int32())), pa.array([c for _, c in found], pa.list_(pa.int32()))], names=["doc_id", "terms", "counts"])
+            for part in slices(batch, "text"):
+                seen[-1] += part.num_rows
+                row, hashes = _terms(part.column(0))
+                row, hashes, _ = _distinct(row, hashes)
+                seen[:-1] += np.bincount(_among(known, hashes)[1], minlength=len(known))
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], names=["term", "n"])
 
-    rows = sample.mapInArrow(known, "doc_id long, terms array<int>, counts array<int>").orderBy("doc_id").collect()
-    vectors = [(np.array(r.terms, np.int64), np.array(r.counts, np.float64)) for r in rows]
-    return build_index(terms, n, vectors, np.array([r.doc_id for r in rows], np.int64), np.array([chosen[r.doc_id] for r in rows], np.int64), totals, neighbours)
+    found = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    seen = np.zeros(len(terms) + 1, np.int64)
+    seen[found["term"].to_numpy()] = found["n"].to_numpy()
+    return seen[:-1].astype(float), int(seen[-1])
 
 
 #: Besides whole words, so many first bytes of longer words are terms: inflected forms share them.
@@ -127,6 +195,15 @@ def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([words.row, *(words.row[i] for i, _ in words.beginnings)]), np.concatenate([words.hashes, *(h for _, h in words.beginnings)])
 
 
+def _distinct(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each hash of each row once, by row and hash, and how often it occurs there. ``row`` and ``hashes`` as of `_terms`."""
+    order = np.argsort(hashes)
+    order = order[np.argsort(row[order], kind="stable")]
+    row, hashes = row[order], hashes[order]
+    first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1]))[: len(row)])
+    return row[first], hashes[first], np.diff(np.append(first, len(row)))
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
@@ -138,33 +215,25 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "words", "counts"])
 
 
-def separating_terms(seen: pd.DataFrame, examples: int, toxic: int) -> tuple[np.ndarray, np.ndarray]:
-    """The terms (hashes, ascending) by which the labels differ beyond chance, and in how many examples each occurs.
-
-    ``seen`` has ``word``, ``ones`` (toxic examples that hold it) and ``n`` (all that do).
-    """
-    size = np.array([examples - toxic, toxic], float)[:, None]
-    n = seen["n"].to_numpy(float)
-    if not len(n) or not size.all():
-        return np.zeros(0, np.uint64), np.zeros(0)
-    ones = seen["ones"].to_numpy(float)
-    held = np.stack([n - ones, ones])
-    shares = (held + 0.5) / (size + 1)
-    expected = n / examples * size
+def label_weights(terms: int, sparse: list, toxic: np.ndarray) -> np.ndarray:
+    """What each term weighs by how far the labels differ in it: 1 if no more than by chance."""
+    size = np.array([(toxic == 0).sum(), (toxic == 1).sum()], float)[:, None]
+    if not terms or not size.all():
+        return np.ones(terms)
+    held = np.stack([np.bincount(np.concatenate([t for (t, _), k in zip(sparse, toxic, strict=True) if k == label]), minlength=terms) for label in (0, 1)]).astype(float)
+    expected = held.sum(axis=0) / len(sparse) * size
     with np.errstate(divide="ignore", invalid="ignore"):
         part = lambda x, e: np.where(x > 0, x * np.log(x / e), 0)
         g2 = 2 * (part(held, expected) + part(size - held, size - expected)).sum(axis=0)
-    lift = np.maximum(shares[0] / shares[1], shares[1] / shares[0])
-    tail = min(0.5, BY_CHANCE / len(n))  # of a squared normal variable
-    keep = (g2 >= NormalDist().inv_cdf(1 - tail / 2) ** 2) & (lift >= LEAST_LIFT)
-    terms = seen["word"].to_numpy(np.int64)[keep].view(np.uint64)
-    order = np.argsort(terms)
-    return terms[order], n[keep][order]
+    tail = min(0.5, BY_CHANCE / terms)  # of a squared normal variable
+    return np.sqrt(np.maximum(1, g2 / NormalDist().inv_cdf(1 - tail / 2) ** 2))
 
 
-def build_index(terms: np.ndarray, seen: np.ndarray, sparse: list, ids: np.ndarray, toxic: np.ndarray, totals: dict[int, int], neighbours: int) -> ExampleIndex:
-    """``sparse`` has the places (in ``terms``) and counts of each example's terms."""
-    idf = np.log((1 + len(sparse)) / (1 + seen)) + 1
+def build_index(terms: np.ndarray, seen: np.ndarray, sparse: list, ids: np.ndarray, toxic: np.ndarray, totals: dict[int, int], neighbours: int, documents: int | None = None) -> ExampleIndex:
+    """``sparse`` has the places (in ``terms``) and counts of each example's terms; ``seen``, how many of the ``documents``
+    (by default, the examples) hold each term."""
+    documents = len(sparse) if documents is None else documents
+    idf = (np.log((1 + documents) / (1 + seen)) + 1) * label_weights(len(terms), sparse, toxic)
     weighted = []
     for t, c in sparse:
         w = (1 + np.log(c)) * idf[t]
@@ -172,13 +241,20 @@ def build_index(terms: np.ndarray, seen: np.ndarray, sparse: list, ids: np.ndarr
     # Examples of the same heaviest words stand together, which keeps the bounds of blocks tight.
     order = sorted((i for i, (t, _) in enumerate(sparse) if len(t)), key=lambda i: (*sparse[i][0][np.argsort(-weighted[i], kind="stable")[:3]].tolist(), int(ids[i])))
     blocks = max(1, -(-len(order) // BLOCK))
-    postings = sorted((int(t), place, float(w)) for place, i in enumerate(order) for t, w in zip(sparse[i][0], weighted[i], strict=True))
-    where = np.array([t * blocks + place // BLOCK for t, place, _ in postings], np.int64)
-    edges = np.searchsorted(where, np.arange(len(terms) * blocks + 1))
-    starts = np.stack([np.append(edges[t * blocks : (t + 1) * blocks], edges[(t + 1) * blocks]) for t in range(len(terms))]) if len(terms) else np.zeros((0, blocks + 1), np.int64)
-    most = np.zeros((len(terms), blocks))
-    for t, place, w in postings:
-        most[t, place // BLOCK] = max(most[t, place // BLOCK], w)
+    term = np.concatenate([np.zeros(0, np.int32), *(sparse[i][0] for i in order)])
+    place = np.repeat(np.arange(len(order), dtype=np.int32), np.array([len(sparse[i][0]) for i in order], np.int64))
+    weight = np.concatenate([np.zeros(0), *(weighted[i] for i in order)])
+    del weighted
+    sort = np.argsort(term, kind="stable")
+    term, place, weight = term[sort], place[sort], weight[sort]
+    many = np.bincount(term, minlength=len(terms)) * COMMON > len(order)
+    column = np.where(many, np.cumsum(many) - 1, -1)
+    heavy = many[term]
+    common = np.zeros((blocks * BLOCK, int(many.sum())))
+    common[place[heavy], column[term[heavy]]] = weight[heavy]
+    most = common.reshape(blocks, BLOCK, common.shape[1]).max(axis=1).T.copy()
+    term, place, weight = term[~heavy], place[~heavy], weight[~heavy]
+    starts = np.searchsorted(term, np.arange(len(terms) + 1))
 
     # How many rows of the whole labelled table an example of each label stands for.
     share = np.array([totals.get(k, 0) / max(1, (toxic == k).sum()) for k in (0, 1)])
@@ -186,12 +262,12 @@ def build_index(terms: np.ndarray, seen: np.ndarray, sparse: list, ids: np.ndarr
     counts = np.array([share[k] * (empty & (toxic == k)).sum() for k in (0, 1)])
     overall = np.array([totals.get(k, 0) for k in (0, 1)], float)
     without = (counts[1] + 0.5 * overall[1] / max(1.0, overall.sum())) / (counts.sum() + 0.5) if overall.sum() else 0.0
-    first = ExampleIndex(terms, idf, starts, np.array([p for _, p, _ in postings], np.int64), np.array([w for _, _, w in postings]), most, ids[order], toxic[order], neighbours, np.array([0.0, 1.0]), np.array([0.0, 1.0]), float(min(without, 0.69)))
-    votes = []
-    for place, i in enumerate(order):
-        near = first.nearest(*sparse[i], leave_out=place)
-        if len(near[0]):
-            votes.append((first.vote(*near), int(toxic[i]), share[toxic[i]]))
+    unknown = float(np.log(1 + documents) + 1)
+    first = ExampleIndex(terms, idf, unknown, starts, place, weight, column, common, most, ids[order], toxic[order], neighbours, np.array([0.0, 1.0]), np.array([0.0, 1.0]), float(without))
+    edges = np.cumsum([0, *(len(sparse[i][0]) for i in order)])
+    own = [np.concatenate([np.zeros(0, t), *(sparse[i][k] for i in order)]) for k, t in enumerate((np.int32, np.int32))]
+    near = first.nearest_to_each(edges, *own, np.zeros(len(order)), np.arange(len(order)))
+    votes = [(first.vote(*found), int(toxic[i]), share[toxic[i]]) for i, found in zip(order, near, strict=True) if len(found[0])]
     raw, calibrated = isotonic(votes)
     return ExampleIndex(**{**first.__dict__, "raw": raw, "calibrated": calibrated})
 
@@ -211,12 +287,13 @@ def isotonic(votes: list[tuple[float, int, float]]) -> tuple[np.ndarray, np.ndar
     return raw, np.clip(np.maximum.accumulate(np.repeat(level, 2)), 0, 1)
 
 
-def lookup(terms: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _among(terms: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the words are terms, and the places of those."""
     if not len(terms):
-        return np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros(len(words), bool), np.zeros(0, np.int64)
     at = np.minimum(np.searchsorted(terms, words), len(terms) - 1)
     hit = terms[at] == words
-    return at[hit], counts[hit]
+    return hit, at[hit]
 
 
 def score_texts(docs: DataFrame, index: ExampleIndex, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -230,31 +307,23 @@ def score_texts(docs: DataFrame, index: ExampleIndex, id_column: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix: ExampleIndex = spec.value
-        maybe = np.zeros(1 << 20, bool)  # by the last bits of a hash: few other terms need to be looked up
-        last = np.uint64(len(maybe) - 1)
-        maybe[ix.terms & last] = True
         known: dict[bytes, tuple] = {}
         for batch in batches:
             for part in slices(batch, "text"):
-                row, hashes = _terms(part.column(1))
-                if len(ix.terms):
-                    some = maybe[hashes & last]
-                    row, hashes = row[some], hashes[some]
-                    at = np.minimum(np.searchsorted(ix.terms, hashes), len(ix.terms) - 1)
-                    hit = ix.terms[at] == hashes
-                    pairs, counts = np.unique(row[hit] * len(ix.terms) + at[hit], return_counts=True)
-                else:
-                    pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                edges = np.searchsorted(pairs, np.arange(part.num_rows + 1) * max(1, len(ix.terms)))
-                rows = []
-                for a, b in zip(edges[:-1], edges[1:], strict=True):
-                    terms, n = pairs[a:b] % max(1, len(ix.terms)), counts[a:b]
-                    key = terms.tobytes() + n.tobytes()
-                    if (row := known.get(key)) is None:
-                        if len(known) >= 50_000:
-                            known.clear()
-                        row = known[key] = ix.score(terms, n)
-                    rows.append(row)
+                row, hashes, counts = _distinct(*_terms(part.column(1)))
+                hit, at = _among(ix.terms, hashes)
+                other = np.bincount(row[~hit], ((1 + np.log(counts[~hit])) * ix.unknown) ** 2, part.num_rows).astype(float)
+                row, counts = row[hit], counts[hit]
+                edges = np.searchsorted(row, np.arange(part.num_rows + 1))
+                keys = [hashlib.blake2b(at[a:b].tobytes() + counts[a:b].tobytes() + x.tobytes(), digest_size=16).digest() for a, b, x in zip(edges[:-1], edges[1:], other, strict=True)]
+                if len(known) >= 50_000:
+                    known.clear()
+                new = {k: i for i, k in enumerate(keys) if k not in known}
+                chosen = np.array(sorted(new.values()), np.int64)
+                where, n = _ranges(edges[chosen], edges[chosen + 1])
+                for i, found in zip(chosen, ix.score_each(np.append(0, np.cumsum(n)), at[where], counts[where], other[chosen]), strict=True):
+                    known[keys[i]] = found
+                rows = [known[k] for k in keys]
                 score, near, cosine = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score, pa.float64()), pa.array(near, pa.list_(pa.int64())), pa.array(cosine, pa.list_(pa.float64()))], names=[id_column, "score", "evidence", "cosines"])
 
