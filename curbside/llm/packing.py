@@ -1,10 +1,10 @@
-"""Best-fit packing of token sequences in bulk-synchronous rounds.
+"""Best-fit packing of token sequences in bulk rounds, planned on the driver.
 
 Pieces of one length are interchangeable, and so are gaps of one width. A round takes all pieces of the greatest length that
 is left, finds the successor gap (the narrowest that is wide enough), fills as many gaps of that width as there are
 pieces or gaps, moves these gaps to their new width and repeats; without a successor it opens new sequences. So one step
 moves thousands of pieces at once, and the state is a histogram with at most ``capacity`` lengths and widths, however
-many pieces there are. Conflicts are resolved by rank: pieces are range-sorted by length and id in Spark, and the piece of
+many pieces there are; the rounds run as one loop on the driver, not in Spark. Conflicts are resolved by rank: pieces are range-sorted by length and id in Spark, and the piece of
 rank r within its length takes the r-th place that the rounds gave to this length.
 """
 
