@@ -5,7 +5,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import SF
+from support import SF
 
 import __spark_entry__ as contract
 from curbside.catalog import ORACLE_SQL, QUERIES

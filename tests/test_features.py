@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import as_ntz
+from support import as_ntz
 from pyspark.sql import functions as F
 
 from curbside.functions.calendar import clip, ratio_if_positive, speed_up

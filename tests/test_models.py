@@ -1,5 +1,5 @@
 import pytest
-from conftest import SF
+from support import SF
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F

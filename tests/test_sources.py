@@ -3,7 +3,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
-from conftest import SF
+from support import SF
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
