@@ -9,11 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.llm import bpe, chat_tree, embedding_join, fingerprint, jaccard_join, language_id, packing, substring_dedup, toxicity, url_filter
+from curbside.llm import bpe, chat_tree, cross_tokenizer, decontamination, embedding_join, fingerprint, jaccard_join, language_id, lexical_search, packing, substring_dedup, toxicity, url_filter
 from curbside.llm.storage import held_out, ship_package, table
 
 TOKENIZER = "word_bpe_49k.json"
 
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+
 RULES = (
     ("allow", "org/"),
     ("block", "example.org/es/"),
@@ -80,6 +82,19 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definitions = cross_tokenizer.Definitions.read(*map(public_tokenizers.path, ALIGNED))
+    return cross_tokenizer.link_counts(table(spark, sf_dir, "documents"), definitions)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), decontamination.index_items(table(spark, sf_dir, "benchmark")))
+
+
 def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +104,6 @@ def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
     return run
 
 
-_ALL = (op1_url_filter, op2_language_id, op3_substring_dedup, op4_toxicity, op5_embedding_dedup, op6_chat_formatting, op7_best_fit_packing, op8_bpe, op9_jaccard_join, op10_fingerprints)
+_ALL = (op1_url_filter, op2_language_id, op3_substring_dedup, op4_toxicity, op5_embedding_dedup, op6_chat_formatting, op7_best_fit_packing, op8_bpe, op9_jaccard_join, op10_fingerprints, op11_cross_tokenizer, op12_lexical_search, op13_decontamination)
 
 QUERIES = {query.__name__: _registered(query) for query in _ALL}

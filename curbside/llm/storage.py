@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -67,3 +69,16 @@ def ship_package(spark: SparkSession) -> None:
             for file in sorted(package.rglob("*.py")):
                 out.write(file, file.relative_to(package.parent))
         spark.sparkContext.addPyFile(str(path))
+
+
+_served: list[tempfile.TemporaryDirectory] = []
+
+
+def serve(spark: SparkSession, name: str, values: np.ndarray) -> None:
+    """Ship an array as the file ``name``, which names its content; `SparkFiles` finds it on every machine."""
+    if name not in {os.path.basename(f) for f in spark.sparkContext.listFiles}:
+        if not _served:
+            _served.append(tempfile.TemporaryDirectory())  # Spark's file server of the driver reads from here
+        path = os.path.join(_served[0].name, name)
+        np.save(path, values)
+        spark.sparkContext.addFile(path)

@@ -19,6 +19,9 @@ SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Everything below 0x80 but letters.
 NO_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 
+#: Everything below 0x80 but letters and digits.
+NO_TERM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
 PIECE_BYTES = 1 << 20
 
 _coefficients = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,14 +79,14 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """All words of a text column in order: ``hashes``, ``starts`` and ``ends`` (bytes), ``row``, ``counts`` per row.
 
-    ``lower`` folds A-Z in the hashes. With ``letters``, words end at every ASCII character that is no letter.
-    ``beginnings`` asks for hashes of so many first bytes, too.
+    ``lower`` folds A-Z in the hashes. With ``letters``, words end at every ASCII character that is no letter; ``apart``
+    names any other table of the bytes that end a word. ``beginnings`` asks for hashes of so many first bytes, too.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False, letters: bool = False, beginnings: tuple[int, ...] = ()):
+    def __init__(self, column: pa.Array, lower: bool = False, letters: bool = False, beginnings: tuple[int, ...] = (), apart: np.ndarray = SEPARATOR):
         self.data, self.offsets = buffers(column)
         data, n = self.data, len(column)
-        inside = ~(NO_LETTER if letters else SEPARATOR)[data]
+        inside = ~(NO_LETTER if letters else apart)[data]
         edge = np.unique(self.offsets)
         before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
         before[1:], after[:-1] = inside[:-1], inside[1:]
