@@ -1,11 +1,14 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are whole TF-IDF vectors over all their words and word beginnings; words by which the labels differ weigh more, and
-none is left out. Words of few examples have postings, which are all read. Words of many have a matrix per block of
-examples, and their largest weight in every block gives a bound on the cosine of all its examples. A block is opened, for
-many texts at once, if an example in it could be nearer than those found in the blocks of the greatest bounds, so that
-the neighbours are exact. Votes weighted by distance, calibrated on the examples themselves with each left out in turn, give
-the score; the neighbours are the evidence.
+Examples are whole TF-IDF vectors over all their words and word beginnings. The idf of a term is damped where so few
+documents hold it that their number says little; labels have no part in it, they only vote. Words of few examples have
+postings, which are all read. Words of many have a matrix per block of examples, and their largest weight in every block gives a
+bound on the cosine of all its examples. A block is opened, for many texts at once, if an example in it could be nearer than
+those found in the blocks of the greatest bounds, so that the neighbours are exact. Votes weighted by distance, calibrated on
+the examples themselves with each left out in turn, give the score; the neighbours are the evidence.
+
+The index is a set of files that each machine fetches once and maps into memory, so that it stays neither in the driver nor in
+broadcasts; the votes for the calibration are taken by tasks.
 """
 
 from __future__ import annotations
@@ -13,15 +16,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.llm.storage import carrying, stage
+from curbside.llm.storage import carrying, serve, stage
 from curbside.llm.words import Words, slices
 
 #: A block holds so many examples.
@@ -33,14 +36,17 @@ COMMON = 12
 #: So many texts are compared with the examples at once.
 TEXTS = 128
 
-#: Of all terms, so many may seem to separate the labels by chance alone; those beyond weigh more.
-BY_CHANCE = 5
+#: The idf of a term that this share of the documents holds is halved, that of a rarer one falls further.
+DAMPING = 0.005
+
+#: Examples whose votes for the calibration are taken by one task.
+VOTERS = 256
 
 
 @dataclass(frozen=True)
 class ExampleIndex:
     terms: np.ndarray  # hashes of the words, ascending
-    idf: np.ndarray  # times what the term weighs by the labels
+    idf: np.ndarray
     unknown: float  # the idf of a word that no example holds
     starts: np.ndarray  # of each term: where its postings start; one more for the end. Common terms have none
     examples: np.ndarray  # of each posting: the example's place
@@ -79,7 +85,7 @@ class ExampleIndex:
         n, size, k = len(edges) - 1, len(self.common), self.neighbours
         text = np.repeat(np.arange(n), np.diff(edges))
         query = (1 + np.log(counts)) * self.idf[terms]
-        query /= np.sqrt(np.bincount(text, query**2, n) + unknown)[text]
+        query /= np.maximum(np.sqrt(np.bincount(text, query**2, n) + unknown), np.finfo(float).tiny)[text]
         column = self.column[terms]
         few = np.flatnonzero(column < 0)
         where, times = _ranges(self.starts[terms[few]], self.starts[terms[few] + 1])
@@ -137,30 +143,70 @@ def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum()), n
 
 
-def fit(docs: DataFrame, labels: DataFrame, allowed: Column, per_label: int = 2000, neighbours: int = 15) -> ExampleIndex:
+@dataclass(frozen=True)
+class ShippedIndex:
+    """Names of the files of an index's large arrays, and its small parts."""
+
+    files: dict[str, str]
+    rest: dict
+
+    def load(self) -> ExampleIndex:
+        return ExampleIndex(**{k: np.load(SparkFiles.get(f), mmap_mode="r") for k, f in self.files.items() if k not in VECTORS}, **self.rest)
+
+    def vectors(self) -> list[np.ndarray]:
+        """Of the examples: where each one's terms start, the terms, and their counts."""
+        return [np.load(SparkFiles.get(self.files[k]), mmap_mode="r") for k in VECTORS]
+
+
+VECTORS = ("edges", "own_terms", "own_counts")
+
+
+def ship(spark: SparkSession, index: ExampleIndex, vectors: list[np.ndarray]) -> ShippedIndex:
+    fields = dict(index.__dict__)
+    large = {k: v for k, v in fields.items() if isinstance(v, np.ndarray) and k not in ("raw", "calibrated")}
+    files = {}
+    for k, values in {**large, **dict(zip(VECTORS, vectors, strict=True))}.items():
+        files[k] = f"examples-{k}-{hashlib.sha256(np.ascontiguousarray(values).data.cast('B') if values.size else b'').hexdigest()[:24]}-{len(values)}.npy"
+        serve(spark, files[k], values)
+    return ShippedIndex(files, {k: v for k, v in fields.items() if k not in large})
+
+
+def fit(docs: DataFrame, labels: DataFrame, allowed: Column, per_label: int = 2000, neighbours: int = 30) -> ShippedIndex:
     """Index at most ``per_label`` allowed examples of each label, those of the smallest hashes.
 
     ``labels`` has ``doc_id`` and ``toxic``; other labels than 0 and 1 teach nothing, and of contradicting ones the 1 holds.
-    Their whole vectors come to the driver. In how many allowed documents each of their terms occurs is counted in Spark.
+    Their whole vectors pass the driver. In how many allowed documents each of their terms occurs is counted in Spark.
     How common each label is, which calibration needs, is counted over all labelled rows.
     """
     marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(allowed)
     totals = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
-    chosen: dict[int, int] = {}
-    for label in (0, 1):
-        chosen |= {r.doc_id: label for r in marks.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label).select("doc_id").collect()}
-    words = docs.where(F.col("doc_id").isin(list(chosen))).select("doc_id", "text").mapInArrow(_word_counts, "doc_id long, words array<long>, counts array<int>")
+    some = [marks.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for label in (0, 1)]
+    chosen = F.broadcast(some[0].unionByName(some[1]))  # bounded by per_label
+    words = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", F.col("toxic").cast("long")).mapInArrow(_word_counts, "doc_id long, toxic long, words array<long>, counts array<int>")
     rows = stage(words, "examples").orderBy("doc_id", F.xxhash64("words", "counts")).toArrow().combine_chunks()
-    ids = rows["doc_id"].to_numpy()
+    ids, toxic = rows["doc_id"].to_numpy(), rows["toxic"].to_numpy()
     edges = np.append(0, np.cumsum(pc.list_value_length(rows["words"]).to_numpy()))
     hashes, counts = (pc.list_flatten(rows[c]).to_numpy() for c in ("words", "counts"))
     del rows
-    terms, places = np.unique(hashes.view(np.uint64), return_inverse=True)
-    places = places.astype(np.int32)
+    terms = np.unique(hashes.view(np.uint64))
+    places = np.searchsorted(terms, hashes.view(np.uint64)).astype(np.int32)
     del hashes
     vectors = [(places[a:b], counts[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
     seen, documents = document_counts(docs.where(allowed), terms)
-    return build_index(terms, seen, vectors, ids, np.array([chosen[i] for i in ids.tolist()], np.int64), totals, neighbours, documents)
+    first, own = arrange(terms, seen, vectors, ids, toxic, totals, neighbours, documents)
+    spark = docs.sparkSession
+    shipped = ship(spark, first, own)
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, own = shipped.load(), shipped.vectors()
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(own_votes(index, own, at))], names=["place", "vote"])
+
+    size = len(first.ids)
+    taken = spark.range(0, size, 1, max(1, -(-size // VOTERS))).mapInArrow(take, "place long, vote double").orderBy("place").toArrow()
+    raw, calibrated = calibrate(taken["vote"].to_numpy(), first.toxic, _shares(toxic, totals))
+    return ShippedIndex(shipped.files, {**shipped.rest, "raw": raw, "calibrated": calibrated})
 
 
 def document_counts(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
@@ -180,6 +226,7 @@ def document_counts(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], names=["term", "n"])
 
     found = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    spec.destroy()
     seen = np.zeros(len(terms) + 1, np.int64)
     seen[found["term"].to_numpy()] = found["n"].to_numpy()
     return seen[:-1].astype(float), int(seen[-1])
@@ -211,42 +258,42 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.argsort(row, kind="stable")
             edges = np.searchsorted(row[order], np.arange(part.num_rows + 1))
             found = [np.unique(hashes[order[a:b]], return_counts=True) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            columns = [part.column(0), pa.array([h.view(np.int64) for h, _ in found], pa.list_(pa.int64())), pa.array([c.astype(np.int32) for _, c in found], pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "words", "counts"])
+            columns = [part.column(0), part.column(2), pa.array([h.view(np.int64) for h, _ in found], pa.list_(pa.int64())), pa.array([c.astype(np.int32) for _, c in found], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "words", "counts"])
 
 
-def label_weights(terms: int, sparse: list, toxic: np.ndarray) -> np.ndarray:
-    """What each term weighs by how far the labels differ in it: 1 if no more than by chance."""
-    size = np.array([(toxic == 0).sum(), (toxic == 1).sum()], float)[:, None]
-    if not terms or not size.all():
-        return np.ones(terms)
-    held = np.stack([np.bincount(np.concatenate([t for (t, _), k in zip(sparse, toxic, strict=True) if k == label]), minlength=terms) for label in (0, 1)]).astype(float)
-    expected = held.sum(axis=0) / len(sparse) * size
-    with np.errstate(divide="ignore", invalid="ignore"):
-        part = lambda x, e: np.where(x > 0, x * np.log(x / e), 0)
-        g2 = 2 * (part(held, expected) + part(size - held, size - expected)).sum(axis=0)
-    tail = min(0.5, BY_CHANCE / terms)  # of a squared normal variable
-    return np.sqrt(np.maximum(1, g2 / NormalDist().inv_cdf(1 - tail / 2) ** 2))
+def damped_idf(seen: np.ndarray | float, documents: int) -> np.ndarray:
+    """What a term weighs that ``seen`` of the documents hold; the text at hand counts as one more."""
+    return np.log((1 + documents) / (1 + seen)) * (1 + seen) / (1 + seen + DAMPING * documents)
 
 
-def build_index(terms: np.ndarray, seen: np.ndarray, sparse: list, ids: np.ndarray, toxic: np.ndarray, totals: dict[int, int], neighbours: int, documents: int | None = None) -> ExampleIndex:
-    """``sparse`` has the places (in ``terms``) and counts of each example's terms; ``seen``, how many of the ``documents``
+def _shares(toxic: np.ndarray, totals: dict[int, int]) -> np.ndarray:
+    """How many rows of the whole labelled table an example of each label stands for."""
+    return np.array([totals.get(k, 0) / max(1, (toxic == k).sum()) for k in (0, 1)])
+
+
+def arrange(terms: np.ndarray, seen: np.ndarray, sparse: list, ids: np.ndarray, toxic: np.ndarray, totals: dict[int, int], neighbours: int, documents: int | None = None) -> tuple[ExampleIndex, list[np.ndarray]]:
+    """The index, not calibrated yet, and the examples' own terms and counts in its order.
+
+    ``sparse`` has the places (in ``terms``) and counts of each example's terms; ``seen``, how many of the ``documents``
     (by default, the examples) hold each term."""
     documents = len(sparse) if documents is None else documents
-    idf = (np.log((1 + documents) / (1 + seen)) + 1) * label_weights(len(terms), sparse, toxic)
+    idf = damped_idf(seen, documents)
     weighted = []
     for t, c in sparse:
         w = (1 + np.log(c)) * idf[t]
-        weighted.append(w / np.sqrt((w**2).sum()) if len(w) else w)
+        weighted.append(w / max(np.sqrt((w**2).sum()), np.finfo(float).tiny))
     # Examples of the same heaviest words stand together, which keeps the bounds of blocks tight.
-    order = sorted((i for i, (t, _) in enumerate(sparse) if len(t)), key=lambda i: (*sparse[i][0][np.argsort(-weighted[i], kind="stable")[:3]].tolist(), int(ids[i])))
+    order = sorted((i for i, w in enumerate(weighted) if w.any()), key=lambda i: (*sparse[i][0][np.argsort(-weighted[i], kind="stable")[:3]].tolist(), int(ids[i])))
     blocks = max(1, -(-len(order) // BLOCK))
-    term = np.concatenate([np.zeros(0, np.int32), *(sparse[i][0] for i in order)])
-    place = np.repeat(np.arange(len(order), dtype=np.int32), np.array([len(sparse[i][0]) for i in order], np.int64))
+    own_terms, own_counts = (np.concatenate([np.zeros(0, np.int32), *(sparse[i][k] for i in order)]).astype(np.int32) for k in (0, 1))
+    edges = np.cumsum([0, *(len(sparse[i][0]) for i in order)])
+    place = np.repeat(np.arange(len(order), dtype=np.int32), np.diff(edges))
     weight = np.concatenate([np.zeros(0), *(weighted[i] for i in order)])
     del weighted
-    sort = np.argsort(term, kind="stable")
-    term, place, weight = term[sort], place[sort], weight[sort]
+    sort = np.argsort(own_terms, kind="stable")
+    term, place, weight = own_terms[sort], place[sort], weight[sort]
+    del sort
     many = np.bincount(term, minlength=len(terms)) * COMMON > len(order)
     column = np.where(many, np.cumsum(many) - 1, -1)
     heavy = many[term]
@@ -256,19 +303,34 @@ def build_index(terms: np.ndarray, seen: np.ndarray, sparse: list, ids: np.ndarr
     term, place, weight = term[~heavy], place[~heavy], weight[~heavy]
     starts = np.searchsorted(term, np.arange(len(terms) + 1))
 
-    # How many rows of the whole labelled table an example of each label stands for.
-    share = np.array([totals.get(k, 0) / max(1, (toxic == k).sum()) for k in (0, 1)])
-    empty = np.array([len(t) == 0 for t, _ in sparse], bool)
-    counts = np.array([share[k] * (empty & (toxic == k)).sum() for k in (0, 1)])
+    empty = np.ones(len(sparse), bool)
+    empty[order] = False
+    counts = np.array([share * (empty & (toxic == k)).sum() for k, share in enumerate(_shares(toxic, totals))])
     overall = np.array([totals.get(k, 0) for k in (0, 1)], float)
     without = (counts[1] + 0.5 * overall[1] / max(1.0, overall.sum())) / (counts.sum() + 0.5) if overall.sum() else 0.0
-    unknown = float(np.log(1 + documents) + 1)
-    first = ExampleIndex(terms, idf, unknown, starts, place, weight, column, common, most, ids[order], toxic[order], neighbours, np.array([0.0, 1.0]), np.array([0.0, 1.0]), float(without))
-    edges = np.cumsum([0, *(len(sparse[i][0]) for i in order)])
-    own = [np.concatenate([np.zeros(0, t), *(sparse[i][k] for i in order)]) for k, t in enumerate((np.int32, np.int32))]
-    near = first.nearest_to_each(edges, *own, np.zeros(len(order)), np.arange(len(order)))
-    votes = [(first.vote(*found), int(toxic[i]), share[toxic[i]]) for i, found in zip(order, near, strict=True) if len(found[0])]
-    raw, calibrated = isotonic(votes)
+    even = np.array([0.0, 1.0])
+    index = ExampleIndex(terms, idf, float(damped_idf(0, documents)), starts, place, weight, column, common, most, ids[order], toxic[order], neighbours, even, even, float(without))
+    return index, [edges, own_terms, own_counts]
+
+
+def own_votes(index: ExampleIndex, own: list[np.ndarray], places: np.ndarray) -> np.ndarray:
+    """The vote on each of these examples with itself left out; NaN where no other shares a term."""
+    edges, terms, counts = own
+    where, n = _ranges(edges[places], edges[places + 1])
+    near = index.nearest_to_each(np.append(0, np.cumsum(n)), np.asarray(terms)[where], np.asarray(counts)[where], np.zeros(len(places)), places)
+    return np.array([index.vote(*found) if len(found[0]) else np.nan for found in near])
+
+
+def calibrate(votes: np.ndarray, toxic: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What votes stand for, by those on the examples."""
+    some = np.flatnonzero(~np.isnan(votes))
+    return isotonic([(float(votes[i]), int(toxic[i]), float(share[int(toxic[i])])) for i in some])
+
+
+def build_index(terms: np.ndarray, seen: np.ndarray, sparse: list, ids: np.ndarray, toxic: np.ndarray, totals: dict[int, int], neighbours: int, documents: int | None = None) -> ExampleIndex:
+    """`arrange` and `calibrate` in one process, for few examples."""
+    first, own = arrange(terms, seen, sparse, ids, toxic, totals, neighbours, documents)
+    raw, calibrated = calibrate(own_votes(first, own, np.arange(len(first.ids))), first.toxic, _shares(toxic, totals))
     return ExampleIndex(**{**first.__dict__, "raw": raw, "calibrated": calibrated})
 
 
@@ -296,17 +358,16 @@ def _among(terms: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return hit, at[hit]
 
 
-def score_texts(docs: DataFrame, index: ExampleIndex, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, index: ShippedIndex, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``score`` (0 to 1) of every whole text, with the ids and cosines of the examples that decided as evidence.
 
     A null or empty text, like any that shares no word with the index, gets the share of label 1 among such examples,
     without evidence. Equal texts get equal scores; repeated rows and null ids stay; other columns are ignored. Narrow: no
     shuffle.
     """
-    spec = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the examples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix: ExampleIndex = spec.value
+        ix = index.load()
         known: dict[bytes, tuple] = {}
         for batch in batches:
             for part in slices(batch, "text"):
