@@ -7,8 +7,8 @@ bound on the cosine of all its examples. A block is opened, for many texts at on
 those found in the blocks of the greatest bounds, so that the neighbours are exact. Votes weighted by distance, calibrated on
 the examples themselves with each left out in turn, give the score; the neighbours are the evidence.
 
-The index is a set of files that each machine fetches once and maps into memory, so that it stays neither in the driver nor in
-broadcasts; the votes for the calibration are taken by tasks.
+Only the examples' terms and counts pass the driver, and go to the executors; each worker arranges the index from them once.
+The votes for the calibration are taken by tasks.
 """
 
 from __future__ import annotations
@@ -20,11 +20,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.storage import carrying, serve, stage
+from curbside.llm.storage import carrying, stage
 from curbside.llm.words import Words, slices
 
 #: A block holds so many examples.
@@ -144,34 +143,25 @@ def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @dataclass(frozen=True)
-class ShippedIndex:
-    """Names of the files of an index's large arrays, and its small parts."""
+class Examples:
+    """All that an index is made of, in as few bytes as may be. The examples stand in the order of the index."""
 
-    files: dict[str, str]
-    rest: dict
-
-    def load(self) -> ExampleIndex:
-        return ExampleIndex(**{k: np.load(SparkFiles.get(f), mmap_mode="r") for k, f in self.files.items() if k not in VECTORS}, **self.rest)
-
-    def vectors(self) -> list[np.ndarray]:
-        """Of the examples: where each one's terms start, the terms, and their counts."""
-        return [np.load(SparkFiles.get(self.files[k]), mmap_mode="r") for k in VECTORS]
-
-
-VECTORS = ("edges", "own_terms", "own_counts")
-
-
-def ship(spark: SparkSession, index: ExampleIndex, vectors: list[np.ndarray]) -> ShippedIndex:
-    fields = dict(index.__dict__)
-    large = {k: v for k, v in fields.items() if isinstance(v, np.ndarray) and k not in ("raw", "calibrated")}
-    files = {}
-    for k, values in {**large, **dict(zip(VECTORS, vectors, strict=True))}.items():
-        files[k] = f"examples-{k}-{hashlib.sha256(np.ascontiguousarray(values).data.cast('B') if values.size else b'').hexdigest()[:24]}-{len(values)}.npy"
-        serve(spark, files[k], values)
-    return ShippedIndex(files, {k: v for k, v in fields.items() if k not in large})
+    terms: np.ndarray  # hashes of the words, ascending
+    seen: np.ndarray  # how many of the documents hold each
+    documents: int
+    edges: np.ndarray  # of each example: where its own terms start; one more for the end
+    own: np.ndarray  # places of the examples' terms
+    counts: np.ndarray
+    ids: np.ndarray
+    toxic: np.ndarray
+    neighbours: int
+    without: float
+    raw: np.ndarray
+    calibrated: np.ndarray
+    name: str  # of the content
 
 
-def fit(docs: DataFrame, labels: DataFrame, allowed: Column, per_label: int = 2000, neighbours: int = 30) -> ShippedIndex:
+def fit(docs: DataFrame, labels: DataFrame, allowed: Column, per_label: int = 2000, neighbours: int = 30) -> Examples:
     """Index at most ``per_label`` allowed examples of each label, those of the smallest hashes.
 
     ``labels`` has ``doc_id`` and ``toxic``; other labels than 0 and 1 teach nothing, and of contradicting ones the 1 holds.
@@ -191,22 +181,20 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, per_label: int = 20
     terms = np.unique(hashes.view(np.uint64))
     places = np.searchsorted(terms, hashes.view(np.uint64)).astype(np.int32)
     del hashes
-    vectors = [(places[a:b], counts[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
     seen, documents = document_counts(docs.where(allowed), terms)
-    first, own = arrange(terms, seen, vectors, ids, toxic, totals, neighbours, documents)
+    first = order(terms, seen, documents, edges, places, counts, ids, toxic, totals, neighbours)
     spark = docs.sparkSession
-    shipped = ship(spark, first, own)
+    spec = spark.sparkContext.broadcast(first)  # bounded by per_label
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, own = shipped.load(), shipped.vectors()
         for batch in batches:
             at = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(own_votes(index, own, at))], names=["place", "vote"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(own_votes(spec.value, arranged(spec.value), at))], names=["place", "vote"])
 
     size = len(first.ids)
     taken = spark.range(0, size, 1, max(1, -(-size // VOTERS))).mapInArrow(take, "place long, vote double").orderBy("place").toArrow()
-    raw, calibrated = calibrate(taken["vote"].to_numpy(), first.toxic, _shares(toxic, totals))
-    return ShippedIndex(shipped.files, {**shipped.rest, "raw": raw, "calibrated": calibrated})
+    spec.destroy()
+    return calibrate(first, taken["vote"].to_numpy(), _shares(toxic, totals))
 
 
 def document_counts(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
@@ -272,66 +260,88 @@ def _shares(toxic: np.ndarray, totals: dict[int, int]) -> np.ndarray:
     return np.array([totals.get(k, 0) / max(1, (toxic == k).sum()) for k in (0, 1)])
 
 
-def arrange(terms: np.ndarray, seen: np.ndarray, sparse: list, ids: np.ndarray, toxic: np.ndarray, totals: dict[int, int], neighbours: int, documents: int | None = None) -> tuple[ExampleIndex, list[np.ndarray]]:
-    """The index, not calibrated yet, and the examples' own terms and counts in its order.
-
-    ``sparse`` has the places (in ``terms``) and counts of each example's terms; ``seen``, how many of the ``documents``
-    (by default, the examples) hold each term."""
-    documents = len(sparse) if documents is None else documents
-    idf = damped_idf(seen, documents)
-    weighted = []
-    for t, c in sparse:
-        w = (1 + np.log(c)) * idf[t]
-        weighted.append(w / max(np.sqrt((w**2).sum()), np.finfo(float).tiny))
-    # Examples of the same heaviest words stand together, which keeps the bounds of blocks tight.
-    order = sorted((i for i, w in enumerate(weighted) if w.any()), key=lambda i: (*sparse[i][0][np.argsort(-weighted[i], kind="stable")[:3]].tolist(), int(ids[i])))
-    blocks = max(1, -(-len(order) // BLOCK))
-    own_terms, own_counts = (np.concatenate([np.zeros(0, np.int32), *(sparse[i][k] for i in order)]).astype(np.int32) for k in (0, 1))
-    edges = np.cumsum([0, *(len(sparse[i][0]) for i in order)])
-    place = np.repeat(np.arange(len(order), dtype=np.int32), np.diff(edges))
-    weight = np.concatenate([np.zeros(0), *(weighted[i] for i in order)])
-    del weighted
-    sort = np.argsort(own_terms, kind="stable")
-    term, place, weight = own_terms[sort], place[sort], weight[sort]
-    del sort
-    many = np.bincount(term, minlength=len(terms)) * COMMON > len(order)
+def weights_of(terms: np.ndarray, counts: np.ndarray, edges: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """TF-IDF weights of the examples' terms, each example of length 1."""
+    weights = (1 + np.log(counts.astype(float))) * idf[terms]
+    example = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    length = np.sqrt(np.bincount(example, weights**2, len(edges) - 1))
+    return weights / np.maximum(length, np.finfo(float).tiny)[example]
+
+
+def order(terms: np.ndarray, seen: np.ndarray, documents: int, edges: np.ndarray, own: np.ndarray, counts: np.ndarray, ids: np.ndarray, toxic: np.ndarray, totals: dict[int, int], neighbours: int) -> Examples:
+    """The examples in the index's order, not calibrated yet: those of the same heaviest words stand together, which keeps
+    the bounds of blocks tight. Examples without a term that weighs anything are only counted."""
+    weights = weights_of(own, counts, edges, damped_idf(seen, documents))
+    keys = {}
+    for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+        if weights[a:b].any():
+            keys[i] = (*own[a:b][np.argsort(-weights[a:b], kind="stable")[:3]].tolist(), int(ids[i]))
+    place = np.array(sorted(keys, key=keys.get), np.int64)
+    where, n = _ranges(edges[place], edges[place + 1])
+    empty = np.ones(len(ids), bool)
+    empty[place] = False
+    left = np.array([share * (empty & (toxic == k)).sum() for k, share in enumerate(_shares(toxic, totals))])
+    overall = np.array([totals.get(k, 0) for k in (0, 1)], float)
+    without = (left[1] + 0.5 * overall[1] / max(1.0, overall.sum())) / (left.sum() + 0.5) if overall.sum() else 0.0
+    own, counts = own[where].astype(np.int32), counts[where].astype(np.min_scalar_type(int(counts.max(initial=0))))
+    even = np.array([0.0, 1.0])
+    name = hashlib.sha256(b"".join(np.ascontiguousarray(x).tobytes() for x in (terms, seen, n, own, counts))).hexdigest()
+    return Examples(terms, seen.astype(np.int64), documents, np.append(0, np.cumsum(n)), own, counts, ids[place], toxic[place], neighbours, float(without), even, even, name)
+
+
+_arranged: dict[str, ExampleIndex] = {}
+
+
+def arranged(examples: Examples) -> ExampleIndex:
+    """The index, made once for each worker process; only the last one is kept."""
+    if examples.name not in _arranged:
+        _arranged.clear()
+        _arranged[examples.name] = arrange(examples)
+    return ExampleIndex(**{**_arranged[examples.name].__dict__, "raw": examples.raw, "calibrated": examples.calibrated})
+
+
+def arrange(x: Examples) -> ExampleIndex:
+    idf, size = damped_idf(x.seen, x.documents), len(x.ids)
+    weight = weights_of(x.own, x.counts, x.edges, idf)
+    blocks = max(1, -(-size // BLOCK))
+    sort = np.argsort(x.own, kind="stable")
+    term, place, weight = x.own[sort], np.repeat(np.arange(size, dtype=np.int32), np.diff(x.edges))[sort], weight[sort]
+    many = np.bincount(term, minlength=len(x.terms)) * COMMON > size
     column = np.where(many, np.cumsum(many) - 1, -1)
     heavy = many[term]
     common = np.zeros((blocks * BLOCK, int(many.sum())))
     common[place[heavy], column[term[heavy]]] = weight[heavy]
     most = common.reshape(blocks, BLOCK, common.shape[1]).max(axis=1).T.copy()
     term, place, weight = term[~heavy], place[~heavy], weight[~heavy]
-    starts = np.searchsorted(term, np.arange(len(terms) + 1))
+    starts = np.searchsorted(term, np.arange(len(x.terms) + 1))
+    return ExampleIndex(x.terms, idf, float(damped_idf(0, x.documents)), starts, place, weight, column, common, most, x.ids, x.toxic, x.neighbours, x.raw, x.calibrated, x.without)
 
-    empty = np.ones(len(sparse), bool)
-    empty[order] = False
-    counts = np.array([share * (empty & (toxic == k)).sum() for k, share in enumerate(_shares(toxic, totals))])
-    overall = np.array([totals.get(k, 0) for k in (0, 1)], float)
-    without = (counts[1] + 0.5 * overall[1] / max(1.0, overall.sum())) / (counts.sum() + 0.5) if overall.sum() else 0.0
-    even = np.array([0.0, 1.0])
-    index = ExampleIndex(terms, idf, float(damped_idf(0, documents)), starts, place, weight, column, common, most, ids[order], toxic[order], neighbours, even, even, float(without))
-    return index, [edges, own_terms, own_counts]
 
-
-def own_votes(index: ExampleIndex, own: list[np.ndarray], places: np.ndarray) -> np.ndarray:
+def own_votes(examples: Examples, index: ExampleIndex, places: np.ndarray) -> np.ndarray:
     """The vote on each of these examples with itself left out; NaN where no other shares a term."""
-    edges, terms, counts = own
-    where, n = _ranges(edges[places], edges[places + 1])
-    near = index.nearest_to_each(np.append(0, np.cumsum(n)), np.asarray(terms)[where], np.asarray(counts)[where], np.zeros(len(places)), places)
+    where, n = _ranges(examples.edges[places], examples.edges[places + 1])
+    near = index.nearest_to_each(np.append(0, np.cumsum(n)), examples.own[where], examples.counts[where].astype(float), np.zeros(len(places)), places)
     return np.array([index.vote(*found) if len(found[0]) else np.nan for found in near])
 
 
-def calibrate(votes: np.ndarray, toxic: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What votes stand for, by those on the examples."""
+def calibrate(examples: Examples, votes: np.ndarray, share: np.ndarray) -> Examples:
+    """With what votes stand for, by those on the examples."""
     some = np.flatnonzero(~np.isnan(votes))
-    return isotonic([(float(votes[i]), int(toxic[i]), float(share[int(toxic[i])])) for i in some])
+    raw, calibrated = isotonic([(float(votes[i]), int(examples.toxic[i]), float(share[int(examples.toxic[i])])) for i in some])
+    return Examples(**{**examples.__dict__, "raw": raw, "calibrated": calibrated})
 
 
 def build_index(terms: np.ndarray, seen: np.ndarray, sparse: list, ids: np.ndarray, toxic: np.ndarray, totals: dict[int, int], neighbours: int, documents: int | None = None) -> ExampleIndex:
-    """`arrange` and `calibrate` in one process, for few examples."""
-    first, own = arrange(terms, seen, sparse, ids, toxic, totals, neighbours, documents)
-    raw, calibrated = calibrate(own_votes(first, own, np.arange(len(first.ids))), first.toxic, _shares(toxic, totals))
-    return ExampleIndex(**{**first.__dict__, "raw": raw, "calibrated": calibrated})
+    """The calibrated index in one process, for few examples.
+
+    ``sparse`` has the places (in ``terms``) and counts of each example's terms; ``seen``, how many of the ``documents`` (by
+    default, the examples) hold each term."""
+    edges = np.cumsum([0, *(len(t) for t, _ in sparse)])
+    own, counts = (np.concatenate([np.zeros(0, np.int64), *(v[k] for v in sparse)]).astype(np.int64) for k in (0, 1))
+    first = order(terms, np.asarray(seen), len(sparse) if documents is None else documents, edges, own, counts, ids, toxic, totals, neighbours)
+    index = arrange(first)
+    found = calibrate(first, own_votes(first, index, np.arange(len(first.ids))), _shares(toxic, totals))
+    return ExampleIndex(**{**index.__dict__, "raw": found.raw, "calibrated": found.calibrated})
 
 
 def isotonic(votes: list[tuple[float, int, float]]) -> tuple[np.ndarray, np.ndarray]:
@@ -358,16 +368,17 @@ def _among(terms: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return hit, at[hit]
 
 
-def score_texts(docs: DataFrame, index: ShippedIndex, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, examples: Examples, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``score`` (0 to 1) of every whole text, with the ids and cosines of the examples that decided as evidence.
 
     A null or empty text, like any that shares no word with the index, gets the share of label 1 among such examples,
     without evidence. Equal texts get equal scores; repeated rows and null ids stay; other columns are ignored. Narrow: no
     shuffle.
     """
+    spec = docs.sparkSession.sparkContext.broadcast(examples)  # bounded by the examples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = index.load()
+        ix = arranged(spec.value)
         known: dict[bytes, tuple] = {}
         for batch in batches:
             for part in slices(batch, "text"):
