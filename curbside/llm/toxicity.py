@@ -38,6 +38,9 @@ TEXTS = 128
 #: The idf of a term that this share of the documents holds is halved, that of a rarer one falls further.
 DAMPING = 0.005
 
+#: Texts whose outcome a task keeps for their copies.
+KNOWN = 8_000
+
 #: Examples whose votes for the calibration are taken by one task.
 VOTERS = 256
 
@@ -51,7 +54,9 @@ class ExampleIndex:
     examples: np.ndarray  # of each posting: the example's place
     weights: np.ndarray
     column: np.ndarray  # of each term: its place among the common ones, or -1
-    common: np.ndarray  # [example, common term]: weights, the examples filled up to whole blocks
+    common: np.ndarray  # [example, common term]: weights in single precision, the examples filled up to whole blocks
+    times: np.ndarray  # [example, common term]: occurrences
+    lengths: np.ndarray  # of each example's vector
     most: np.ndarray  # [common term, block]: the largest weight
     ids: np.ndarray  # of each example
     toxic: np.ndarray
@@ -73,8 +78,8 @@ class ExampleIndex:
         Matrix products in single precision, with a bound on their error, only choose; the cosines are then computed in double
         precision, one text at a time, and do not depend on the other texts.
         """
-        common = self.common.astype(np.float32).reshape(len(self.common) // BLOCK, BLOCK, self.common.shape[1])
-        most = self.most.astype(np.float32)
+        common = self.common.reshape(len(self.common) // BLOCK, BLOCK, self.common.shape[1])
+        most = self.most
         for at in range(0, len(edges) - 1, TEXTS):
             to = min(at + TEXTS, len(edges) - 1)
             part = slice(edges[at], edges[to])
@@ -118,7 +123,9 @@ class ExampleIndex:
             places = np.flatnonzero((flat[i] > 0) & (flat[i] >= enough[i]))
             own = slice(edges[i], edges[i + 1])
             shared = np.flatnonzero(column[own] >= 0)
-            cosines = exact[i, places] + (self.common[places[:, None], column[own][shared]] * query[own][shared]).sum(axis=1)
+            times = self.times[places[:, None], column[own][shared]].astype(float)
+            weights = np.where(times > 0, 1 + np.log(np.maximum(times, 1)), 0) * self.idf[terms[own][shared]]
+            cosines = exact[i, places] + (weights * query[own][shared]).sum(axis=1) / self.lengths[places]
             order = np.lexsort((places, -cosines))[:k]
             yield places[order], cosines[order]
 
@@ -127,13 +134,13 @@ class ExampleIndex:
         weights = cosines**2
         return float((weights * self.toxic[places]).sum() / (weights.sum() + 1))
 
-    def score(self, terms: np.ndarray, counts: np.ndarray, unknown: float = 0.0) -> tuple[float, list[int], list[float]]:
+    def score(self, terms: np.ndarray, counts: np.ndarray, unknown: float = 0.0) -> tuple[float, np.ndarray, np.ndarray]:
         return next(self.score_each(np.array([0, len(terms)]), terms, counts, np.array([unknown])))
 
-    def score_each(self, edges: np.ndarray, terms: np.ndarray, counts: np.ndarray, unknown: np.ndarray) -> Iterator[tuple[float, list[int], list[float]]]:
+    def score_each(self, edges: np.ndarray, terms: np.ndarray, counts: np.ndarray, unknown: np.ndarray) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
         for places, cosines in self.nearest_to_each(edges, terms, counts, unknown, np.full(len(edges) - 1, -1)):
             score = float(np.interp(self.vote(places, cosines), self.raw, self.calibrated)) if len(places) else self.without
-            yield score, self.ids[places].tolist(), cosines.tolist()
+            yield score, self.ids[places], cosines
 
 
 def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,18 +267,23 @@ def _shares(toxic: np.ndarray, totals: dict[int, int]) -> np.ndarray:
     return np.array([totals.get(k, 0) / max(1, (toxic == k).sum()) for k in (0, 1)])
 
 
-def weights_of(terms: np.ndarray, counts: np.ndarray, edges: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF weights of the examples' terms, each example of length 1."""
-    weights = (1 + np.log(counts.astype(float))) * idf[terms]
-    example = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    length = np.sqrt(np.bincount(example, weights**2, len(edges) - 1))
-    return weights / np.maximum(length, np.finfo(float).tiny)[example]
+def weights_of(terms: np.ndarray, counts: np.ndarray, edges: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """TF-IDF weights of the examples' terms, each example of length 1, and the lengths before; some examples at a time."""
+    out, lengths = np.zeros(len(terms)), np.zeros(len(edges) - 1)
+    for at in range(0, len(lengths), VOTERS):
+        cut = edges[at : at + VOTERS + 1]
+        part, n = slice(cut[0], cut[-1]), len(cut) - 1
+        weights = (1 + np.log(counts[part].astype(float))) * idf[terms[part]]
+        example = np.repeat(np.arange(n), np.diff(cut))
+        lengths[at : at + n] = np.maximum(np.sqrt(np.bincount(example, weights**2, n)), np.finfo(float).tiny)
+        out[part] = weights / lengths[at : at + n][example]
+    return out, lengths
 
 
 def order(terms: np.ndarray, seen: np.ndarray, documents: int, edges: np.ndarray, own: np.ndarray, counts: np.ndarray, ids: np.ndarray, toxic: np.ndarray, totals: dict[int, int], neighbours: int) -> Examples:
     """The examples in the index's order, not calibrated yet: those of the same heaviest words stand together, which keeps
     the bounds of blocks tight. Examples without a term that weighs anything are only counted."""
-    weights = weights_of(own, counts, edges, damped_idf(seen, documents))
+    weights, _ = weights_of(own, counts, edges, damped_idf(seen, documents))
     keys = {}
     for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
         if weights[a:b].any():
@@ -302,19 +314,21 @@ def arranged(examples: Examples) -> ExampleIndex:
 
 def arrange(x: Examples) -> ExampleIndex:
     idf, size = damped_idf(x.seen, x.documents), len(x.ids)
-    weight = weights_of(x.own, x.counts, x.edges, idf)
+    weight, lengths = weights_of(x.own, x.counts, x.edges, idf)
     blocks = max(1, -(-size // BLOCK))
-    sort = np.argsort(x.own, kind="stable")
-    term, place, weight = x.own[sort], np.repeat(np.arange(size, dtype=np.int32), np.diff(x.edges))[sort], weight[sort]
-    many = np.bincount(term, minlength=len(x.terms)) * COMMON > size
-    column = np.where(many, np.cumsum(many) - 1, -1)
-    heavy = many[term]
-    common = np.zeros((blocks * BLOCK, int(many.sum())))
-    common[place[heavy], column[term[heavy]]] = weight[heavy]
+    many = np.bincount(x.own, minlength=len(x.terms)) * COMMON > size
+    column = np.where(many, np.cumsum(many) - 1, -1).astype(np.int32)
+    place = np.repeat(np.arange(size, dtype=np.int32), np.diff(x.edges))
+    heavy = many[x.own]
+    common = np.zeros((blocks * BLOCK, int(many.sum())), np.float32)
+    times = np.zeros(common.shape, x.counts.dtype)
+    common[place[heavy], column[x.own[heavy]]] = weight[heavy]
+    times[place[heavy], column[x.own[heavy]]] = x.counts[heavy]
     most = common.reshape(blocks, BLOCK, common.shape[1]).max(axis=1).T.copy()
-    term, place, weight = term[~heavy], place[~heavy], weight[~heavy]
-    starts = np.searchsorted(term, np.arange(len(x.terms) + 1))
-    return ExampleIndex(x.terms, idf, float(damped_idf(0, x.documents)), starts, place, weight, column, common, most, x.ids, x.toxic, x.neighbours, x.raw, x.calibrated, x.without)
+    few = np.flatnonzero(~heavy)
+    few = few[np.argsort(x.own[few], kind="stable")]
+    starts = np.searchsorted(x.own[few], np.arange(len(x.terms) + 1)).astype(np.int32)
+    return ExampleIndex(x.terms, idf, float(damped_idf(0, x.documents)), starts, place[few], weight[few], column, common, times, lengths, most, x.ids, x.toxic, x.neighbours, x.raw, x.calibrated, x.without)
 
 
 def own_votes(examples: Examples, index: ExampleIndex, places: np.ndarray) -> np.ndarray:
@@ -388,7 +402,7 @@ def score_texts(docs: DataFrame, examples: Examples, id_column: str = "doc_id",
                 row, counts = row[hit], counts[hit]
                 edges = np.searchsorted(row, np.arange(part.num_rows + 1))
                 keys = [hashlib.blake2b(at[a:b].tobytes() + counts[a:b].tobytes() + x.tobytes(), digest_size=16).digest() for a, b, x in zip(edges[:-1], edges[1:], other, strict=True)]
-                if len(known) >= 50_000:
+                if len(known) >= KNOWN:
                     known.clear()
                 new = {k: i for i, k in enumerate(keys) if k not in known}
                 chosen = np.array(sorted(new.values()), np.int64)
