@@ -7,7 +7,7 @@ bound on the cosine of all its examples. A block is opened, for many texts at on
 those found in the blocks of the greatest bounds, so that the neighbours are exact. Votes weighted by distance, calibrated on
 the examples themselves with each left out in turn, give the score; the neighbours are the evidence.
 
-Only the examples' terms and counts pass the driver, and go to the executors; each worker arranges the index from them once.
+Only the examples' terms and counts pass the driver, and go to the executors; each task arranges the index from them.
 The votes for the calibration are taken by tasks.
 """
 
@@ -38,6 +38,9 @@ TEXTS = 128
 #: The idf of a term that this share of the documents holds is halved, that of a rarer one falls further.
 DAMPING = 0.005
 
+#: Text whose terms are found at once, in bytes: with all beginnings they take some fifty times as many.
+SLICE = 1 << 20
+
 #: Texts whose outcome a task keeps for their copies.
 KNOWN = 8_000
 
@@ -194,9 +197,10 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, per_label: int = 20
     spec = spark.sparkContext.broadcast(first)  # bounded by per_label
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = arrange(spec.value)
         for batch in batches:
             at = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(own_votes(spec.value, arranged(spec.value), at))], names=["place", "vote"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(own_votes(spec.value, index, at))], names=["place", "vote"])
 
     size = len(first.ids)
     taken = spark.range(0, size, 1, max(1, -(-size // VOTERS))).mapInArrow(take, "place long, vote double").orderBy("place").toArrow()
@@ -212,7 +216,7 @@ def document_counts(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int
         known = spec.value
         seen = np.zeros(len(known) + 1, np.int64)  # the last one: documents
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 seen[-1] += part.num_rows
                 row, hashes = _terms(part.column(0))
                 row, hashes, _ = _distinct(row, hashes)
@@ -248,7 +252,7 @@ def _distinct(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             row, hashes = _terms(part.column(1))
             order = np.argsort(row, kind="stable")
             edges = np.searchsorted(row[order], np.arange(part.num_rows + 1))
@@ -301,18 +305,8 @@ def order(terms: np.ndarray, seen: np.ndarray, documents: int, edges: np.ndarray
     return Examples(terms, seen.astype(np.int64), documents, np.append(0, np.cumsum(n)), own, counts, ids[place], toxic[place], neighbours, float(without), even, even, name)
 
 
-_arranged: dict[str, ExampleIndex] = {}
-
-
-def arranged(examples: Examples) -> ExampleIndex:
-    """The index, made once for each worker process; only the last one is kept."""
-    if examples.name not in _arranged:
-        _arranged.clear()
-        _arranged[examples.name] = arrange(examples)
-    return ExampleIndex(**{**_arranged[examples.name].__dict__, "raw": examples.raw, "calibrated": examples.calibrated})
-
-
 def arrange(x: Examples) -> ExampleIndex:
+    """The index; each task makes its own, as a worker that kept it would hold it through all later stages."""
     idf, size = damped_idf(x.seen, x.documents), len(x.ids)
     weight, lengths = weights_of(x.own, x.counts, x.edges, idf)
     blocks = max(1, -(-size // BLOCK))
@@ -392,10 +386,10 @@ def score_texts(docs: DataFrame, examples: Examples, id_column: str = "doc_id",
     spec = docs.sparkSession.sparkContext.broadcast(examples)  # bounded by the examples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = arranged(spec.value)
+        ix = arrange(spec.value)
         known: dict[bytes, tuple] = {}
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 row, hashes, counts = _distinct(*_terms(part.column(1)))
                 hit, at = _among(ix.terms, hashes)
                 other = np.bincount(row[~hit], ((1 + np.log(counts[~hit])) * ix.unknown) ** 2, part.num_rows).astype(float)
