@@ -32,8 +32,8 @@ BLOCK = 64
 #: A term that more than one in so many examples hold is common: it has no postings but a column of each block's matrix.
 COMMON = 12
 
-#: So many texts are compared with the examples at once.
-TEXTS = 128
+#: So many texts are compared with the examples at once, as long as they have no more postings than this.
+TEXTS, POSTINGS = 128, 1 << 20
 
 #: The idf of a term that this share of the documents holds is halved, that of a rarer one falls further.
 DAMPING = 0.005
@@ -83,8 +83,11 @@ class ExampleIndex:
         """
         common = self.common.reshape(len(self.common) // BLOCK, BLOCK, self.common.shape[1])
         most = self.most
-        for at in range(0, len(edges) - 1, TEXTS):
-            to = min(at + TEXTS, len(edges) - 1)
+        work = np.append(0, np.cumsum(self.starts[terms + 1].astype(np.int64) - self.starts[terms]))[edges]
+        at, to = 0, 0
+        while (at := to) < len(edges) - 1:
+            to = int(np.searchsorted(work, work[at] + POSTINGS, "right")) - 1
+            to = max(at + 1, min(to, at + TEXTS, len(edges) - 1))
             part = slice(edges[at], edges[to])
             yield from self._nearest(edges[at : to + 1] - edges[at], terms[part], counts[part], unknown[at:to], leave_out[at:to], common, most)
 

@@ -114,7 +114,9 @@ def index_of(rng, terms=40, examples=300, neighbours=7):
     return toxicity.build_index(names, seen, sparse, np.arange(examples), toxic, {0: 900, 1: 100}, neighbours), sparse
 
 
-def test_neighbours_are_exact():
+@pytest.mark.parametrize("postings", [1 << 20, 1])
+def test_neighbours_are_exact(monkeypatch, postings):
+    monkeypatch.setattr(toxicity, "POSTINGS", postings)
     rng = np.random.default_rng(11)
     index, sparse = index_of(rng)
     vector = lambda t, c: (lambda v: v / np.sqrt((v**2).sum()))(np.bincount(t, (1 + np.log(c)) * index.idf[t], len(index.terms)))
