@@ -94,6 +94,38 @@ WHERE total_trips >= {min_trips} AND chargers_within_1km < 2
 ORDER BY priority_score DESC, s.PULocationID LIMIT 10"""
 
 
+def _summary_of(clustered: str) -> str:
+    return f"""SELECT c.*, b.borough AS dominant_borough FROM (
+  SELECT cluster, count(*) AS num_zones, CAST(sum(total_trips) AS BIGINT) AS total_trips,
+         avg(total_trips) AS avg_trips_per_zone, avg(avg_distance) AS avg_distance,
+         avg(avg_fare) AS avg_fare, avg(rush_hour_fraction) AS rush_hour_fraction,
+         avg(weekend_fraction) AS weekend_fraction, avg(lat) AS centroid_lat, avg(lon) AS centroid_lon
+  FROM {clustered} GROUP BY cluster) c
+LEFT JOIN (SELECT cluster, borough, row_number() OVER (
+             PARTITION BY cluster ORDER BY count(*) DESC, borough) AS place
+           FROM {clustered} WHERE borough IS NOT NULL GROUP BY cluster, borough) b
+  ON b.cluster = c.cluster AND place = 1"""
+
+
+def _apart(a: str, b: str) -> str:
+    """Squared distance of two rows of scaled features."""
+    return " + ".join(f"({a}.{n}_z - {b}.{n}_z) * ({a}.{n}_z - {b}.{n}_z)" for n in _CLUSTER_FEATURES)
+
+
+_REGRESSED = (*_DEMAND_FEATURES, "trip_count")
+
+
+def _pivot(p: int) -> str:
+    """One step of Gauss-Jordan elimination on the one-row table of the equations; the last column is the right side."""
+    size = len(_DEMAND_FEATURES)
+    kept = [f"m{i}" for i in range(size + 1)]
+    for i in range(size):
+        for j in range(p + 1, size + 1):
+            reduced = f"a{p}_{j} / a{p}_{p}" if i == p else f"a{i}_{j} - a{i}_{p} * a{p}_{j} / a{p}_{p}"
+            kept.append(f"{reduced} AS a{i}_{j}")
+    return f"SELECT {', '.join(kept)} FROM {f'solved{p - 1}' if p else 'gram'}"
+
+
 # Common table expressions by name: (names it reads, text).
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "trips": ((), TRIPS_SQL.format(**_NAMES)),
@@ -160,19 +192,7 @@ FROM (SELECT *, total_trips / (SELECT max(total_trips) FROM measured) * CAST(0.7
         ("zone_agg",),
         "SELECT *, CAST(PULocationID % 5 AS INT) AS cluster FROM zone_agg",
     ),
-    "summary": (
-        ("fixed_clusters",),
-        """SELECT c.*, b.borough AS dominant_borough FROM (
-  SELECT cluster, count(*) AS num_zones, CAST(sum(total_trips) AS BIGINT) AS total_trips,
-         avg(total_trips) AS avg_trips_per_zone, avg(avg_distance) AS avg_distance,
-         avg(avg_fare) AS avg_fare, avg(rush_hour_fraction) AS rush_hour_fraction,
-         avg(weekend_fraction) AS weekend_fraction, avg(lat) AS centroid_lat, avg(lon) AS centroid_lon
-  FROM fixed_clusters GROUP BY cluster) c
-LEFT JOIN (SELECT cluster, borough, row_number() OVER (
-             PARTITION BY cluster ORDER BY count(*) DESC, borough) AS place
-           FROM fixed_clusters WHERE borough IS NOT NULL GROUP BY cluster, borough) b
-  ON b.cluster = c.cluster AND place = 1""",
-    ),
+    "summary": (("fixed_clusters",), _summary_of("fixed_clusters")),
     "moments": (
         ("zone_agg",),
         "SELECT "
@@ -185,6 +205,60 @@ LEFT JOIN (SELECT cluster, borough, row_number() OVER (
         + ", ".join(f"({n} - {n}_m) / {n}_s AS {n}_z" for n in _CLUSTER_FEATURES)
         + " FROM fixed_clusters, moments",
     ),
+    "starts": (
+        ("scaled",),
+        f"""SELECT 1 AS step, a.PULocationID AS id, {_apart("a", "b")} AS away, b.PULocationID AS center
+FROM scaled a, (SELECT * FROM scaled ORDER BY PULocationID LIMIT 1) b
+UNION ALL
+SELECT step + 1, r.id, least(r.away, {_apart("a", "b")}), r.next
+FROM (SELECT step, id, away, first_value(id) OVER (ORDER BY away DESC, id) AS next, max(away) OVER () AS far
+      FROM starts) r
+JOIN scaled a ON a.PULocationID = r.id JOIN scaled b ON b.PULocationID = r.next
+WHERE step < 9 AND far > 0""",
+    ),
+    "lloyd": (
+        ("starts",),
+        f"""SELECT k, 0 AS round, id, cluster FROM (
+  SELECT k, a.PULocationID AS id, c.cluster,
+         row_number() OVER (PARTITION BY k, a.PULocationID ORDER BY {_apart("a", "b")}, c.cluster) AS place
+  FROM (SELECT unnest(range(2, 10)) AS k) ks
+  JOIN (SELECT DISTINCT step - 1 AS cluster, center FROM starts) c ON c.cluster < k
+  JOIN scaled b ON b.PULocationID = c.center CROSS JOIN scaled a)
+WHERE place = 1
+UNION ALL
+SELECT k, round + 1, id, cluster FROM (
+  SELECT c.k, c.round, a.PULocationID AS id, c.cluster,
+         row_number() OVER (PARTITION BY c.k, a.PULocationID ORDER BY {_apart("a", "c")}, c.cluster) AS place
+  FROM (SELECT k, round, l.cluster, {", ".join(f"avg({n}_z) AS {n}_z" for n in _CLUSTER_FEATURES)}
+        FROM lloyd l JOIN scaled ON id = PULocationID WHERE round < 50 GROUP BY k, round, l.cluster) c
+  CROSS JOIN scaled a)
+WHERE place = 1""",
+    ),
+    "kmeans": (
+        ("lloyd", "zone_agg"),
+        """SELECT z.*, CAST(l.cluster AS INT) AS cluster FROM zone_agg z
+JOIN lloyd l ON id = PULocationID AND k = 8 AND round = 50""",
+    ),
+    "kmeans_scaled": (
+        ("lloyd", "scaled"),
+        """SELECT s.* EXCLUDE (cluster), l.k, l.cluster FROM scaled s JOIN lloyd l ON id = PULocationID
+WHERE round = CASE WHEN k = 8 THEN 50 ELSE 20 END""",
+    ),
+    "kmeans_summary": (("kmeans",), _summary_of("kmeans")),
+    "gram": (
+        ("hourly",),
+        "SELECT stddev_pop(CAST(trip_count AS DOUBLE)) AS s, "
+        + ", ".join(f"avg(CAST({n} AS DOUBLE)) AS m{i}" for i, n in enumerate(_REGRESSED))
+        + ", "
+        + ", ".join(
+            f"covar_pop(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
+            + (f" * (1 + CAST(0.01 AS DOUBLE) / stddev_pop(CAST(trip_count AS DOUBLE))) AS a{i}_{j}" if i == j else f" AS a{i}_{j}")
+            for i, a in enumerate(_REGRESSED[:-1])
+            for j, b in enumerate(_REGRESSED)
+        )
+        + f" FROM hourly WHERE {_DEMAND_BUCKET} < 80",
+    ),
+    **{f"solved{p}": ((f"solved{p - 1}" if p else "gram",), _pivot(p)) for p in range(len(_DEMAND_FEATURES))},
     "hour_means": (
         ("hourly",),
         f"""SELECT pickup_hour, avg(trip_count) AS prediction FROM hourly
@@ -206,7 +280,8 @@ def _sql(source: str, body: str) -> str:
     for name in source.split():
         visit(name)
     ctes = ",\n".join(f"{name} AS ({_CTES[name][1].strip()})" for name in ordered)
-    return f"WITH {ctes}\n{body}"
+    recursive = "RECURSIVE " if {"starts", "lloyd"} & set(ordered) else ""
+    return f"WITH {recursive}{ctes}\n{body}"
 
 
 _ZONE_MEANS = ("avg_distance", "avg_fare", "avg_passengers", "avg_duration_min", "avg_speed_mph")
@@ -351,18 +426,37 @@ def _rule(condition: str) -> str:
     return _sql("trips", f"SELECT {_RECORD} FROM trips WHERE {condition}")
 
 
+_PROFILES = (
+    "SELECT cluster, "
+    + ", ".join(
+        f"round(({m} - min({m}) OVER ()) / (max({m}) OVER () - min({m}) OVER () + CAST(1e-9 AS DOUBLE)), 6) AS {m}"
+        for m in ("avg_trips_per_zone", "avg_distance", "rush_hour_fraction")
+    )
+    + " FROM {0}"
+)
+
 _SQUARES = " + ".join(f"pow(a.{n}_z - b.{n}_z, 2)" for n in _CLUSTER_FEATURES)
-_SILHOUETTE = _sql(
-    "scaled",
-    f"""SELECT count(*) AS zones, round(avg(CASE WHEN size = 1 THEN 0
-         WHEN near < far THEN 1 - near / far WHEN near > far THEN far / near - 1 ELSE 0 END), 6) AS silhouette
-FROM (SELECT id, min(size) FILTER (WHERE own) AS size,
+
+
+def _silhouettes(scaled: str, by: str = "") -> str:
+    """Zones and mean silhouette of the table's clusters; ``by``: of each value of a column, with the squares to own means."""
+    key, match = (f"a.{by}, ", f" WHERE a.{by} = b.{by}") if by else ("", "")
+    name = f"{by}, " if by else ""
+    group = f" GROUP BY {by}" if by else ""
+    return f"""SELECT {name}count(*) AS zones, avg(CASE WHEN size = 1 THEN 0
+         WHEN near < far THEN 1 - near / far WHEN near > far THEN far / near - 1 ELSE 0 END) AS silhouette,
+       sum(spread) AS wssse
+FROM (SELECT {name}id, min(size) FILTER (WHERE own) AS size,
              min(total / (size - 1)) FILTER (WHERE own AND size > 1) AS near,
-             min(total / size) FILTER (WHERE NOT own) AS far
-      FROM (SELECT a.PULocationID AS id, a.cluster = b.cluster AS own, count(*) AS size, sum({_SQUARES}) AS total
-            FROM scaled a, scaled b GROUP BY a.PULocationID, a.cluster, b.cluster)
-      GROUP BY id)""",
-)
+             min(total / size) FILTER (WHERE NOT own) AS far,
+             min(total / size / 2) FILTER (WHERE own) AS spread
+      FROM (SELECT {key}a.PULocationID AS id, a.cluster = b.cluster AS own, count(*) AS size, sum({_SQUARES}) AS total
+            FROM {scaled} a, {scaled} b{match} GROUP BY {key}a.PULocationID, a.cluster, b.cluster)
+      GROUP BY {name}id){group}"""
+
+
+_SILHOUETTE = _sql("scaled", f"SELECT zones, round(silhouette, 6) AS silhouette FROM ({_silhouettes('scaled')})")
+_KMEANS_SILHOUETTE = f"SELECT zones, round(silhouette, 6) AS silhouette FROM ({_silhouettes('kmeans_scaled', 'k')}) WHERE k = 8"
 
 ORACLE_SQL: dict[str, str] = {
     "s1_trip_scan": _sql("trips", "SELECT * FROM trips"),
@@ -493,15 +587,7 @@ FROM zone_agg LEFT JOIN zones ON zone_id = PULocationID""",
     ),
     "a11_density_curve": _CURVE,
     "a12_describe": _describe("trip_distance", "fare_amount", "passenger_count", "total_amount"),
-    "a13_scaled_profiles": _sql(
-        "summary",
-        "SELECT cluster, "
-        + ", ".join(
-            f"round(({m} - min({m}) OVER ()) / (max({m}) OVER () - min({m}) OVER () + CAST(1e-9 AS DOUBLE)), 6) AS {m}"
-            for m in ("avg_trips_per_zone", "avg_distance", "rush_hour_fraction")
-        )
-        + " FROM summary",
-    ),
+    "a13_scaled_profiles": _sql("summary", _PROFILES.format("summary")),
     "a14_compact_aggregate": _COMPACT_SQL,
     "a15_regression_metrics": _sql(
         "hourly hour_means",
@@ -613,6 +699,36 @@ FROM (SELECT DISTINCT PULocationID FROM trips) LEFT JOIN zones ON zone_id = PULo
         "zone_agg",
         """SELECT count(*) AS zones, CAST(sum(total_trips) AS BIGINT) AS trips, CAST(0 AS BIGINT) AS misplaced
 FROM zone_agg""",
+    ),
+    "m3_kmeans": _sql("kmeans", "SELECT PULocationID, cluster FROM kmeans"),
+    "a3_kmeans_summary": _sql(
+        "kmeans_summary",
+        f"SELECT cluster, num_zones, total_trips, dominant_borough, {_SUMMARY} FROM kmeans_summary",
+    ),
+    "p20_attach_silhouette": _sql(
+        "kmeans_summary kmeans_scaled",
+        f"""SELECT cluster, num_zones, total_trips, dominant_borough, {_SUMMARY}, silhouette
+FROM kmeans_summary, ({_KMEANS_SILHOUETTE})""",
+    ),
+    "a16_kmeans_silhouette": _sql("kmeans_scaled", _KMEANS_SILHOUETTE),
+    "a18_cluster_map": _sql(
+        "kmeans",
+        f"""SELECT PULocationID, cluster, {_rounded("lon", "lat")},
+       round(80 + total_trips / (SELECT max(total_trips) FROM kmeans WHERE lat IS NOT NULL AND lon IS NOT NULL) * 400, 6) AS size
+FROM kmeans WHERE lat IS NOT NULL AND lon IS NOT NULL""",
+    ),
+    "a19_cluster_labels": _sql("kmeans", "SELECT DISTINCT cluster FROM kmeans"),
+    "m4_k_sweep": _sql(
+        "kmeans_scaled",
+        f"""SELECT CAST(k AS INT) AS k, round(wssse, 6) AS wssse, round(silhouette, 6) AS silhouette
+FROM ({_silhouettes("kmeans_scaled", "k")})""",
+    ),
+    "c7_cluster_profiles": _sql("kmeans_summary", _PROFILES.format("kmeans_summary")),
+    "m7_linear_regression": _sql(
+        f"hourly solved{len(_DEMAND_FEATURES) - 1}",
+        f"""SELECT PULocationID, pickup_hour, pickup_dow, trip_count,
+       round(m{len(_DEMAND_FEATURES)}{"".join(f" + a{i}_{len(_DEMAND_FEATURES)} * ({n} - m{i})" for i, n in enumerate(_DEMAND_FEATURES))}, 6) AS prediction
+FROM hourly, solved{len(_DEMAND_FEATURES) - 1} WHERE {_DEMAND_BUCKET} >= 80""",
     ),
     "m7_linear_facts": _sql(
         "hourly",

@@ -624,9 +624,8 @@ def m3_kmeans_facts(spark, d):
     zones = _settled_zones(spark, d)
     model = models.fit_clusters(zones)
     clustered = models.assign_clusters(zones, model)
-    centers = [center.tolist() for center in model.stages[-1].clusterCenters()]
     x = vector_to_array(F.col("features"))
-    apart = [F.zip_with(x, F.array(*map(F.lit, c)), lambda v, w: F.pow(v - w, 2)) for c in centers]
+    apart = [F.zip_with(x, F.array(*map(F.lit, c)), lambda v, w: F.pow(v - w, 2)) for c in model.centers]
     squares = F.array(*[F.aggregate(d, F.lit(0.0), lambda s, v: s + v) for d in apart])
     own = F.get(squares, F.col("cluster"))
     misplaced = (own > F.array_min(squares) * (1 + 1e-9) + 1e-12).cast("long")

@@ -1,4 +1,4 @@
-"""Zone clustering and demand regression with Spark MLlib, and their column-form companions.
+"""Zone clustering and demand regression: exact fits from aggregates, and MLlib's seeded ones.
 
 Inputs are the zone and hourly tables, at most zones x 24 x 7 rows however many trips there are.
 Fits read their input many times, so pass a settled table (see ``plans.settle``).
@@ -14,11 +14,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curbside.operators import lloyd
 from curbside.operators.aggregates import cluster_summary
+from curbside.operators.ridge import RidgeFit, fit_ridge
 from curbside.params import Params
 
 # Model inputs, in this order.
@@ -89,13 +92,31 @@ def _kmeans(k: int, max_iter: int, params: Params) -> KMeans:
     )
 
 
-def fit_clusters(zones: DataFrame, params: Params = Params()) -> PipelineModel:
-    """Assembler, scaler and KMeans. Rows enter in zone order, so a fixed seed gives one result."""
+def fit_clusters(zones: DataFrame, params: Params = Params()) -> lloyd.LloydFit:
+    """KMeans from a fixed start, in rounds of aggregates: one result for any partitioning and engine."""
+    ready = cluster_input(zones)
+    rows, scale = lloyd.prepare(ready, "PULocationID", CLUSTER_FEATURES)
+    rows = few_partitions(rows, params).persist()
+    try:
+        start = lloyd.farthest_points(rows, "PULocationID", params.clusters)
+        return lloyd.LloydFit(scale, *lloyd.rounds(rows, start, params.kmeans_max_iter))
+    finally:
+        rows.unpersist()
+
+
+def few_partitions(df: DataFrame, params: Params) -> DataFrame:
+    """As many partitions as the row count asks for, for many small jobs over the same rows."""
+    return df.coalesce(max(1, math.ceil(df.count() / params.rows_per_task)))
+
+
+def fit_seeded_clusters(zones: DataFrame, params: Params = Params()) -> PipelineModel:
+    """MLlib's assembler, scaler and KMeans with a random start. Rows enter in zone order, so a fixed seed gives one
+    result."""
     stages = [*_scaling_stages(), _kmeans(params.clusters, params.kmeans_max_iter, params)]
     return Pipeline(stages=stages).fit(in_order(cluster_input(zones), "PULocationID", params=params))
 
 
-def assign_clusters(zones: DataFrame, model: PipelineModel) -> DataFrame:
+def assign_clusters(zones: DataFrame, model: lloyd.LloydFit | PipelineModel) -> DataFrame:
     return model.transform(cluster_input(zones))
 
 
@@ -111,7 +132,7 @@ def with_silhouette(summary: DataFrame, score: float) -> DataFrame:
 
 def run_kmeans(
     zones: DataFrame, params: Params = Params()
-) -> tuple[DataFrame, PipelineModel, DataFrame]:
+) -> tuple[DataFrame, lloyd.LloydFit, DataFrame]:
     """Clustered zones, the fitted model, and one summary row per cluster."""
     model = fit_clusters(zones, params)
     clustered = assign_clusters(zones, model)
@@ -122,21 +143,28 @@ def run_kmeans(
 def k_sweep(
     zones: DataFrame, ks: Iterable[int] = range(2, 12), params: Params = Params()
 ) -> DataFrame:
-    """Within-cluster cost and silhouette per number of clusters."""
-    ordered = in_order(cluster_input(zones), "PULocationID", params=params)
-    prepared = standard_vectors(ordered).select("PULocationID", "features").persist()
+    """Within-cluster cost and silhouette per number of clusters.
+
+    The start for fewer clusters is the beginning of that for more, so that it is found once. Where the rows have
+    fewer different points than clusters, there are as many clusters as points.
+    """
+    ks = list(ks)
+    ready = cluster_input(zones)
+    rows, _ = lloyd.prepare(ready, "PULocationID", CLUSTER_FEATURES)
+    rows = few_partitions(rows, params).persist()
 
     def fit(k: int) -> tuple[int, float, float]:
-        model = _kmeans(k, params.sweep_max_iter, params).fit(prepared)
-        return k, float(model.summary.trainingCost), float(silhouette(model.transform(prepared)))
+        centers, _ = lloyd.rounds(rows, start[:k], params.sweep_max_iter)
+        vectors = {"features": array_to_vector(lloyd.POINT), "cluster": lloyd.nearest(lloyd.squares(F.col(lloyd.POINT), centers))}
+        return k, lloyd.cost(rows, centers), float(silhouette(rows.withColumns(vectors)))
 
     try:
-        prepared.count()  # each fit reads the kept rows; the fits are many small jobs, so some run at once
-        with ThreadPoolExecutor(params.parallelism) as pool:
-            rows = list(pool.map(fit, ks))
+        start = lloyd.farthest_points(rows, "PULocationID", max(ks, default=0))
+        with ThreadPoolExecutor(params.parallelism) as pool:  # each fit is many small jobs, so some run at once
+            found = list(pool.map(fit, ks))
     finally:
-        prepared.unpersist()
-    return zones.sparkSession.createDataFrame(rows, "k int, wssse double, silhouette double")
+        rows.unpersist()
+    return zones.sparkSession.createDataFrame(found, "k int, wssse double, silhouette double")
 
 
 # --- demand regression --------------------------------------------------------------------------
@@ -192,7 +220,15 @@ def _trees(params: Params) -> GBTRegressor:
     )
 
 
-def fit_linear(train: DataFrame, params: Params = Params()) -> PipelineModel:
+def fit_linear(train: DataFrame, params: Params = Params()) -> RidgeFit | PipelineModel:
+    """Ridge regression by normal equations, from one aggregate of the rows; an L1 part of the penalty has no closed form
+    and is left to MLlib."""
+    if params.linear_elastic_net:
+        return fit_linear_by_steps(train, params)
+    return fit_ridge(train, DEMAND_FEATURES, LABEL, params.linear_reg_param)
+
+
+def fit_linear_by_steps(train: DataFrame, params: Params = Params()) -> PipelineModel:
     return _fit_demand(train, params, _linear(params))[0]
 
 
@@ -237,7 +273,7 @@ def run_regression(
 ) -> tuple[DataFrame, DataFrame]:
     """Metrics of both models on the test rows, and the importances of the tree model."""
     train, test = split(demand_input(hourly), params)
-    linear, trees = _fit_demand(train, params, _linear(params), _trees(params))
+    linear, trees = fit_linear(train, params), fit_trees(train, params)
     metrics = regression_metrics(linear.transform(test), LINEAR).unionByName(
         regression_metrics(trees.transform(test), TREES)
     )
