@@ -126,6 +126,59 @@ def _pivot(p: int) -> str:
     return f"SELECT {', '.join(kept)} FROM {f'solved{p - 1}' if p else 'gram'}"
 
 
+_BINS = 32
+
+
+def _tree_tables(trees: int, depth: int) -> dict[str, tuple[tuple[str, ...], str]]:
+    """The tables of boosted trees: rows with bins, then for each level the rows' nodes and the nodes' best splits."""
+    names = _DEMAND_FEATURES
+    ends = ", ".join(f"min(CAST({n} AS DOUBLE)) AS low{i}, max(CAST({n} AS DOUBLE)) AS high{i}" for i, n in enumerate(names))
+    bins = ", ".join(
+        f"len([j for j in range(1, {_BINS}) if low{i} < high{i} AND low{i} + (high{i} - low{i}) * j / {_BINS} < CAST({n} AS DOUBLE)])"
+        for i, n in enumerate(names)
+    )
+    out = {
+        "tree_ends": (("hourly",), f"SELECT {ends} FROM hourly WHERE {_DEMAND_BUCKET} < 80"),
+        "tree_rows0": (
+            ("hourly", "tree_ends"),
+            f"""SELECT PULocationID, pickup_hour, pickup_dow, trip_count, {_DEMAND_BUCKET} < 80 AS train, [{bins}] AS bins,
+       CAST(0 AS DOUBLE) AS prediction FROM hourly, tree_ends""",
+        ),
+    }
+    for t in range(trees):
+        out[f"nodes{t}_0"] = ((f"tree_rows{t}",), f"SELECT *, trip_count - prediction AS e, 1 AS node FROM tree_rows{t}")
+        for level in range(depth):
+            rows, best = f"nodes{t}_{level}", f"best{t}_{level}"
+            out[best] = (
+                (rows,),
+                f"""SELECT node, feature, bin, gain FROM (
+  SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, bin) AS place FROM (
+    SELECT *, round(ls * ls / ln + (s - ls) * (s - ls) / (n - ln) - s * s / n, 6) AS gain FROM (
+      SELECT node, feature, bin, sum(s) OVER upto AS ls, sum(n) OVER upto AS ln,
+             sum(s) OVER whole AS s, sum(n) OVER whole AS n, sum(q) OVER whole AS q
+      FROM (SELECT node, feature, bin, sum(e) AS s, sum(e * e) AS q, CAST(count(*) AS BIGINT) AS n
+            FROM (SELECT node, e, unnest(range({len(names)})) AS feature, unnest(bins) AS bin
+                  FROM {rows} WHERE train AND node >= {1 << level}) GROUP BY node, feature, bin)
+      WINDOW whole AS (PARTITION BY node, feature), upto AS (PARTITION BY node, feature ORDER BY bin))
+    WHERE n > ln)
+  WHERE gain > CAST(1e-9 AS DOUBLE) * q)
+WHERE place = 1""",
+            )
+            out[f"nodes{t}_{level + 1}"] = (
+                (rows, best),
+                f"""SELECT r.* REPLACE (CASE WHEN b.node IS NULL THEN r.node ELSE 2 * r.node
+    + CASE WHEN r.bins[b.feature + 1] <= b.bin THEN 0 ELSE 1 END END AS node)
+FROM {rows} r LEFT JOIN {best} b ON b.node = r.node""",
+            )
+        out[f"tree_rows{t + 1}"] = (
+            (f"nodes{t}_{depth}",),
+            f"""SELECT PULocationID, pickup_hour, pickup_dow, trip_count, train, bins,
+       prediction + {"1" if t == 0 else "CAST(0.1 AS DOUBLE)"} * mean AS prediction
+FROM nodes{t}_{depth} JOIN (SELECT node, avg(e) AS mean FROM nodes{t}_{depth} WHERE train GROUP BY node) USING (node)""",
+        )
+    return out
+
+
 # Common table expressions by name: (names it reads, text).
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "trips": ((), TRIPS_SQL.format(**_NAMES)),
@@ -259,6 +312,7 @@ WHERE round = CASE WHEN k = 8 THEN 50 ELSE 20 END""",
         + f" FROM hourly WHERE {_DEMAND_BUCKET} < 80",
     ),
     **{f"solved{p}": ((f"solved{p - 1}" if p else "gram",), _pivot(p)) for p in range(len(_DEMAND_FEATURES))},
+    **_tree_tables(2, 5),
     "hour_means": (
         ("hourly",),
         f"""SELECT pickup_hour, avg(trip_count) AS prediction FROM hourly
@@ -341,17 +395,18 @@ def _histogram(source: str, value: str, bins: int, columns: str) -> str:
     )
 
 
-_CURVE = _sql(
-    "located",
-    """SELECT CAST(i AS INT) AS point, round(x, 6) AS x, round(density, 6) AS density FROM (
+def _curve(source: str, value: str, cap: int) -> str:
+    return f"""SELECT CAST(i AS INT) AS point, round(x, 6) AS x, round(density, 6) AS density FROM (
   SELECT i, lo + i * ((hi - lo) / 299) AS x,
-         avg(exp(-pow((lo + i * ((hi - lo) / 299) - avg_distance) / h, 2) / 2)) / (h * sqrt(2 * pi())) AS density
+         sum(w * exp(-pow((lo + i * ((hi - lo) / 299) - v) / h, 2) / 2)) / sum(w) / (h * sqrt(2 * pi())) AS density
   FROM range(300) g(i)
-  CROSS JOIN (SELECT min(avg_distance) AS lo, least(max(avg_distance), 25) AS hi,
-                     stddev_samp(avg_distance) * pow(count(*), CAST(-0.2 AS DOUBLE)) AS h FROM located) s
-  CROSS JOIN located
-  GROUP BY i, lo, hi, h)""",
-)
+  CROSS JOIN (SELECT min({value}) AS lo, least(max({value}), {cap}) AS hi,
+                     stddev_samp({value}) * pow(count(*), CAST(-0.2 AS DOUBLE)) AS h FROM {source}) s
+  CROSS JOIN (SELECT {value} AS v, count(*) AS w FROM {source} GROUP BY {value})
+  GROUP BY i, lo, hi, h)"""
+
+
+_CURVE = _sql("located", _curve("located", "avg_distance", 25))
 
 _GAP_MAP = """SELECT 'zone' AS layer, CAST({zone_id} AS VARCHAR) AS id, round({lon}, 6) AS lon, round({lat}, 6) AS lat
 FROM {zones}
@@ -435,6 +490,8 @@ _PROFILES = (
     + " FROM {0}"
 )
 
+_FEATURE_NAME = f"[{', '.join(repr(n) for n in _DEMAND_FEATURES)}][feature + 1]"
+
 _SQUARES = " + ".join(f"pow(a.{n}_z - b.{n}_z, 2)" for n in _CLUSTER_FEATURES)
 
 
@@ -578,6 +635,9 @@ FROM zone_agg LEFT JOIN zones ON zone_id = PULocationID""",
     ),
     "a7_total_savings": _SAVINGS_TOTAL,
     "a8_mean_and_median": _AVERAGE_MEDIAN,
+    "a8_trip_fares": _sql(
+        "trips", "SELECT round(avg(fare_amount), 6) AS mean, round(median(fare_amount), 6) AS median FROM trips"
+    ),
     "a9_distance_histogram": _DISTANCE_BINS,
     "a10_trip_histogram": _histogram(
         "trips",
@@ -586,6 +646,7 @@ FROM zone_agg LEFT JOIN zones ON zone_id = PULocationID""",
         'bin, "count", ' + _rounded("low", "high"),
     ),
     "a11_density_curve": _CURVE,
+    "a11_trip_fare_curve": _sql("trips", _curve("trips", "fare_amount", 1000)),
     "a12_describe": _describe("trip_distance", "fare_amount", "passenger_count", "total_amount"),
     "a13_scaled_profiles": _sql("summary", _PROFILES.format("summary")),
     "a14_compact_aggregate": _COMPACT_SQL,
@@ -730,6 +791,26 @@ FROM ({_silhouettes("kmeans_scaled", "k")})""",
        round(m{len(_DEMAND_FEATURES)}{"".join(f" + a{i}_{len(_DEMAND_FEATURES)} * ({n} - m{i})" for i, n in enumerate(_DEMAND_FEATURES))}, 6) AS prediction
 FROM hourly, solved{len(_DEMAND_FEATURES) - 1} WHERE {_DEMAND_BUCKET} >= 80""",
     ),
+    "m8_histogram_trees": _sql(
+        "tree_rows2",
+        "SELECT PULocationID, pickup_hour, pickup_dow, trip_count, round(prediction, 6) AS prediction FROM tree_rows2 WHERE NOT train",
+    ),
+    "m8_histogram_splits": _sql(
+        " ".join(f"best{t}_{level}" for t in range(2) for level in range(5)),
+        "\nUNION ALL ".join(
+            f"""SELECT CAST({t} AS INT) AS tree, CAST(node AS INT) AS node, {_FEATURE_NAME} AS feature, CAST(bin AS INT) AS bin,
+       round(gain, 4) AS gain FROM best{t}_{level}"""
+            for t in range(2)
+            for level in range(5)
+        ),
+    ),
+    "m9_histogram_importances": _sql(
+        " ".join(f"best{t}_{level}" for t in range(2) for level in range(5)),
+        f"""SELECT {_FEATURE_NAME} AS feature, round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM gains), 6) AS importance
+FROM (SELECT unnest(range({len(_DEMAND_FEATURES)})) AS feature) LEFT JOIN gains USING (feature) GROUP BY feature""".replace(
+            "gains", "(" + " UNION ALL ".join(f"SELECT feature, gain FROM best{t}_{level}" for t in range(2) for level in range(5)) + ") gains"
+        ),
+    ),
     "m7_linear_facts": _sql(
         "hourly",
         f"""SELECT count(*) AS "rows", round(avg(trip_count), 4) AS mean_label FROM hourly

@@ -362,6 +362,12 @@ def a8_mean_and_median(spark, d):
     return rounded(reports.mean_and_median(recommend.located_zones(_zone_table(spark, d))))
 
 
+@query
+def a8_trip_fares(spark, d):
+    """Mean and exact median over all trips."""
+    return rounded(reports.mean_and_median(tables.trips(spark, d), "fare_amount"))
+
+
 @query
 def a9_distance_histogram(spark, d):
     return rounded(reports.histogram(recommend.located_zones(_settled_zones(spark, d)), "avg_distance", 30))
@@ -379,6 +385,12 @@ def a11_density_curve(spark, d):
     return rounded(reports.density_curve(recommend.located_zones(_settled_zones(spark, d)), "avg_distance"))
 
 
+@query
+def a11_trip_fare_curve(spark, d):
+    """The density of the fares of all trips, up to 1000."""
+    return rounded(reports.density_curve(tables.trips(spark, d), "fare_amount", cap=1000.0))
+
+
 @query
 def a12_describe(spark, d):
     return rounded(reports.describe(tables.trips(spark, d), DESCRIBED))
@@ -687,6 +699,36 @@ def m8_boosted_trees(spark, d):
     return rounded(predicted.select(*models.DEMAND_KEY, models.LABEL, "prediction"))
 
 
+#: A tree starts from the residuals of the one before, so that two trees of full depth show every step of the fit.
+FIRST_TREES = Params(gbt_trees=2)
+
+
+def _histogram_trees(spark: SparkSession, d: str):
+    train, test = models.hash_split(models.demand_input(_settled_hourly(spark, d)))
+    return models.fit_histogram_trees(train, FIRST_TREES), test
+
+
+@query
+def m8_histogram_trees(spark, d):
+    """Predictions of the first boosted trees for the test rows."""
+    fit, test = _histogram_trees(spark, d)
+    return rounded(fit.transform(test).select(*models.DEMAND_KEY, models.LABEL, "prediction"))
+
+
+@query
+def m8_histogram_splits(spark, d):
+    """Every split of the first boosted trees."""
+    splits = [(s.tree, s.node, models.DEMAND_FEATURES[s.feature], s.bin, s.gain) for s in _histogram_trees(spark, d)[0].splits]
+    return rounded(spark.createDataFrame(splits, "tree int, node int, feature string, bin int, gain double"), 4)
+
+
+@query
+def m9_histogram_importances(spark, d):
+    """The share of each feature in the gains of the first boosted trees."""
+    found = _histogram_trees(spark, d)[0].importances()
+    return rounded(spark.createDataFrame(list(found.items()), "feature string, importance double"))
+
+
 @query
 def m9_feature_importances(spark, d):
     hourly = _settled_hourly(spark, d)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from curbside.operators import lloyd
 from curbside.operators.aggregates import cluster_summary
+from curbside.operators.boosting import BoostedFit, fit_boosted
 from curbside.operators.ridge import RidgeFit, fit_ridge
 from curbside.params import Params
 
@@ -236,6 +237,11 @@ def fit_trees(train: DataFrame, params: Params = Params()) -> PipelineModel:
     return _fit_demand(train, params, _trees(params))[0]
 
 
+def fit_histogram_trees(train: DataFrame, params: Params = Params()) -> BoostedFit:
+    """Boosted trees by split search on histograms: one result for any partitioning and engine."""
+    return fit_boosted(train, DEMAND_FEATURES, LABEL, params.gbt_trees, params.gbt_depth, params.gbt_step)
+
+
 def _fit_demand(train: DataFrame, params: Params, *estimators) -> list[PipelineModel]:
     """Fit each estimator on one prepared table, which is released at the end, also of a failed fit."""
     assembler = VectorAssembler(inputCols=list(DEMAND_FEATURES), outputCol="features")

@@ -12,7 +12,7 @@ from curbside.catalog import ORACLE_SQL, QUERIES
 
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
 # Model fits without a SQL counterpart are covered by the model tests.
-SLOW = {"m4_k_sweep", "m8_boosted_trees", "m9_feature_importances", "m10_model_comparison", "o6_importances_ascending"}
+SLOW = {"m8_boosted_trees", "m9_feature_importances", "m10_model_comparison", "o6_importances_ascending"}
 
 
 @pytest.fixture(scope="module")

@@ -75,3 +75,29 @@ def test_labels_are_cut(spark):
     labels = sorted(r.label for r in reports.top_labels(recs).collect())
     assert labels == [f"#{i} A zone with a very" for i in range(1, 6)]
     assert reports.top_labels(recs, width=16).first().label.endswith("a ve")
+
+
+def test_median_by_brackets_is_exact(spark):
+    rng = np.random.default_rng(9)
+    for values in (rng.normal(size=2001), np.exp(rng.normal(size=2000) * 6), np.repeat([1.0, 2.0, 2.0, 1e9], 500), np.full(900, 3.5), np.array([5.0])):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "x double").repartition(5)
+        known = df.where("x is not null and not isnan(x)")
+        ordered = sorted(values.tolist())
+        for rank in {0, len(values) // 2, (len(values) - 1) // 2, len(values) - 1}:
+            assert reports.order_statistic(known, rank, len(values), ordered[0], ordered[-1], most=20, ranges=8) == ordered[rank]
+        assert reports.mean_and_median(known, "x").first().median == pytest.approx(float(np.median(values)), rel=1e-15)
+    assert reports.mean_and_median(known.limit(0), "x").first()["median"] is None
+
+
+def test_a_value_reaches_few_grid_points_when_there_are_many(spark):
+    rng = np.random.default_rng(2)
+    values = np.round(rng.normal(size=20_000), 2)
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    spread = reports.kernel_rows(df, "x", 300, 25.0).count()
+    different = len(set(values.tolist()))
+    assert spread < 0.5 * 300 * different and different < 1000
+    rows = reports.density_curve(df, "x").collect()
+    h = values.std(ddof=1) * len(values) ** -0.2
+    grid = np.linspace(values.min(), values.max(), 300)
+    want = np.array([np.exp(-(((g - values) / h) ** 2) / 2).mean() for g in grid]) / (h * np.sqrt(2 * np.pi))
+    assert [r.point for r in rows] == list(range(300)) and np.allclose([r.density for r in rows], want, atol=1e-12)
