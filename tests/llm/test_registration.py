@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator_and_the_pipeline():
     names = list(entry.queries())
-    assert [sum(bool(re.match(rf"op{n}_", x)) for x in names) for n in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(bool(re.match(rf"op{n}_", x)) for x in names) for n in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert len(corpus_pipeline.STAGES) == 5 and "op1_url_filter" in entry.oracle_sql()
 
 
@@ -27,7 +27,7 @@ def test_url_rules_equal_their_sql(spark):
     assert sorted(map(tuple, got)) == expected and len({r.verdict for r in got}) == 2
 
 
-@pytest.mark.parametrize("name", ["op2_language_id", "op3_substring_dedup", "op4_toxicity", "op8_bpe", "op9_jaccard_join", "op10_fingerprints"])
+@pytest.mark.parametrize("name", ["op2_language_id", "op3_substring_dedup", "op4_toxicity", "op8_bpe", "op9_jaccard_join", "op10_fingerprints", "op13_decontamination"])
 def test_one_row_per_document(spark, name):
     ids = sorted(r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())
     found = queries.QUERIES[name](spark, SF).collect()
