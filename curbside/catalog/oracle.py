@@ -520,6 +520,13 @@ ORACLE_SQL: dict[str, str] = {
     "s5_cast_pass": _sql("trips", f"SELECT {_RECORD}, payment_type, RatecodeID FROM trips"),
     "s7_zone_dimension": _sql("zones", "SELECT * FROM zones"),
     "s8_station_dimension": _sql("stations", "SELECT * FROM stations"),
+    "s9_dated_trips": _sql(
+        "features",
+        """SELECT CAST(date_trunc('month', tpep_pickup_datetime) AS DATE) AS pickup_date, count(*) AS trips, round(sum(fare_amount), 6) AS fares,
+       round(sum(speed_mph), 6) AS speeds FROM features GROUP BY CAST(date_trunc('month', tpep_pickup_datetime) AS DATE)""",
+    ),
+    "s10_zone_table_round_trip": _ZONE_AGG,
+    "s15_csv_round_trip": _sql("trips", f"SELECT {_RECORD} FROM trips"),
     "s17_row_counts": _sql(
         "trips features hourly",
         """SELECT (SELECT count(*) FROM trips) AS raw_rows, (SELECT count(*) FROM features) AS clean_rows,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbside.catalog import tables
+from curbside.catalog.scratch import scratch
 from curbside.functions import calendar, geo, scores
 from curbside.operators import aggregates, clean, features, models, recommend, reports, spatial
 from curbside.operators.lookup import attach
@@ -21,7 +22,9 @@ from curbside.params import Params
 from curbside.plans.job import scaling_table
 from curbside.plans.settle import settle
 from curbside.plans.sites import recommend_from_trips, recommend_from_zones
+from curbside.sources.readers import read_csv_trips, read_parquet_trips
 from curbside.sources.schema import conform
+from curbside.sources.writers import replace_days, write_csv, write_table, write_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,6 +146,34 @@ def s8_station_dimension(spark, d):
     return tables.stations(spark, d)
 
 
+@query
+def s9_dated_trips(spark, d):
+    """Trips written by month; then every January once more, twice. Counted as they are read back."""
+    trips, path = _trip_features(spark, d), scratch(spark, "trips")
+    write_trips(trips, path, by_date=True, unit="month")
+    corrected = settle(trips.where(F.month("tpep_pickup_datetime") == 1))
+    for _ in range(2):
+        replace_days(corrected, path, unit="month")
+    corrected.unpersist()
+    read = read_parquet_trips(spark, path)
+    return rounded(read.groupBy("pickup_date").agg(F.count(F.lit(1)).alias("trips"), F.sum("fare_amount").alias("fares"), F.sum("speed_mph").alias("speeds")))
+
+
+@query
+def s10_zone_table_round_trip(spark, d):
+    path = scratch(spark, "zones")
+    write_table(_zone_table(spark, d), path)
+    return rounded(spark.read.parquet(path))
+
+
+@query
+def s15_csv_round_trip(spark, d):
+    """Trips written as CSV and read back under the declared schema."""
+    path = scratch(spark, "trips-csv")
+    write_csv(tables.trips(spark, d), path)
+    return _records(read_csv_trips(spark, path))
+
+
 @query
 def s17_row_counts(spark, d):
     """Raw and clean rows, zones and hourly rows; the distinct counts come from grouped partials."""

@@ -10,7 +10,7 @@ from support import SF
 import __spark_entry__ as contract
 from curbside.catalog import ORACLE_SQL, QUERIES
 
-TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 # Model fits without a SQL counterpart are covered by the model tests.
 SLOW = {"m8_boosted_trees", "m9_feature_importances", "m10_model_comparison", "o6_importances_ascending"}
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbside.catalog import tables
+from curbside.sources import writers
 from curbside.operators.clean import clean, clean_compact
 from curbside.sources import (
     STATION_SCHEMA,
@@ -132,3 +133,17 @@ def test_unreadable_values_are_counted(spark, tmp_path):
     (tmp_path / "odd.csv").write_text("trip_distance,VendorID,note\n5 mi,1.0,x\n,x,y\n2.5,2,z\n")
     counts = {r.column: r.rows_unreadable for r in unreadable_values(read_csv_text(spark, path)).collect()}
     assert counts == {"trip_distance": 1, "VendorID": 1}
+
+
+def test_days_are_replaced_alone_and_any_number_of_times(spark, make_trips, tmp_path):
+    day = lambda n, fare: {"tpep_pickup_datetime": datetime(2023, 1, n, 8), "tpep_dropoff_datetime": datetime(2023, 1, n, 9), "fare_amount": fare}
+    path = str(tmp_path / "days")
+    writers.write_trips(make_trips(day(1, 10.0), day(2, 20.0), day(2, 21.0), day(3, 30.0)), path, by_date=True)
+    kept = lambda: {f: f.stat().st_mtime_ns for n in (1, 3) for f in (tmp_path / "days" / f"pickup_date=2023-01-0{n}").glob("*.parquet")}
+    before = kept()
+    for _ in range(2):
+        writers.replace_days(make_trips(day(2, 99.0), day(4, 40.0)), path)
+        rows = spark.read.parquet(path).select("pickup_date", "fare_amount").collect()
+        assert sorted((r.pickup_date.day, r.fare_amount) for r in rows) == [(1, 10.0), (2, 99.0), (3, 30.0), (4, 40.0)]
+    writers.replace_days(make_trips(day(2, 1.0)).limit(0), path)
+    assert spark.read.parquet(path).count() == 4 and kept() == before and len(before) == 2
