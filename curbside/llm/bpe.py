@@ -23,6 +23,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from curbside.llm.storage import kept_by_workers
 from curbside.llm.words import slices
 
 #: Entries of each generation of the caches of words, of their parts and of pairs of tokens: they bound a worker's memory
@@ -229,6 +230,7 @@ class Codec:
         return " ".join(self.tokens[i] for i in ids)
 
 
+@kept_by_workers
 @lru_cache(maxsize=2)
 def codec(definition: str) -> Codec:
     """One codec per worker and vocabulary, kept between tasks."""
@@ -258,11 +260,13 @@ class WordIds(Cache):
         return text.lower().split()
 
 
+@kept_by_workers
 @lru_cache(maxsize=2)
 def word_ids(definition: str) -> WordIds:
     return WordIds(codec(definition))
 
 
+@kept_by_workers
 @lru_cache(maxsize=2)
 def word_streams(definition: str) -> Cache:
     """Per word the number of ids, and its stretch of the texts that list ids and tokens."""

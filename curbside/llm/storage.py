@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -82,3 +85,20 @@ def serve(spark: SparkSession, name: str, values: np.ndarray) -> None:
         path = os.path.join(_served[0].name, name)
         np.save(path, values)
         spark.sparkContext.addFile(path)
+
+
+_caches: list[Callable] = []
+
+
+def kept_by_workers(cached: Callable) -> Callable:
+    """Mark what a worker keeps between tasks (of `functools.lru_cache`), for `release_caches`."""
+    _caches.append(cached)
+    return cached
+
+
+def release_caches() -> None:
+    """Drop what this worker keeps for tasks of earlier stages, before a task that needs the memory. Results never depend on it."""
+    for cached in _caches:
+        cached.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()

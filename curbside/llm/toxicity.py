@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.storage import carrying, stage
+from curbside.llm.storage import carrying, release_caches, stage
 from curbside.llm.words import Words, slices
 
 #: A block holds so many examples.
@@ -39,7 +39,7 @@ TEXTS, POSTINGS = 128, 1 << 20
 DAMPING = 0.005
 
 #: Text whose terms are found at once, in bytes: with all beginnings they take some fifty times as many.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 #: Texts whose outcome a task keeps for their copies.
 KNOWN = 8_000
@@ -200,6 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, per_label: int = 20
     spec = spark.sparkContext.broadcast(first)  # bounded by per_label
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches()
         index = arrange(spec.value)
         for batch in batches:
             at = batch.column(0).to_numpy()
@@ -384,14 +385,18 @@ def score_texts(docs: DataFrame, examples: Examples, id_column: str = "doc_id",
 
     A null or empty text, like any that shares no word with the index, gets the share of label 1 among such examples,
     without evidence. Equal texts get equal scores; repeated rows and null ids stay; other columns are ignored. Narrow: no
-    shuffle.
+    shuffle. A ``text_column`` inside ``id_column``, as in "row.text", is not sent to the workers a second time.
     """
+    inside = text_column.removeprefix(f"{id_column}.") if text_column.startswith(f"{id_column}.") else None
     spec = docs.sparkSession.sparkContext.broadcast(examples)  # bounded by the examples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches()
         ix = arrange(spec.value)
         known: dict[bytes, tuple] = {}
         for batch in batches:
+            if inside:
+                batch = pa.RecordBatch.from_arrays([batch.column(0), batch.column(0).field(inside)], names=["id", "text"])
             for part in slices(batch, "text", SLICE):
                 row, hashes, counts = _distinct(*_terms(part.column(1)))
                 hit, at = _among(ix.terms, hashes)
@@ -410,5 +415,5 @@ def score_texts(docs: DataFrame, examples: Examples, id_column: str = "doc_id",
                 score, near, cosine = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score, pa.float64()), pa.array(near, pa.list_(pa.int64())), pa.array(cosine, pa.list_(pa.float64()))], names=[id_column, "score", "evidence", "cosines"])
 
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    rows = docs.select(F.col(id_column).alias("id"), *([] if inside else [F.col(text_column).alias("text")]))
     return rows.mapInArrow(run, carrying(docs, id_column, id_column, "score double, evidence array<bigint>, cosines array<double>"))
