@@ -20,7 +20,7 @@ TOXIC_FROM = 0.7
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity under TOXIC_FROM; empty and null texts are among them."""
     index = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
-    return toxicity.score_texts(whole_rows(docs), index, "row").where(F.col("score") < TOXIC_FROM).select("row.*")
+    return toxicity.score_texts(whole_rows(docs), index, "row", "row.text").where(F.col("score") < TOXIC_FROM).select("row.*")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
