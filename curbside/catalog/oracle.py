@@ -359,6 +359,11 @@ _AVERAGES = _rounded(
     "avg_distance", "avg_fare", "avg_passengers", "avg_duration_min", "avg_speed_mph", "rush_hour_trips",
     "weekend_fraction", "lat", "lon", "rush_hour_fraction",
 )
+_HOURLY_AGG = _sql(
+    "hourly",
+    f"""SELECT PULocationID, pickup_hour, pickup_dow, trip_count, {_rounded("avg_distance", "avg_fare", count="trip_count")},
+       is_weekend, is_rush_hour, borough FROM hourly""",
+)
 _ZONE_AGG = _sql("zone_agg", f"SELECT PULocationID, total_trips, borough, {_AVERAGES} FROM zone_agg")
 
 _SUMMARY = _rounded(
@@ -622,11 +627,9 @@ FROM zone_agg LEFT JOIN zones ON zone_id = PULocationID""",
     ),
     "a1_zone_aggregates": _ZONE_AGG,
     "a1_zone_aggregates_from_cube": _ZONE_AGG,
-    "a2_hourly_demand": _sql(
-        "hourly",
-        f"""SELECT PULocationID, pickup_hour, pickup_dow, trip_count, {_rounded("avg_distance", "avg_fare", count="trip_count")},
-       is_weekend, is_rush_hour, borough FROM hourly""",
-    ),
+    "a1_zone_aggregates_from_stored_cube": _ZONE_AGG,
+    "a2_hourly_demand": _HOURLY_AGG,
+    "a2_hourly_demand_from_stored_cube": _HOURLY_AGG,
     "a3_cluster_summary": _sql(
         "summary", f"SELECT cluster, num_zones, total_trips, {_SUMMARY}, dominant_borough FROM summary"
     ),
@@ -839,6 +842,12 @@ WHERE {_DEMAND_BUCKET} < 80""",
         f"""SELECT 'trips' AS input, (SELECT count(*) FROM trips) AS "rows",
        (SELECT count(DISTINCT PULocationID) FROM trips WHERE {_COMPACT}) AS zones""",
     ),
+    "c6_scaling_sizes": _sql(
+        "trips",
+        f"""SELECT share || ' %' AS input, count(*) AS "rows", count(DISTINCT CASE WHEN {_COMPACT} THEN PULocationID END) AS zones
+FROM (SELECT *, {_BUCKET.format(f"concat_ws('|', VendorID, PULocationID, DOLocationID, {_PICKUP_S}, {_DROPOFF_S})")} AS bucket FROM trips)
+JOIN (VALUES (10), (50), (100)) sizes(share) ON bucket < share GROUP BY share""",
+    ),
     "m6_hash_split": _sql(
         "hourly",
         f"""SELECT PULocationID, pickup_hour, pickup_dow,

@@ -24,7 +24,7 @@ from curbside.plans.settle import settle
 from curbside.plans.sites import recommend_from_trips, recommend_from_zones
 from curbside.sources.readers import read_csv_trips, read_parquet_trips
 from curbside.sources.schema import conform
-from curbside.sources.writers import replace_days, write_csv, write_table, write_trips
+from curbside.sources.writers import replace_dates, replace_days, write_csv, write_table, write_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -346,11 +346,31 @@ def a1_zone_aggregates_from_cube(spark, d):
     return rounded(aggregates.zone_aggregates_from_cube(cube, tables.zones(spark, d)))
 
 
+def _stored_cube(spark: SparkSession, d: str) -> DataFrame:
+    """The cube from state stored by month: the first half of the years, then June to December, and these once more."""
+    trips, path = _trip_features(spark, d), scratch(spark, "cube")
+    month = F.month("tpep_pickup_datetime")
+    for load in (month <= 6, month >= 6, month >= 6):
+        replace_dates(aggregates.dated_cube(trips.where(load)), path)
+    return aggregates.merge_cubes(spark.read.parquet(path))
+
+
+@query
+def a1_zone_aggregates_from_stored_cube(spark, d):
+    return rounded(aggregates.zone_aggregates_from_cube(_stored_cube(spark, d), tables.zones(spark, d)))
+
+
 @query
 def a2_hourly_demand(spark, d):
     return rounded(_hourly(spark, d), count=models.LABEL)
 
 
+@query
+def a2_hourly_demand_from_stored_cube(spark, d):
+    hourly = aggregates.hourly_demand_from_cube(_stored_cube(spark, d), tables.zones(spark, d))
+    return rounded(hourly, count=models.LABEL)
+
+
 @query
 def a3_cluster_summary(spark, d):
     return rounded(aggregates.cluster_summary(_fixed_clusters(_zone_table(spark, d))))
@@ -822,6 +842,16 @@ def c6_scaling_report(spark, d):
     return report.select("input", "rows", "zones")
 
 
+@query
+def c6_scaling_sizes(spark, d):
+    """The compact job over three nested sizes of the given trips, each a share of the keys by their hash."""
+    seconds = {name: F.unix_timestamp(column) for name, column in EPOCH.items()}
+    trips = tables.trips(spark, d).withColumns(seconds)
+    bucket = models.hash_bucket("VendorID", "PULocationID", "DOLocationID", *EPOCH)
+    sizes = {f"{share} %": lambda share=share: trips.where(bucket < share) for share in (10, 50, 100)}
+    return scaling_table(spark, sizes).select("input", "rows", "zones")
+
+
 def _demand_chart(name: str, chart: str) -> None:
     def run(spark, d):
         cube = settle(aggregates.demand_cube(_trip_features(spark, d)))

@@ -89,13 +89,16 @@ def hourly_demand(
     return _with_position(grouped, zones, params, small).select(*HOURLY_COLUMNS)
 
 
-def demand_cube(features: DataFrame) -> DataFrame:
+CUBE_KEYS = ("PULocationID", "pickup_hour", "pickup_dow")
+
+
+def demand_cube(features: DataFrame, *further_keys: str) -> DataFrame:
     """Sums per zone, hour and weekday, from which every demand table follows without the trips.
 
     The whole batch job needs one scan of the trips for it; the result has at most
-    zones x 24 x 7 rows.
+    zones x 24 x 7 rows for each value of the ``further_keys``.
     """
-    return features.groupBy("PULocationID", "pickup_hour", "pickup_dow").agg(
+    return features.groupBy(*further_keys, *CUBE_KEYS).agg(
         F.count(F.lit(1)).alias("trip_count"),
         F.sum("trip_distance").alias("sum_distance"),
         F.sum("fare_amount").alias("sum_fare"),
@@ -107,6 +110,25 @@ def demand_cube(features: DataFrame) -> DataFrame:
     )
 
 
+def dated_cube(features: DataFrame, unit: str = "month") -> DataFrame:
+    """``demand_cube`` per ``pickup_date``, the first day of its ``unit``: state that is stored by date.
+
+    A load of whole units replaces their rows (``sources.writers.replace_dates``), so that a load that
+    is repeated or corrected counts once, and the trips of other units are never read again.
+    """
+    dated = features.withColumn("pickup_date", F.to_date(F.date_trunc(unit, "tpep_pickup_datetime")))
+    return demand_cube(dated, "pickup_date")
+
+
+def merge_cubes(cubes: DataFrame) -> DataFrame:
+    """One ``demand_cube`` out of the rows of several over different trips, such as a stored ``dated_cube``."""
+    sums = [name for name in cubes.columns if name.startswith("sum_")]
+    flags = ("is_rush_hour", "is_weekend")
+    return cubes.groupBy(*CUBE_KEYS).agg(
+        *[F.sum(name).alias(name) for name in ("trip_count", *sums)], *[F.max(name).alias(name) for name in flags]
+    )
+
+
 def zone_aggregates_from_cube(
     cube: DataFrame, zones: DataFrame, params: Params = Params(), small: bool | None = None
 ) -> DataFrame:

@@ -30,7 +30,12 @@ def replace_days(df: DataFrame, path: str, unit: str = "day") -> None:
     ``df`` holds the whole of each of its days, or of what other ``unit`` the table has. Trips without a pickup time are a day of their own. An empty ``df`` changes
     nothing.
     """
-    writer = _dated(df, unit).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    replace_dates(_dated(df, unit), path)
+
+
+def replace_dates(df: DataFrame, path: str) -> None:
+    """Rows with a ``pickup_date`` into a table partitioned by it: the dates of ``df`` are replaced, all others stay."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("pickup_date").parquet(path)
 
 

@@ -9,6 +9,7 @@ from support import SF
 
 import __spark_entry__ as contract
 from curbside.catalog import ORACLE_SQL, QUERIES
+from curbside.plans.settle import settle, settling
 
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 # Model fits without a SQL counterpart are covered by the model tests.
@@ -31,6 +32,13 @@ def test_every_sql_has_a_query():
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
 def test_query(spark, engine, name):
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
+    with settling():
+        check(spark, engine, name)
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before  # no table stays behind
+
+
+def check(spark, engine, name):
     df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for forbidden in ("NestedLoopJoin", "CartesianProduct", "PythonUDF", "BatchEvalPython", "ArrowEvalPython"):
@@ -49,6 +57,21 @@ def test_query(spark, engine, name):
     assert Counter(tuple(row[n] for n in names) for row in rows) == want
 
 
+def test_settled_tables_go_with_their_block_also_after_a_failure(spark):
+    kept = lambda: len(spark.sparkContext._jsc.getPersistentRDDs())
+    before, inner, outer = kept(), spark.range(5).selectExpr("id * 3 AS x"), spark.range(7).selectExpr("id * 5 AS y")
+    with settling():
+        settle(outer).count()
+        with pytest.raises(ValueError), settling():
+            settle(inner).count()
+            assert kept() == before + 2
+            raise ValueError
+        assert kept() == before + 1 and outer.is_cached
+    assert kept() == before
+    assert settle(inner).count() == 5 and kept() == before + 1  # without a block it is the caller's
+    inner.unpersist()
+
+
 def test_entry(spark):
     rows = contract.entry(spark).collect()
     assert [r["rank"] for r in rows] == list(range(1, 11))
