@@ -525,6 +525,13 @@ ORACLE_SQL: dict[str, str] = {
     "s5_cast_pass": _sql("trips", f"SELECT {_RECORD}, payment_type, RatecodeID FROM trips"),
     "s7_zone_dimension": _sql("zones", "SELECT * FROM zones"),
     "s8_station_dimension": _sql("stations", "SELECT * FROM stations"),
+    "s3_checked_csv": _sql(
+        "trips",
+        """SELECT reason, count(*) AS "rows", round(sum(fare_amount), 3) AS fares FROM (
+  SELECT fare_amount, CASE WHEN payment_type = 3 AND total_amount < 0 THEN 'unreadable trip_distance, PULocationID'
+    WHEN payment_type = 3 THEN 'unreadable trip_distance' WHEN total_amount < 0 THEN 'unreadable PULocationID'
+    ELSE 'accepted' END AS reason FROM trips) GROUP BY reason""",
+    ),
     "s9_dated_trips": _sql(
         "features",
         """SELECT CAST(date_trunc('month', tpep_pickup_datetime) AS DATE) AS pickup_date, count(*) AS trips, round(sum(fare_amount), 6) AS fares,

@@ -22,9 +22,9 @@ from curbside.params import Params
 from curbside.plans.job import scaling_table
 from curbside.plans.settle import settle
 from curbside.plans.sites import recommend_from_trips, recommend_from_zones
-from curbside.sources.readers import read_csv_trips, read_parquet_trips
+from curbside.sources.readers import read_checked_csv_trips, read_csv_trips, read_parquet_trips
 from curbside.sources.schema import conform
-from curbside.sources.writers import replace_dates, replace_days, write_csv, write_table, write_trips
+from curbside.sources.writers import replace_dates, replace_days, write_csv, write_json, write_table, write_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -174,6 +174,26 @@ def s15_csv_round_trip(spark, d):
     return _records(read_csv_trips(spark, path))
 
 
+@query
+def s3_checked_csv(spark, d):
+    """Trips as CSV with values that do not fit: good rows and the quarantine, each written to a sink of its own and read back."""
+    trips = tables.trips(spark, d)
+    spoilt = {
+        "trip_distance": F.when(F.col("payment_type") == 3, "n/a").otherwise(F.col("trip_distance").cast("string")),
+        "PULocationID": F.when(F.col("total_amount") < 0, "zone").otherwise(F.col("PULocationID").cast("string")),
+    }
+    path = scratch(spark, "checked-csv")
+    write_csv(trips.select(*[spoilt.get(name, F.col(name)).cast("string").alias(name) for name in trips.columns]), path)
+    good, rejected = read_checked_csv_trips(spark, path)
+    write_table(good, f"{path}-good")
+    write_json(rejected, f"{path}-rejected")
+    fares = F.sum(F.col("fare_amount").cast("double")).alias("fares")
+    kinds = "reason string, fare_amount string"
+    accepted = spark.read.parquet(f"{path}-good").select(F.lit("accepted").alias("reason"), F.col("fare_amount").cast("string"))
+    both = accepted.unionByName(spark.read.schema(kinds).json(f"{path}-rejected"))
+    return rounded(both.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"), fares), 3)
+
+
 @query
 def s17_row_counts(spark, d):
     """Raw and clean rows, zones and hourly rows; the distinct counts come from grouped partials."""

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curbside.sources.schema import TRIP_SCHEMA, conform
+from curbside.sources.schema import TRIP_SCHEMA, conform, reject_reason
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -38,6 +39,28 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
+#: Column of a rejected row that holds its line, if the line has too few or too many fields.
+LINE = "_line"
+
+
+def read_checked_csv_trips(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Trips of a CSV with a header line, and the rows that are none: a quarantine for a sink of its own.
+
+    A row is rejected if its line has another number of fields than the header, or if a known column holds a value
+    that does not fit the declared type. Rejected rows keep all columns as text, with ``reason`` and, for a
+    wrong number of fields, the whole ``_line``. An empty field is a null, which fits any column. Both tables
+    read the file on their own, in one narrow pass.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    text = T.StructType([T.StructField(name, T.StringType()) for name in [*names, LINE]])
+    # Without pruning, as the number of fields is only known where a line is parsed whole.
+    options = {"header": True, "enforceSchema": False, "columnNameOfCorruptRecord": LINE, "columnPruning": False}
+    rows = spark.read.schema(text).options(**options).csv(path)
+    reason = F.when(F.col(LINE).isNotNull(), "number of fields").otherwise(reject_reason(rows))
+    judged = rows.withColumn("reason", reason)
+    return conform(judged.where(F.col("reason").isNull()).drop("reason", LINE)), judged.where(F.col("reason").isNotNull())
+
+
 def read_parquet_trips(spark: SparkSession, path: str) -> DataFrame:
     return conform(spark.read.parquet(path))
 

@@ -90,6 +90,18 @@ def narrow_ids(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("int") for name in wide}) if wide else df
 
 
+def reject_reason(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> Column:
+    """The known columns of a row that hold a value which ``conform`` would turn into null, by name; null if there are none."""
+    wanted = {field.name: field.dataType for field in schema}
+    lost = [
+        F.when(F.col(f"`{field.name}`").isNotNull() & _cast(F.col(f"`{field.name}`"), field.dataType, wanted[field.name]).isNull(), field.name)
+        for field in df.schema
+        if field.name in wanted
+    ]
+    names = F.array_join(F.array_compact(F.array(*lost)), ", ") if lost else F.lit("")
+    return F.when(names != "", F.concat(F.lit("unreadable "), names))
+
+
 def unreadable_values(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
     """One row per known column: how many values ``conform`` would turn into null, in one pass.
 

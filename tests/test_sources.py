@@ -24,7 +24,7 @@ from curbside.sources import (
     write_table,
     write_trips,
 )
-from curbside.sources.readers import read_csv_text
+from curbside.sources.readers import read_checked_csv_trips, read_csv_text
 from curbside.sources.schema import unreadable_values
 
 
@@ -135,6 +135,21 @@ def test_unreadable_values_are_counted(spark, tmp_path):
     assert counts == {"trip_distance": 1, "VendorID": 1}
 
 
+def test_rows_that_are_no_trips_go_to_quarantine(spark, tmp_path):
+    lines = ["trip_distance,VendorID,note", "5 mi,1.0,x", ",x,y", "2.5,2,z", "bad,x,", "1.5,1", "1.5,1,a,b", ",,"]
+    (tmp_path / "odd.csv").write_text("\n".join(lines) + "\n")
+    good, rejected = read_checked_csv_trips(spark, str(tmp_path / "odd.csv"))
+    assert sorted(map(tuple, good.collect()), key=str) == [(2.5, 2, "z"), (None, None, None)]
+    found = {(r.reason, r.trip_distance if r["_line"] is None else r["_line"]) for r in rejected.collect()}
+    assert found == {
+        ("unreadable trip_distance", "5 mi"), ("unreadable VendorID", None), ("unreadable trip_distance, VendorID", "bad"),
+        ("number of fields", "1.5,1"), ("number of fields", "1.5,1,a,b"),
+    }
+    assert good.count() == 2 and rejected.count() == 5
+    (tmp_path / "empty.csv").write_text("trip_distance,VendorID\n")
+    assert [df.count() for df in read_checked_csv_trips(spark, str(tmp_path / "empty.csv"))] == [0, 0]
+
+
 def test_days_are_replaced_alone_and_any_number_of_times(spark, make_trips, tmp_path):
     day = lambda n, fare: {"tpep_pickup_datetime": datetime(2023, 1, n, 8), "tpep_dropoff_datetime": datetime(2023, 1, n, 9), "fare_amount": fare}
     path = str(tmp_path / "days")
