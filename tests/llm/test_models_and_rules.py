@@ -2,13 +2,14 @@
 
 import random
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from curbside.llm import language_id, toxicity, url_filter
+from curbside.llm import bpe, language_id, storage, toxicity, url_filter
 from curbside.llm.queries import RULES
 from curbside.llm.storage import held_out
 
@@ -165,6 +166,27 @@ def test_toxic_texts_are_found_with_evidence(judged_docs, make_docs):
     assert toxicity.score_texts(make_docs([]), index).collect() == []
 
 
+def test_texts_inside_whole_rows_score_alike(judged_docs, make_docs):
+    docs, labels = judged_docs
+    index = toxicity.fit(docs, labels, F.col("doc_id") % 3 != 1)
+    some = docs.limit(40).unionByName(make_docs([(1, None), (None, ""), (2, "gruesomely gruesomeness gruesomeish")]).select(docs.columns))
+    some = some.withColumn("score", F.lit("an extra column of a clashing name"))
+    rows = toxicity.score_texts(storage.whole_rows(some), index, "row", "row.text").collect()
+    key = lambda r: (str(r[0]), r[1])
+    plain = toxicity.score_texts(some, index).collect()
+    assert sorted(((r.row.doc_id, r.score) for r in rows), key=key) == sorted(((r.doc_id, r.score) for r in plain), key=key)
+    assert {r.row.score for r in rows} == {"an extra column of a clashing name"} and len(rows) == 43
+
+
+def test_caches_of_earlier_stages_are_dropped():
+    made = []
+    cached = storage.kept_by_workers(lru_cache(maxsize=2)(lambda x: made.append(x) or x))
+    cached(1), cached(1), storage.release_caches(), cached(1)
+    assert made == [1, 1]
+    assert {bpe.codec, bpe.word_ids, bpe.word_streams} <= set(storage._caches)
+    storage._caches.remove(cached)
+
+
 def test_toxicity_without_labels_or_examples(judged_docs, make_docs):
     docs, labels = judged_docs
     for index in (toxicity.fit(docs, labels.limit(0), F.lit(True)), toxicity.fit(make_docs([]), labels, F.lit(True)), toxicity.fit(docs, labels.where("toxic = 0"), F.lit(True))):
