@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curbside.catalog.tables import STATIONS_SQL, TRIPS_SQL, ZONES_SQL
+from curbside.catalog.tables import STATIONS_SQL, TRIPS_SQL, WIDE_TRIPS_SQL, WIDE_ZONES_SQL, ZONES_SQL
 
 _NAMES = {n: n for n in ("lineitem", "orders", "nation", "region", "supplier")}
 
@@ -886,3 +886,15 @@ FROM features GROUP BY pickup_hour""",
     "c7_savings": _sql("recs", _SAVINGS.format("round(annual_co2_saved_tonnes, 6) AS annual_co2_saved_tonnes")),
     "c7_savings_total": _SAVINGS_TOTAL,
 }
+
+
+def _over(name: str, table: str, other: str) -> dict[str, str]:
+    """The SQL of a query over another mapping of one table."""
+    old, new = (text.format(**_NAMES).strip() for text in (table, other))
+    return {f"{name}_wide": ORACLE_SQL[name].replace(old, new)}
+
+
+for _name in ("p2_distance", "p4_passengers", "p6_pickup_zone", "p9_duration", "p21_rule_audit", "f9_fare_per_mile"):
+    ORACLE_SQL |= _over(_name, TRIPS_SQL, WIDE_TRIPS_SQL)
+for _name in ("f14_capped_distance", "f15_gap_score"):
+    ORACLE_SQL |= _over(_name, ZONES_SQL, WIDE_ZONES_SQL)

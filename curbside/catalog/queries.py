@@ -225,8 +225,8 @@ def s19_hash_sample(spark, d):
 # --- filters --------------------------------------------------------------------------------------
 
 
-def _rule_query(names: tuple[str, ...]) -> Query:
-    return lambda spark, d: _records(clean.apply_rules(tables.trips(spark, d), names))
+def _rule_query(names: tuple[str, ...], trips: Query = tables.trips) -> Query:
+    return lambda spark, d: _records(clean.apply_rules(trips(spark, d), names))
 
 
 for _name, _rules in {
@@ -243,6 +243,19 @@ for _name, _rules in {
     "p11_compact_rules": clean.COMPACT_RULES,
 }.items():
     QUERIES[_name] = _rule_query(_rules)
+for _name, _rules in {
+    "p2_distance_wide": ("distance",),
+    "p4_passengers_wide": ("passengers",),
+    "p6_pickup_zone_wide": ("pickup_zone",),
+    "p9_duration_wide": ("duration",),
+}.items():
+    QUERIES[_name] = _rule_query(_rules, tables.wide_trips)
+
+
+@query
+def p21_rule_audit_wide(spark, d):
+    """The audit over trips that lie on both sides of every bound."""
+    return rounded(clean.audit(tables.wide_trips(spark, d)))
 
 
 @query
@@ -605,6 +618,11 @@ _pickup_query(
     "f9_fare_per_mile",
     fare_per_mile=lambda: calendar.ratio_if_positive(F.col("fare_amount"), F.col("trip_distance")),
 )
+QUERIES["f9_fare_per_mile_wide"] = lambda spark, d: tables.wide_trips(spark, d).select(
+    "PULocationID",
+    "trip_distance",
+    calendar.ratio_if_positive(F.col("fare_amount"), F.col("trip_distance")).alias("fare_per_mile"),
+)
 _pickup_query("f20_clip", clipped=lambda: calendar.clip(F.col("trip_distance"), 1.0, 5.0))
 
 
@@ -629,15 +647,22 @@ def f11_haversine(spark, d):
     return rounded(placed.select("PULocationID", "DOLocationID", "trips", km.alias("km")))
 
 
-def _score_query(name: str, *columns: str) -> None:
+def _measured_wide(spark: SparkSession, d: str) -> DataFrame:
+    zones = aggregates.zone_aggregates(_trip_features(spark, d), tables.wide_zones(spark, d))
+    return settle(recommend.measure_service(settle(zones), tables.stations(spark, d)))
+
+
+def _score_query(name: str, *columns: str, measured: Query = _measured) -> None:
     QUERIES[name] = lambda spark, d: rounded(
-        recommend.score_zones(_measured(spark, d)).select("PULocationID", *columns)
+        recommend.score_zones(measured(spark, d)).select("PULocationID", *columns)
     )
 
 
 _score_query("f13_demand_score", "demand_score")
 _score_query("f14_capped_distance", "nearest_station_km", "nearest_station_km_clipped")
+_score_query("f14_capped_distance_wide", "nearest_station_km", "nearest_station_km_clipped", measured=_measured_wide)
 _score_query("f15_gap_score", "gap_score")
+_score_query("f15_gap_score_wide", "gap_score", measured=_measured_wide)
 _score_query("f16_priority_score", "priority_score")
 
 

@@ -5,10 +5,12 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from support import SF
 
 import __spark_entry__ as contract
-from curbside.catalog import ORACLE_SQL, QUERIES
+from curbside.catalog import ORACLE_SQL, QUERIES, tables
+from curbside.operators import clean
 from curbside.plans.settle import settle, settling
 
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
@@ -57,6 +59,20 @@ def check(spark, engine, name):
     assert Counter(tuple(row[n] for n in names) for row in rows) == want
 
 
+def test_wide_tables_lie_on_both_sides_of_the_bounds(spark):
+    trips = tables.wide_trips(spark, "/root/testdata/sf0.01")
+    minutes = clean.duration_min()
+    for value, low, high in (("passenger_count", 1, 8), ("trip_distance", 0.1, 100), ("PULocationID", 1, 265), (minutes, 1, 300)):
+        column = F.col(value) if isinstance(value, str) else value
+        found = trips.agg(F.count_if(column < low), F.count_if(column.between(low, high)), F.count_if(column > high)).first()
+        assert min(found) > 100, value
+    miles = QUERIES["f9_fare_per_mile_wide"](spark, SF).agg(F.count_if(F.col("fare_per_mile").isNull()), F.count("fare_per_mile")).first()
+    assert min(miles) > 100
+    scored = QUERIES["f14_capped_distance_wide"](spark, SF).collect()
+    assert {r.nearest_station_km > 30 for r in scored} == {True, False}
+    assert all(r.nearest_station_km_clipped == min(r.nearest_station_km, 30) for r in scored)
+
+
 def test_settled_tables_go_with_their_block_also_after_a_failure(spark):
     kept = lambda: len(spark.sparkContext._jsc.getPersistentRDDs())
     before, inner, outer = kept(), spark.range(5).selectExpr("id * 3 AS x"), spark.range(7).selectExpr("id * 5 AS y")
