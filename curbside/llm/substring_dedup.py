@@ -4,7 +4,8 @@ Every window of ``width`` words has a Rabin-Karp hash. Documents are dealt once
 first, so that a passage that fills a third of the data leaves each chunk at most once, and sends the distinct hashes to
 buckets, chosen by a second, independent hash. A bucket counts each hash over all chunks and answers every chunk with one
 bit per hash. The chunks are the same in both passes (the same exchange, read again), so that the bits find their windows by
-order alone. Repeated windows merge into maximal intervals, and the words outside are kept.
+order alone. Repeated windows merge into maximal intervals, and the words outside are kept. Equal rows are one row with a
+count, which a chunk never holds twice; they are merged within each batch before they move.
 
 Two different windows are only confused if the 64-bit hash and the bucket of the other hash both agree.
 """
@@ -25,6 +26,9 @@ from curbside.llm.words import Words
 
 WIDTH = 35
 
+#: A row that stands for more equal ones than this leaves its chunk as several.
+MOST_COPIES = 4096
+
 #: Text in a chunk and hashes in a bucket, in bytes; both are counted out for the data at hand.
 CHUNK_BYTES, BUCKET_BYTES, LEAST_PARTS = 3 << 20, 12 << 20, 128
 
@@ -42,14 +46,35 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, keep_text: bool = True,
     chunks = max(LEAST_PARTS, math.ceil(size / CHUNK_BYTES))
     buckets = max(LEAST_PARTS, math.ceil(size / 5 * 8 / BUCKET_BYTES))
     # A third of all rows may share an id, so that the text takes part in the choice of a chunk.
-    chunk = F.pmod(F.xxhash64(id_column, "text"), F.lit(chunks)).cast("int")
-    dealt = docs.select(chunk.alias("chunk"), F.col(id_column).alias("id"), "text").repartition(_tasks(chunks), "chunk")
+    key = F.xxhash64(id_column, "text").alias("key")
+    rows = docs.select(key, F.col(id_column).alias("id"), "text")
+    merged = rows.mapInArrow(_merge, carrying(docs, id_column, "id", "key bigint, text string, times bigint"))
+    dealt = merged.withColumn("chunk", F.pmod("key", F.lit(chunks)).cast("int")).repartition(_tasks(chunks), "chunk")
+    # The exchange by chunk holds all rows of one key already: no second one.
+    dealt = dealt.groupBy("chunk", "id", "text").agg(F.sum("times").alias("times"))
 
     hashes = dealt.groupBy("chunk").applyInArrow(_sender(width, buckets), "chunk int, bucket int, hashes binary, many binary")
     answers = hashes.repartition(_tasks(buckets), "bucket").groupBy("bucket").applyInArrow(_count, "chunk int, bucket int, repeated binary")
     kept = "kept_text string" if keep_text else "kept_sha256 string"
-    rest = f"n_words bigint, n_removed bigint, removed array<struct<first:bigint,end:bigint>>, {kept}"
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_remover(width, buckets, keep_text, id_column), carrying(docs, id_column, id_column, rest))
+    rest = f"n_words bigint, n_removed bigint, removed array<struct<first:bigint,end:bigint>>, {kept}, _copies bigint"
+    found = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_remover(width, buckets, keep_text, id_column), carrying(docs, id_column, id_column, rest))
+    copies = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return found.withColumn("_copies", copies).drop("_copies")
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch that repeat id and text, as one row with the number of ``times``."""
+    for batch in batches:
+        key = batch.column("key").to_numpy()
+        order = np.argsort(key, kind="stable")
+        new = np.ones(len(order), bool)
+        new[1:] = key[order[1:]] != key[order[:-1]]
+        for i in np.flatnonzero(~new):  # equal keys: the rows themselves decide
+            a, b = int(order[i - 1]), int(order[i])
+            new[i] = any(batch.column(c)[a].as_py() != batch.column(c)[b].as_py() for c in ("id", "text"))
+        times = np.bincount(np.cumsum(new) - 1, minlength=int(new.sum()))
+        kept = batch.take(pa.array(order[new]))
+        yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in ("id", "key", "text")), pa.array(times, pa.int64())], names=["id", "key", "text", "times"])
 
 
 def _tasks(groups: int) -> int:
@@ -65,6 +90,7 @@ class ChunkWindows:
         self.starts, self.hashes = self.words.windows(width)
         _, other = self.words.windows(width, 1)
         self.buckets = ((other >> np.uint64(24)) % np.uint64(buckets)).astype(np.uint32)
+        self.times = texts.column("times").to_numpy()[self.words.row[self.starts]]
 
     def sorted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Bucket, hash and number of windows of each distinct pair, by bucket and hash; the order of the windows, and
@@ -75,7 +101,7 @@ class ChunkWindows:
         new = np.ones(len(order), bool)
         new[1:] = (bucket[1:] != bucket[:-1]) | (value[1:] != value[:-1])
         place = np.cumsum(new) - 1
-        return bucket[new], value[new], np.bincount(place, minlength=int(new.sum())), order, place
+        return bucket[new], value[new], np.bincount(place, self.times[order], minlength=int(new.sum())), order, place
 
 
 def _sender(width: int, buckets: int):
@@ -144,6 +170,13 @@ def _remover(width: int, buckets: int, keep_text: bool, id_column: str):
             kept.append(joined.decode() if keep_text else hashlib.sha256(joined).hexdigest())
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])), pa.string())
         columns = [rows.column("id"), *(pa.array(c, k) for c, k in zip((words.counts, removed, intervals, kept), kinds, strict=True))]
-        return pa.table(columns, names=names)
+        times = rows.column("times").to_numpy()
+        parts = -(-times // MOST_COPIES)
+        sizes = np.full(int(parts.sum()), MOST_COPIES, np.int64)
+        sizes[np.cumsum(parts) - 1] = times - (parts - 1) * MOST_COPIES
+        found = pa.table(columns, names=names)
+        if len(sizes) > len(times):
+            found = found.take(pa.array(np.repeat(np.arange(len(times)), parts)))
+        return found.append_column("_copies", pa.array(sizes))
 
     return run

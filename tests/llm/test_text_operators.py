@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from curbside.llm import fingerprint, jaccard_join, substring_dedup
 from curbside.llm.words import Words, slices
@@ -111,6 +112,16 @@ def test_digests_of_kept_words_and_hand_through_of_rows(make_docs):
     assert substring_dedup.remove_repeats(docs, width=5, id_column="source").columns[0] == "source"
 
 
+def test_equal_rows_are_one_row_with_a_count(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "MOST_COPIES", 7)
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 2, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 2, F.concat(F.lit("own "), F.col("id"))).otherwise(words).alias("text"))
+    found = substring_dedup.remove_repeats(docs).groupBy("doc_id", "n_words", "n_removed", "kept_text").count()
+    got = {(r.doc_id, r.n_words, r.n_removed, r.kept_text): r["count"] for r in found.where("doc_id IS NULL OR doc_id = 5").collect()}
+    assert got == {(5, 40, 40, ""): 10_000, (None, 40, 40, ""): 10_000, (5, 2, 0, "own 5"): 1}
+    assert found.count() == 2 + 10_000
+
+
 def test_no_documents_at_all(make_docs):
     empty = make_docs([])
     assert substring_dedup.remove_repeats(empty).collect() == []
