@@ -138,6 +138,44 @@ def test_shared_turns_stand_once_in_depth_first_order(spark):
     assert chat_tree.read_back(empty, nobody).collect() == []
 
 
+def test_a_conversation_of_100_000_turns_and_as_many_rows_without_an_id(spark):
+    long = spark.range(100_000).select(F.lit(7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), F.col("id") % 1000).alias("text"))
+    lost = spark.range(100_000).select(F.lit(None).cast("long").alias("conv_id"), F.lit(None).cast("long").alias("turn"), F.lit("assistant").alias("role"), F.lit("x").alias("text"))
+    prefix = long.where("turn < 50001").withColumn("conv_id", F.lit(8).cast("long")).withColumn("text", F.when(F.col("turn") == 50_000, "other").otherwise(F.col("text")))
+    nodes, members = chat_tree.build_tree(long.unionByName(lost).unionByName(prefix))
+    nodes = nodes.cache()
+    found = {r.conv_id: r for r in chat_tree.read_back(nodes, members).collect()}
+    turns = [("assistant" if i % 2 else "user", f"t{i % 1000}") for i in range(100_000)]
+    for c, want in ((7, turns), (8, [*turns[:50_000], ("user", "other")]), (None, [("assistant", "x")] * 100_000)):
+        assert (found[c].n_turns, found[c].turns_read) == (len(want), len(want))
+        assert found[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in want).encode()).hexdigest()
+        assert found[c].loss_sha256 == hashlib.sha256("".join(t for r, t in want if r == "assistant").encode()).hexdigest()
+    assert nodes.count() == 200_001 and nodes.agg(F.max(F.size("attends"))).first()[0] == 2
+    nodes.unpersist()
+
+
+def test_nodes_in_tokens_are_those_of_the_library(spark, definition):
+    rows, frame = conversations(spark)
+    nodes, _ = chat_tree.build_tree(frame, definition)
+    tool, place, open_nodes = library(definition), 0, []
+    encode = lambda text: tool.encode(text, add_special_tokens=False).ids
+    for r in sorted(nodes.collect(), key=lambda r: r.stream_start):
+        role, text = chat_tree.parse_turn(r.formatted)
+        body = chat_tree.escape(text)
+        low = r.loss_end - len(body)
+        head, inner, foot = encode(r.formatted[:low]), encode(body), encode(r.formatted[r.loss_end :])
+        assert r.ids == head + inner + foot
+        assert r.ids[r.loss_ids_start : r.loss_ids_end] == (inner if role == "assistant" else [])
+        assert (r.stream_start, r.stream_end) == (place, place + len(r.ids))
+        place = r.stream_end
+        spans = merged((s.stream_start, s.stream_end) for s in r.attends)
+        while open_nodes and merged(open_nodes) != spans:
+            open_nodes.pop()
+        assert merged(open_nodes) == spans and r.position == sum(b - a for a, b in spans)
+        assert r.position_ids == list(range(r.position, r.position + len(r.ids)))
+        open_nodes.append((r.stream_start, r.stream_end))
+
+
 TEXTS = ["", "Hello,  WORLD!\nit's 2024", "<|endoftext|>a<|startoftext|> <|ENDOFTEXT|>", "ÉéΣΑΣ ŒÅﬁ İı ǅ é", "日本語 한글 🙂👨‍👩‍👧  x　y\x1cz\x85", "supercalifragilistic" * 40, "a" * 5000, "don't we'LL i'm 'S", "\x00\x01﻿​"]
 
 
