@@ -898,3 +898,23 @@ for _name in ("p2_distance", "p4_passengers", "p6_pickup_zone", "p9_duration", "
     ORACLE_SQL |= _over(_name, TRIPS_SQL, WIDE_TRIPS_SQL)
 for _name in ("f14_capped_distance", "f15_gap_score"):
     ORACLE_SQL |= _over(_name, ZONES_SQL, WIDE_ZONES_SQL)
+
+ORACLE_SQL |= {
+    "s4_source_choice": _sql(
+        "trips",
+        f"""SELECT source, count(*) AS trips, round(sum(fare_amount), 6) AS fares, CAST(sum({_PICKUP_S}) AS BIGINT) AS seconds
+FROM trips JOIN (SELECT unnest(['with_copy', 'alone']) AS source) ON source = 'with_copy' OR payment_type = 1
+GROUP BY source""",
+    ),
+    "s11_cluster_summary_json": ORACLE_SQL["a3_kmeans_summary"],
+    "s12_recommendations_json": ORACLE_SQL["c3_site_recommendations_selective"],
+    "s13_model_metrics_json": ORACLE_SQL["a15_regression_metrics"],
+    "s14_scaling_json": ORACLE_SQL["c6_scaling_sizes"],
+    "f12_missing_positions": _sql(
+        "station_km",
+        """SELECT zone_id AS PULocationID, zone_id % 5 < 2 AS unreachable,
+       CASE WHEN zone_id % 5 >= 2 THEN round(min(km), 6) END AS nearest_station_km,
+       CAST(count(*) FILTER (WHERE km <= 1 AND zone_id % 5 >= 2) AS BIGINT) AS stations_within
+FROM station_km GROUP BY zone_id""",
+    ),
+}

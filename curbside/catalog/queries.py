@@ -22,7 +22,7 @@ from curbside.params import Params
 from curbside.plans.job import scaling_table
 from curbside.plans.settle import settle
 from curbside.plans.sites import recommend_from_trips, recommend_from_zones
-from curbside.sources.readers import read_checked_csv_trips, read_csv_trips, read_parquet_trips
+from curbside.sources.readers import read_checked_csv_trips, read_csv_trips, read_parquet_trips, read_trips
 from curbside.sources.schema import conform
 from curbside.sources.writers import replace_dates, replace_days, write_csv, write_json, write_table, write_trips
 
@@ -194,6 +194,19 @@ def s3_checked_csv(spark, d):
     return rounded(both.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"), fares), 3)
 
 
+@query
+def s4_source_choice(spark, d):
+    """Trips as two CSVs, one of them with a Parquet copy beside it that has all trips: the copy is preferred."""
+    trips, path = tables.trips(spark, d), scratch(spark, "choice")
+    few = trips.where(F.col("payment_type") == 1)
+    for name in ("with_copy", "alone"):
+        write_csv(few, f"{path}/{name}.csv")
+    write_trips(trips, f"{path}/with_copy.parquet")
+    found = [_records(read_trips(spark, f"{path}/{name}.csv")).withColumn("source", F.lit(name)) for name in ("with_copy", "alone")]
+    sums = [F.sum("fare_amount").alias("fares"), F.sum("pickup_s").alias("seconds")]
+    return rounded(found[0].unionByName(found[1]).groupBy("source").agg(F.count(F.lit(1)).alias("trips"), *sums))
+
+
 @query
 def s17_row_counts(spark, d):
     """Raw and clean rows, zones and hourly rows; the distinct counts come from grouped partials."""
@@ -222,6 +235,28 @@ def s19_hash_sample(spark, d):
     )
 
 
+# Result tables as JSON lines, read back: (query of the sink, query of the table).
+JSON_SINKS = {
+    "s11_cluster_summary_json": "a3_kmeans_summary",
+    "s12_recommendations_json": "c3_site_recommendations_selective",
+    "s13_model_metrics_json": "a15_regression_metrics",
+    "s14_scaling_json": "c6_scaling_sizes",
+}
+
+
+def _json_round_trip(table: str) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        result, path = QUERIES[table](spark, d), scratch(spark, table)
+        write_json(result, path)
+        return spark.read.schema(result.schema).json(path)
+
+    return run
+
+
+for _name, _table in JSON_SINKS.items():
+    QUERIES[_name] = _json_round_trip(_table)
+
+
 # --- filters --------------------------------------------------------------------------------------
 
 
@@ -666,6 +701,23 @@ _score_query("f15_gap_score_wide", "gap_score", measured=_measured_wide)
 _score_query("f16_priority_score", "priority_score")
 
 
+@query
+def f12_missing_positions(spark, d):
+    """Service around zones of which some lack a coordinate: infinitely far, no station in the radius."""
+    gone = F.col("PULocationID") % 5
+    points = _zone_points(spark, d).withColumns(
+        {
+            "lat": F.when(gone != 0, F.col("lat")),
+            "lon": F.when(gone == 1, F.lit(float("nan"))).otherwise(F.col("lon")),
+        }
+    )
+    nearest = spatial.nearest_station(points, tables.stations(spark, d))
+    within = spatial.stations_within(points, tables.stations(spark, d), Params().coverage_radius_km)
+    far = F.col("nearest_station_km") == float("inf")
+    km = F.when(~far, F.col("nearest_station_km")).alias("nearest_station_km")
+    return rounded(nearest.join(within, "PULocationID").select("PULocationID", far.alias("unreachable"), km, "stations_within"))
+
+
 @query
 def f17_saved_grams(spark, d):
     zones = _zone_table(spark, d)

@@ -13,7 +13,7 @@ from curbside.catalog import ORACLE_SQL, QUERIES, tables
 from curbside.operators import clean
 from curbside.plans.settle import settle, settling
 
-TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+TYPES = {"boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 # Model fits without a SQL counterpart are covered by the model tests.
 SLOW = {"m8_boosted_trees", "m9_feature_importances", "m10_model_comparison", "o6_importances_ascending"}
 
