@@ -35,6 +35,9 @@ PRIME, BASE = (1 << 127) - 1, 0x5DEECE66D1CE4E5B9F4A7C159E3779B9
 #: Letters of a path per segment.
 STEP = 16
 
+#: Rows after one node are dealt to so many tasks.
+SALTS = 32
+
 #: Rows that a task hands over at once.
 ROWS = 512
 
@@ -242,8 +245,10 @@ def build_tree(conversations: DataFrame, definition: str | None = None) -> tuple
 
     # A segment begins at a root and wherever a node has several children.
     edges = named.where("depth > 0").select("node", "parent").distinct()
-    branching = edges.groupBy("parent").count().where("count > 1").select(F.col("parent").alias("above"), F.lit(True).alias("branches"))
-    headed = named.withColumn("above", F.coalesce("parent", "node")).join(branching, "above", "left")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    branching = edges.groupBy("parent").count().where("count > 1").select(F.col("parent").alias("above"), F.lit(True).alias("branches"), salts)
+    # A third of all turns may follow the same one.
+    headed = named.withColumns({"above": F.coalesce("parent", "node"), "salt": F.pmod(F.hash("part", "at"), F.lit(SALTS))}).join(branching, ["above", "salt"], "left")
     headed = headed.join(narrow.select("part", "at", "opens", (F.col("steps") == 1).alias("first")), ["part", "at"])
     headed = headed.select("part", "at", "first", "opens", "node", ((F.col("depth") == 0) | F.col("branches").isNotNull()).alias("head"))
     ordered = headed.repartition("part").sortWithinPartitions("part", "at")
