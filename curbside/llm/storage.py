@@ -101,4 +101,9 @@ def release_caches() -> None:
     for cached in _caches:
         cached.cache_clear()
     gc.collect()
+    release_unused()
+
+
+def release_unused() -> None:
+    """Hand free memory of Arrow's pool back, which it keeps at the size of the largest batch otherwise."""
     pa.default_memory_pool().release_unused()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.storage import carrying
+from curbside.llm.storage import carrying, release_caches, release_unused
 from curbside.llm.words import Words
 
 WIDTH = 35
@@ -29,6 +29,9 @@ WIDTH = 35
 #: A row that stands for more equal ones than this leaves its chunk as several.
 MOST_COPIES = 4096
 
+#: Rows that leave a batch at once, so that batches of long texts are not held twice.
+ROWS = 1024
+
 #: Text in a chunk and hashes in a bucket, in bytes; both are counted out for the data at hand.
 CHUNK_BYTES, BUCKET_BYTES, LEAST_PARTS = 3 << 20, 12 << 20, 128
 
@@ -64,6 +67,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, keep_text: bool = True,
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a batch that repeat id and text, as one row with the number of ``times``."""
+    release_caches()
     for batch in batches:
         key = batch.column("key").to_numpy()
         order = np.argsort(key, kind="stable")
@@ -73,8 +77,10 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = int(order[i - 1]), int(order[i])
             new[i] = any(batch.column(c)[a].as_py() != batch.column(c)[b].as_py() for c in ("id", "text"))
         times = np.bincount(np.cumsum(new) - 1, minlength=int(new.sum()))
-        kept = batch.take(pa.array(order[new]))
-        yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in ("id", "key", "text")), pa.array(times, pa.int64())], names=["id", "key", "text", "times"])
+        first = order[new]
+        for at in range(0, len(first), ROWS):
+            kept = batch.take(pa.array(first[at : at + ROWS]))
+            yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in ("id", "key", "text")), pa.array(times[at : at + ROWS], pa.int64())], names=["id", "key", "text", "times"])
 
 
 def _tasks(groups: int) -> int:
@@ -106,6 +112,7 @@ class ChunkWindows:
 
 def _sender(width: int, buckets: int):
     def run(rows: pa.Table) -> pa.Table:
+        release_unused()
         bucket, value, n, *_ = ChunkWindows(rows, width, buckets).sorted()
         edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=1 << 40)) if len(bucket) else np.zeros(1, np.int64)
         out: tuple[list, ...] = ([], [], [], [])
@@ -121,6 +128,7 @@ def _sender(width: int, buckets: int):
 
 def _count(rows: pa.Table) -> pa.Table:
     """Which hashes of a bucket stand in several chunks, or several times in one: bits in the order of each sender."""
+    release_unused()
     sent = [np.frombuffer(x.as_py(), np.uint64) for x in rows.column("hashes")]
     many = [np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(s)) for x, s in zip(rows.column("many"), sent, strict=True)]
     every, flags = np.concatenate(sent), np.concatenate(many)
@@ -143,6 +151,7 @@ def _remover(width: int, buckets: int, keep_text: bool, id_column: str):
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             raise ValueError("an answer without its chunk")
+        release_unused()
         chunk = ChunkWindows(rows, width, buckets)
         words = chunk.words
         bucket, _, _, order, place = chunk.sorted()

@@ -22,7 +22,8 @@ NO_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 #: Everything below 0x80 but letters and digits.
 NO_TERM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
-PIECE_BYTES = 1 << 20
+#: Bytes, and words, hashed at once: what is summed up on the way stays small, whatever the size of a column.
+PIECE_BYTES, PIECE_WORDS = 1 << 17, 1 << 16
 
 _coefficients = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _lower = _coefficients.copy()
@@ -124,10 +125,18 @@ class Words:
         n = len(self.hashes)
         if n < width:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        up, down = WINDOWS[which](n)
-        sums = running(self.hashes * up)
         starts = np.flatnonzero(self.row[width - 1 :] == self.row[: n - width + 1])
-        return starts, mix((sums[starts + width] - sums[starts]) * down[starts])
+        out = np.empty(len(starts), np.uint64)
+        at = 0
+        while at < len(starts):  # a hash does not depend on where its piece begins
+            low = starts[at]
+            to = int(np.searchsorted(starts, low + PIECE_WORDS))
+            own = starts[at:to] - low
+            up, down = WINDOWS[which](own[-1] + width)
+            sums = running(self.hashes[low : low + own[-1] + width] * up)
+            out[at:to] = mix((sums[own + width] - sums[own]) * down[own])
+            at = to
+        return starts, out
 
 
 def slices(batch: pa.RecordBatch | pa.Table, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch | pa.Table]:

@@ -268,3 +268,24 @@ def test_fingerprints_of_repeated_and_null_ids(make_docs):
     found = fingerprint.fingerprint_documents(make_docs([(None, "n"), (1, "a"), (1, "b"), (2, "cc")])).collect()
     assert sorted((r.doc_id or 0, r.n_chars) for r in found) == [(0, 1), (1, 1), (1, 1), (2, 2)]
     assert len(fingerprint.fingerprint_documents(make_docs([(7, "only one")])).collect()) == 1
+
+
+def test_windows_hashed_in_pieces_are_the_same(monkeypatch):
+    from curbside.llm import words
+
+    texts = pa.array(["a b c d e f " * 40, None, "one two three", "x y z " * 90])
+    whole = [words.Words(texts).windows(5, which) for which in (0, 1)]
+    monkeypatch.setattr(words, "PIECE_WORDS", 7)
+    monkeypatch.setattr(words, "PIECE_BYTES", 16)
+    for (starts, hashes), which in zip(whole, (0, 1), strict=True):
+        again = words.Words(texts).windows(5, which)
+        assert (again[0] == starts).all() and (again[1] == hashes).all() and len(starts) == 236 + 266
+    words.Words(texts).windows(300)  # wider than any row
+
+
+def test_merged_rows_leave_a_batch_in_parts(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "ROWS", 2)
+    rows = {"id": [1, 1, 2, 3, 4], "key": [9, 9, 5, 6, 7], "text": ["a", "a", "b", "c", "d"]}
+    out = list(substring_dedup._merge(iter([pa.RecordBatch.from_pydict(rows)])))
+    assert [b.num_rows for b in out] == [2, 2]
+    assert sorted((r["id"], r["times"]) for b in out for r in b.to_pylist()) == [(1, 2), (2, 1), (3, 1), (4, 1)]
