@@ -91,3 +91,18 @@ def test_settled_tables_go_with_their_block_also_after_a_failure(spark):
 def test_entry(spark):
     rows = contract.entry(spark).collect()
     assert [r["rank"] for r in rows] == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", ["c6_scaling_sizes", "s14_scaling_json", "s9_dated_trips", "s4_source_choice"])
+def test_trips_are_derived_once(spark, monkeypatch, name):
+    """However often a query reads the trips, lineitem and orders are joined in one of its jobs."""
+    from pyspark.sql import DataFrameWriter
+
+    joins = []
+    collect = lambda df: joins.append("o_orderkey" in df._jdf.queryExecution().optimizedPlan().toString())
+    for kind in ("parquet", "csv", "json", "save"):
+        plain = getattr(DataFrameWriter, kind)
+        monkeypatch.setattr(DataFrameWriter, kind, lambda self, *a, plain=plain, **b: (collect(self._df), plain(self, *a, **b))[1])
+    result = QUERIES[name](spark, SF)
+    collect(result)
+    assert joins.count(True) == 1 and len(joins) > 2
