@@ -196,12 +196,15 @@ def s3_checked_csv(spark, d):
 
 @query
 def s4_source_choice(spark, d):
-    """Trips as two CSVs, one of them with a Parquet copy beside it that has all trips: the copy is preferred."""
-    trips, path = tables.trips(spark, d), scratch(spark, "choice")
-    few = trips.where(F.col("payment_type") == 1)
+    """Trips as two CSVs, one of them with a Parquet copy beside it that has all trips: the copy is preferred.
+
+    The copy is written first and the CSVs are taken from it: the trips are derived once.
+    """
+    path = scratch(spark, "choice")
+    write_trips(tables.trips(spark, d), f"{path}/with_copy.parquet")
+    few = read_parquet_trips(spark, f"{path}/with_copy.parquet").where(F.col("payment_type") == 1)
     for name in ("with_copy", "alone"):
         write_csv(few, f"{path}/{name}.csv")
-    write_trips(trips, f"{path}/with_copy.parquet")
     found = [_records(read_trips(spark, f"{path}/{name}.csv")).withColumn("source", F.lit(name)) for name in ("with_copy", "alone")]
     sums = [F.sum("fare_amount").alias("fares"), F.sum("pickup_s").alias("seconds")]
     return rounded(found[0].unionByName(found[1]).groupBy("source").agg(F.count(F.lit(1)).alias("trips"), *sums))
