@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,15 +93,24 @@ def narrow_ids(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("int") for name in wide}) if wide else df
 
 
-def reject_reason(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> Column:
-    """The known columns of a row that hold a value which ``conform`` would turn into null, by name; null if there are none."""
+def _lost(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """For each known column whether its value is one that ``conform`` would turn into null."""
     wanted = {field.name: field.dataType for field in schema}
-    lost = [
-        F.when(F.col(f"`{field.name}`").isNotNull() & _cast(F.col(f"`{field.name}`"), field.dataType, wanted[field.name]).isNull(), field.name)
-        for field in df.schema
-        if field.name in wanted
-    ]
-    names = F.array_join(F.array_compact(F.array(*lost)), ", ") if lost else F.lit("")
+    known = [(F.col(f"`{field.name}`"), field) for field in df.schema if field.name in wanted]
+    return {field.name: c.isNotNull() & _cast(c, field.dataType, wanted[field.name]).isNull() for c, field in known}
+
+
+def is_rejected(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> Column:
+    """Whether a row has a ``reject_reason``, without spelling it out."""
+    return reduce(or_, _lost(df, schema).values(), F.lit(False))
+
+
+def reject_reason(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> Column:
+    """The known columns of a row that hold a value which ``conform`` would turn into null, by name; null if there are none.
+
+    Without functions over arrays, below which Spark compiles nothing.
+    """
+    names = F.concat_ws(", ", *[F.when(lost, name) for name, lost in _lost(df, schema).items()])
     return F.when(names != "", F.concat(F.lit("unreadable "), names))
 
 
@@ -107,11 +119,5 @@ def unreadable_values(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> Data
 
     Pass a source as it is stored, for text files one with text columns (``read_csv_text``).
     """
-    wanted = {field.name: field.dataType for field in schema}
-    known = [field for field in df.schema if field.name in wanted]
-    counts = []
-    for field in known:
-        column = F.col(f"`{field.name}`")
-        lost = column.isNotNull() & _cast(column, field.dataType, wanted[field.name]).isNull()
-        counts.append(F.struct(F.lit(field.name).alias("column"), F.count_if(lost).alias("rows_unreadable")))
+    counts = [F.struct(F.lit(name).alias("column"), F.count_if(lost).alias("rows_unreadable")) for name, lost in _lost(df, schema).items()]
     return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))

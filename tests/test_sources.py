@@ -162,3 +162,13 @@ def test_days_are_replaced_alone_and_any_number_of_times(spark, make_trips, tmp_
         assert sorted((r.pickup_date.day, r.fare_amount) for r in rows) == [(1, 10.0), (2, 99.0), (3, 30.0), (4, 40.0)]
     writers.replace_days(make_trips(day(2, 1.0)).limit(0), path)
     assert spark.read.parquet(path).count() == 4 and kept() == before and len(before) == 2
+
+
+def test_judging_a_row_is_compiled_code(spark, tmp_path):
+    path = str(tmp_path / "odd.csv")
+    (tmp_path / "odd.csv").write_text("trip_distance,VendorID\n5 mi,1.0\n2.5,2\n")
+    for table in read_checked_csv_trips(spark, path):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "lambda" not in plan and "filter(array" not in plan  # functions over arrays are interpreted, with all below them
+    good, _ = read_checked_csv_trips(spark, path)
+    assert "unreadable" not in good._jdf.queryExecution().executedPlan().toString()
