@@ -19,6 +19,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
-from curbside.llm.storage import carrying, stage
+from curbside.llm.storage import carrying, kept_by_workers, release_unused, stage
 from curbside.llm.words import slices
 
 #: Most pairs whose counts are broadcast, 16 bytes each.
@@ -37,11 +38,14 @@ MOST_PAIRS = 1 << 20
 #: Chunks and links kept ready by a worker; pairs counted before they are handed on.
 CHUNKS, LINKS, PENDING = 200_000, 1 << 23, 1 << 21
 
+#: Chunks encoded and aligned at once: what the tokenizers return holds a hundred times the bytes of a chunk.
+ENCODED = 4096
+
 #: Bits of a pair's code; a row's number stands above them.
 CODE_BITS = 40
 
 #: Text aligned at once, in bytes.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 #: Where a chunk begins: at a space behind anything but white space.
 CUT = re.compile(r"(?<=\S)(?= )")
@@ -109,7 +113,7 @@ class Aligner:
 
     def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both. Each chunk begins with a space, which B gets behind a letter."""
-        a = [e.ids for e in self.a.encode_batch(chunks, add_special_tokens=False)]
+        a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
         b = [ids[self.lead :] for ids in self.b.encode([f"a{c}" for c in chunks], num_threads=1)]
         return a, b
 
@@ -170,11 +174,21 @@ class Chunks:
                     fresh.append(c)
                 ids.append(i)
         if fresh:
-            new = self.aligner.align(fresh)
-            self.known = Aligned(*(np.concatenate([x, y]) for x, y in ((known.ok, new.ok), (known.counts, new.counts))), known.groups + new.groups, np.concatenate([known.codes, new.codes]), np.append(known.edges, known.edges[-1] + new.edges[1:]))
+            every = [known, *(self.aligner.align(fresh[at : at + ENCODED]) for at in range(0, len(fresh), ENCODED))]
+            before = np.cumsum([0, *(len(x.codes) for x in every)])
+            edges = [known.edges[:1], *(x.edges[1:] + n for x, n in zip(every, before[:-1], strict=True))]
+            ok, rows, codes = (np.concatenate([getattr(x, name) for x in every]) for name in ("ok", "counts", "codes"))
+            self.known = Aligned(ok, rows, [g for x in every for g in x.groups], codes, np.concatenate(edges))
         return np.array(ids, np.int64), np.array(counts, np.int64), self.known
 
 
+@kept_by_workers
+@lru_cache(maxsize=1)
+def chunks_of(definitions: Definitions) -> Chunks:
+    """The tokenizers of a worker and the chunks it has met, kept between tasks."""
+    return Chunks(Aligner(definitions))
+
+
 class Pending:
     """How many of the documents so far hold each pair: a vector for pairs of the same bytes, a list for all others."""
 
@@ -200,11 +214,15 @@ class Pending:
         return len(self.codes) > PENDING // 2
 
     def _merge(self) -> None:
-        every = np.concatenate([self.codes, *self.new])
-        n = np.concatenate([self.n, np.ones(len(every) - len(self.codes), np.int64)])
-        self.codes, place = np.unique(every, return_inverse=True)
-        self.n = np.zeros(len(self.codes), np.int64)
-        np.add.at(self.n, place, n)
+        new = np.concatenate([np.zeros(0, np.int64), *self.new])
+        self.new = []
+        new.sort()
+        first = np.flatnonzero(np.diff(new, prepend=-1))
+        every, n = np.append(self.codes, new[first]), np.append(self.n, np.diff(first, append=len(new)))
+        order = np.argsort(every, kind="stable")
+        every, n = every[order], n[order]
+        first = np.flatnonzero(np.diff(every, prepend=-1))
+        self.codes, self.n = every[first], np.add.reduceat(n, first) if len(first) else n
         self.new, self.size = [], 0
 
     def out(self) -> dict[str, list | np.ndarray]:
@@ -228,9 +246,10 @@ def align_texts(docs: DataFrame, definitions: Definitions, id_column: str = "doc
     spec = docs.sparkSession.sparkContext.broadcast(definitions)  # two vocabulary files: a few MB, whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(spec.value)
-        chunks, pairs = Chunks(aligner), Pending(aligner)
+        chunks = chunks_of(spec.value)
+        pairs = Pending(chunks.aligner)
         for batch in batches:
+            release_unused()
             for part in slices(batch, "text", BLOCK_BYTES):
                 yield _batch(schema, _documents(part, chunks, pairs))
                 if pairs.full():

@@ -328,3 +328,41 @@ def test_alignment_query_has_a_row_for_each_document(spark):
     found = queries.QUERIES["op11_cross_tokenizer"](spark, SF).collect()
     assert sorted(r.doc_id for r in found) == sorted(r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())
     assert all(r.n_links == r.n_a + r.n_b - r.n_groups and r.count_sum >= r.n_links for r in found)
+
+
+def test_chunks_are_aligned_in_slices_and_kept_between_tasks(monkeypatch):
+    import public_tokenizers
+
+    from curbside.llm import cross_tokenizer as ct
+    from curbside.llm.storage import release_caches
+
+    definitions = ct.Definitions.read(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["one two three four", "", None, "zwei drei one, ßü two", "new words here"]
+    ids, counts, known = ct.Chunks(ct.Aligner(definitions)).of(texts)
+    seen = []
+    plain = ct.Aligner.align
+    monkeypatch.setattr(ct, "ENCODED", 3)
+    monkeypatch.setattr(ct.Aligner, "align", lambda self, chunks: (seen.append(len(chunks)), plain(self, chunks))[1])
+    chunks = ct.chunks_of(definitions)
+    assert ct.chunks_of(definitions) is chunks
+    chunks.of(texts[:1])
+    again, many, sliced = chunks.of(texts)
+    assert max(seen) == 3 and (again == ids).all() and (many == counts).all()
+    assert sliced.groups == known.groups and (sliced.counts == known.counts).all() and (sliced.ok == known.ok).all()
+    assert (sliced.codes == known.codes).all() and (sliced.edges == known.edges).all()
+    release_caches()
+    assert ct.chunks_of(definitions) is not chunks
+
+
+def test_pending_counts_add_up_over_merges():
+    from types import SimpleNamespace
+
+    from curbside.llm import cross_tokenizer as ct
+
+    pairs = ct.Pending(SimpleNamespace(size_a=4, size_b=10, same=np.array([0, 1, 2, 3])))
+    pairs.add(np.array([0, 5, 7, 11, 12]))
+    pairs._merge()
+    pairs.add(np.array([5, 12, 39]))
+    out = pairs.out()
+    assert list(zip(out["kind"], out["code"].tolist(), out["n"].tolist(), strict=True)) == [("same", 0, 1), ("same", 1, 1), ("pair", 5, 2), ("pair", 7, 1), ("pair", 12, 2), ("pair", 39, 1)]
+    assert len(pairs.out()["kind"]) == 0
