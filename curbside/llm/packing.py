@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbside.llm.bpe import word_ids
-from curbside.llm.storage import stage
+from curbside.llm.storage import hand_back, stage
 
 CAPACITY = 4096
 
@@ -34,6 +34,7 @@ def cut_documents(docs: DataFrame, definition: str, capacity: int = CAPACITY, en
     spec = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()  # what tasks of earlier stages left
         cache = word_ids(spec.value)
         look, end, width = cache.__getitem__, np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -101,9 +102,16 @@ def release_caches() -> None:
     for cached in _caches:
         cached.cache_clear()
     gc.collect()
-    release_unused()
+    hand_back()
 
 
 def release_unused() -> None:
     """Hand free memory of Arrow's pool back, which it keeps at the size of the largest batch otherwise."""
     pa.default_memory_pool().release_unused()
+
+
+def hand_back() -> None:
+    """Hand all free memory of this worker back, also what numpy's arrays left with the C library. Caches stay."""
+    release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc's
+        trim(0)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.storage import carrying, release_caches, release_unused
+from curbside.llm.storage import carrying, hand_back, release_caches
 from curbside.llm.words import Words
 
 WIDTH = 35
@@ -112,7 +112,7 @@ class ChunkWindows:
 
 def _sender(width: int, buckets: int):
     def run(rows: pa.Table) -> pa.Table:
-        release_unused()
+        hand_back()
         bucket, value, n, *_ = ChunkWindows(rows, width, buckets).sorted()
         edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=1 << 40)) if len(bucket) else np.zeros(1, np.int64)
         out: tuple[list, ...] = ([], [], [], [])
@@ -128,7 +128,7 @@ def _sender(width: int, buckets: int):
 
 def _count(rows: pa.Table) -> pa.Table:
     """Which hashes of a bucket stand in several chunks, or several times in one: bits in the order of each sender."""
-    release_unused()
+    hand_back()
     sent = [np.frombuffer(x.as_py(), np.uint64) for x in rows.column("hashes")]
     many = [np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(s)) for x, s in zip(rows.column("many"), sent, strict=True)]
     every, flags = np.concatenate(sent), np.concatenate(many)
@@ -151,7 +151,7 @@ def _remover(width: int, buckets: int, keep_text: bool, id_column: str):
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             raise ValueError("an answer without its chunk")
-        release_unused()
+        hand_back()
         chunk = ChunkWindows(rows, width, buckets)
         words = chunk.words
         bucket, _, _, order, place = chunk.sorted()
